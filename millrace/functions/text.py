@@ -12,10 +12,11 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-# JSON's two-character escapes.
+# JSON's two-character escapes. The backslash goes first, so that
+# it is not escaped again in the others.
 SHORT_ESCAPES = (
-    ('"', '\\"'),
     ("\\", "\\\\"),
+    ('"', '\\"'),
     ("\n", "\\n"),
     ("\r", "\\r"),
     ("\t", "\\t"),
@@ -52,41 +53,38 @@ def blank_to_null(column) -> Column:
     return F.nullif(column, F.lit(""))
 
 
-def _escape_unit(code: Column) -> Column:
-    return F.concat(F.lit("\\u"), F.lower(F.lpad(F.hex(code), 4, "0")))
+def _escape_rest(text: Column) -> Column:
+    """Spell everything but printable ASCII as UTF-16 escapes, run by run."""
+    def spell(run: Column) -> Column:
+        units = F.lower(F.hex(F.encode(run, "UTF-16BE")))
+        return F.regexp_replace(units, "(.{4})", r"\\u$1")
+
+    def escape(whole: Column) -> Column:
+        runs = F.regexp_extract_all(whole, F.lit("[ -~]+|[^ -~]+"), F.lit(0))
+        spelled = F.transform(runs, lambda r: F.when(r.rlike("^[ -~]"), r).otherwise(spell(r)))
+        return F.when(whole.rlike("[^ -~]"), F.array_join(spelled, "")).otherwise(whole)
 
+    # The lambda binds the text, so that it is put together once per row.
+    return F.get(F.transform(F.array(text), escape), F.lit(0))
 
-def _escape_char(char: Column) -> Column:
-    code = F.ascii(char)
-    above = code - F.lit(0x10000)
-    surrogates = F.concat(
-        _escape_unit(F.lit(0xD800) + F.shiftright(above, 10)),
-        _escape_unit(F.lit(0xDC00) + above.bitwiseAND(F.lit(0x3FF))),
-    )
-    escaped = F.when(char == F.lit(SHORT_ESCAPES[0][0]), F.lit(SHORT_ESCAPES[0][1]))
-    for raw, short in SHORT_ESCAPES[1:]:
-        escaped = escaped.when(char == F.lit(raw), F.lit(short))
-    return (
-        escaped.when(code.between(0x20, 0x7E), char)
-        .when(code >= F.lit(0x10000), surrogates)
-        .otherwise(_escape_unit(code))
-    )
+
+def _quoted(text: Column) -> Column:
+    for raw, short in SHORT_ESCAPES:
+        text = F.replace(text, F.lit(raw), F.lit(short))
+    return F.coalesce(F.concat(F.lit('"'), text, F.lit('"')), F.lit("null"))
 
 
 def json_string(column) -> Column:
     """One JSON string literal, ASCII only; NULL becomes ``null``."""
-    column = F.col(column) if isinstance(column, str) else column
-    needs_escape = column.rlike(r'[^ -~]|["\\]')
-    spelled = F.array_join(F.transform(F.split(column, ""), _escape_char), "")
-    body = F.when(needs_escape, spelled).otherwise(column)
-    return F.coalesce(F.concat(F.lit('"'), body, F.lit('"')), F.lit("null"))
+    return _escape_rest(_quoted(F.col(column) if isinstance(column, str) else column))
 
 
 def json_string_array(column) -> Column:
-    """JSON text of a string array with ``", "`` between items; empty or NULL -> NULL."""
+    """JSON text of a string array, ASCII only, ``", "`` between items; empty or NULL -> NULL."""
     column = F.col(column) if isinstance(column, str) else column
-    items = F.array_join(F.transform(column, json_string), ", ")
-    return F.when(F.size(column) > 0, F.concat(F.lit("["), items, F.lit("]")))
+    items = F.array_join(F.transform(column, _quoted), ", ")
+    text = F.concat(F.lit("["), items, F.lit("]"))
+    return F.when(F.size(column) > 0, _escape_rest(text))
 
 
 def json_document(column) -> Column:

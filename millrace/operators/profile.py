@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.dedupe import duplicate_keys
-
 
 def null_profile(df: DataFrame) -> DataFrame:
     """One row per column: name, type, row count and NULL count. One pass."""
@@ -40,11 +38,24 @@ def load_quality(
     date: str = "noted_date",
     device: str = "device_id",
 ) -> DataFrame:
-    """Row, day, device and duplicate-key counts of a loaded table, one row."""
-    counts = df.agg(
-        F.count("*").alias("total_rows"),
+    """Row, day, device and duplicate-key counts of a loaded table, one row.
+
+    Rows are counted per key once; everything else is computed from those
+    counts, so the table is read a single time.
+    """
+    columns = list(dict.fromkeys([*key, date, device]))
+    per_key = df.groupBy(*columns).agg(F.count("*").alias("_rows"))
+    if len(columns) == len(key):
+        repeated = F.count_if(F.col("_rows") > 1)
+    else:  # date or device is not part of the key: merge counts per key
+        whole = Window.partitionBy(*key)
+        per_key = per_key.withColumns(
+            {"_total": F.sum("_rows").over(whole), "_place": F.row_number().over(whole.orderBy(*columns))}
+        )
+        repeated = F.count_if((F.col("_total") > 1) & (F.col("_place") == 1))
+    return per_key.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("total_rows"),
         F.count_distinct(F.to_date(date)).alias("days"),
         F.count_distinct(F.col(device)).alias("devices"),
+        repeated.alias("duplicate_keys"),
     )
-    repeated = duplicate_keys(df, key).agg(F.count("*").alias("n")).scalar()
-    return counts.select("*", repeated.alias("duplicate_keys"))

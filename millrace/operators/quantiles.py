@@ -1,10 +1,10 @@
-"""Exact percentiles that do not need all values in one place, and the trim.
+"""Exact percentiles that never need all values in one place, and the trim.
 
-``percentile`` is exact but keeps a count per distinct value in one task. That
-is fine for readings with limited resolution and is checked first. Otherwise
-the distinct values are written once with their counts, and each wanted rank is
-searched by splitting the candidate range into slices and counting rows per
-slice, until few enough distinct values remain to finish directly.
+The distinct values are counted first (one shuffle, combined before it) and
+written once. When one task can hold them, ``percentile`` finishes on the
+counted values. Otherwise each wanted rank is searched for: the candidate range
+is cut into slices, rows are counted per slice, and the search goes on in the
+slice that holds the rank until few enough distinct values remain.
 """
 
 from __future__ import annotations
@@ -12,113 +12,104 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.session import materialize
 
-DISTINCT_LIMIT = 1_000_000  # values one task may hold; about 100 MB
+DISTINCT_LIMIT = 1_000_000  # counted values one task may hold; about 100 MB
 SLICES = 64
 
 
-def quantile_columns(
+def quantiles(
     df: DataFrame,
     column: str,
     probabilities: Sequence[float],
     distinct_limit: int = DISTINCT_LIMIT,
-) -> list[Column]:
-    """Percentiles with linear interpolation, as columns usable in a filter on ``df``."""
-    # The estimate has a 5 % error; the margin keeps the true count in bounds.
-    distinct = df.agg(F.approx_count_distinct(column)).first()[0]
-    if distinct * 1.25 <= distinct_limit:
-        wanted = F.array(*[F.lit(p) for p in probabilities])
-        found = df.agg(F.percentile(column, wanted).alias("_q")).scalar()
-        return [found[i] for i in range(len(probabilities))]
-    return [F.lit(v) for v in _search(df, column, probabilities, distinct_limit)]
-
-
-def percentile_trim(
-    df: DataFrame,
-    column: str = "temp",
-    low: float = 0.05,
-    high: float = 0.95,
-    distinct_limit: int = DISTINCT_LIMIT,
-) -> DataFrame:
-    """Rows between the two percentiles of ``column``, both ends included."""
-    lower, upper = quantile_columns(df, column, (low, high), distinct_limit)
-    return df.where((F.col(column) >= lower) & (F.col(column) <= upper))
-
-
-def trim_report(
-    df: DataFrame, column: str = "temp", low: float = 0.05, high: float = 0.95
-) -> DataFrame:
-    """Counts and ranges before and after the trim, in one pass over ``df``."""
-    lower, upper = quantile_columns(df, column, (low, high))
-    value = F.col(column)
-    kept = F.when((value >= F.col("_low")) & (value <= F.col("_high")), value)
-    return (
-        df.select(value, lower.alias("_low"), upper.alias("_high"))
-        .agg(
-            F.max("_low").alias("lower_percentile"),
-            F.max("_high").alias("upper_percentile"),
-            F.count(value).alias("rows_before"),
-            F.count(kept).alias("rows_after"),
-            F.min(value).alias("min_before"),
-            F.max(value).alias("max_before"),
-            F.min(kept).alias("min_after"),
-            F.max(kept).alias("max_after"),
-        )
-    )
-
-
-def _search(df, column, probabilities, distinct_limit) -> list[float | None]:
+) -> list[float | None]:
+    """Percentiles with linear interpolation over the non-NULL values of a column."""
     counts = materialize(
         df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("value"))
+        .groupBy(F.col(column).cast("double").alias("value"))
         .agg(F.count("*").alias("rows")),
-        "quantile-counts",
+        "value-counts",
     )
-    total = counts.agg(F.sum("rows")).first()[0]
-    if not total:
+    distinct = counts.count()
+    if not distinct:
         return [None] * len(probabilities)
-    results = []
+    if distinct <= distinct_limit:
+        wanted = F.array(*[F.lit(p) for p in probabilities])
+        return list(counts.agg(F.percentile("value", wanted, F.col("rows"))).first()[0])
+    total = counts.agg(F.sum("rows")).first()[0]
+    found = []
     for p in probabilities:
         place = p * (total - 1)
-        below, part = math.floor(place), place - math.floor(place)
-        first, second = _values_at(counts, below, min(below + 1, total - 1), distinct_limit)
-        results.append(first if first == second else (1 - part) * first + part * second)
-    return results
+        rank = math.floor(place)
+        part = place - rank
+        low, high = _values_at(counts, rank, min(rank + 1, total - 1), distinct_limit)
+        found.append(low if low == high else (1 - part) * low + part * high)
+    return found
 
 
-def _values_at(counts: DataFrame, first: int, second: int, limit: int) -> list[float]:
-    """The values at two neighbouring ranks (from 0) of the counted multiset."""
+def _values_at(counts: DataFrame, first: int, second: int, limit: int) -> tuple[float, float]:
+    """The values at two neighbouring ranks (from 0) of the counted rows."""
     inside, skipped, limit = counts, 0, max(limit, 2)
-    while True:
-        distinct = inside.count()
-        if distinct <= limit:
-            break
-        # Cuts split the remaining distinct values evenly, so each round leaves
-        # a few of SLICES slices whatever the distribution looks like.
+    while inside.count() > limit:
+        # Cuts split the remaining distinct values evenly, so a round leaves at
+        # most about two slices, however the rows are spread over the values.
         steps = F.array(*[F.lit(i / SLICES) for i in range(1, SLICES)])
-        cuts = inside.agg(F.percentile_approx("value", steps, 10_000)).first()[0]
-        cuts = sorted(set(cuts))
-        sums = inside.agg(
+        cuts = sorted(set(inside.agg(F.percentile_approx("value", steps, 10_000)).first()[0]))
+        upto = inside.agg(
             *[F.sum(F.when(F.col("value") <= c, F.col("rows")).otherwise(0)) for c in cuts]
         ).first()
-        reached = [skipped + s for s in sums]
-        lower = [(c, r) for c, r in zip(cuts, reached) if r <= first]
-        upper = [c for c, r in zip(cuts, reached) if r > second]
-        if lower:
-            skipped = lower[-1][1]
-            inside = inside.where(F.col("value") > lower[-1][0])
-        if upper:
-            inside = inside.where(F.col("value") <= upper[0])
+        reached = [(c, skipped + n) for c, n in zip(cuts, upto)]
+        passed = [(c, n) for c, n in reached if n <= first]
+        beyond = [c for c, n in reached if n > second]
+        if passed:
+            cut, skipped = passed[-1]
+            inside = inside.where(F.col("value") > cut)
+        if beyond:
+            inside = inside.where(F.col("value") <= beyond[0])
     # At most ``limit`` rows reach this ordered window.
-    running = F.sum("rows").over(Window.orderBy("value"))
-    ranked = inside.withColumn("_upto", running + F.lit(skipped))
-    return list(
+    upto = F.sum("rows").over(Window.orderBy("value")) + F.lit(skipped)
+    ranked = inside.select("value", upto.alias("_upto"))
+    return tuple(
         ranked.agg(
             F.min(F.when(F.col("_upto") > first, F.col("value"))),
             F.min(F.when(F.col("_upto") > second, F.col("value"))),
         ).first()
     )
+
+
+def between(df: DataFrame, column: str, bounds: Sequence[float | None]) -> DataFrame:
+    """Rows inside the bounds, both ends included. Literals reach the file scan."""
+    lower, upper = (F.lit(b).cast("double") for b in bounds)
+    return df.where((F.col(column) >= lower) & (F.col(column) <= upper))
+
+
+def percentile_trim(
+    df: DataFrame,
+    column: str = "temp",
+    low: float = 0.05,
+    high: float = 0.95,
+    distinct_limit: int = DISTINCT_LIMIT,
+) -> DataFrame:
+    """Rows between the two percentiles of ``column``, both ends included."""
+    return between(df, column, quantiles(df, column, (low, high), distinct_limit))
+
+
+def trim_report(
+    df: DataFrame, bounds: Sequence[float | None], column: str = "temp"
+) -> DataFrame:
+    """The bounds, and row counts and ranges before and after the trim, in one pass."""
+    lower, upper = (F.lit(b).cast("double") for b in bounds)
+    value = F.col(column)
+    kept = F.when((value >= lower) & (value <= upper), value)
+    return df.agg(
+        F.count(value).alias("rows_before"),
+        F.count(kept).alias("rows_after"),
+        F.min(value).alias("min_before"),
+        F.max(value).alias("max_before"),
+        F.min(kept).alias("min_after"),
+        F.max(kept).alias("max_after"),
+    ).select(lower.alias("lower_percentile"), upper.alias("upper_percentile"), "*")

@@ -2,21 +2,31 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def effective_days(days: int, cap_days: int | None = None) -> int:
+    """``days`` under an upper bound set by an earlier preparation step."""
+    return days if cap_days is None else min(days, cap_days)
+
+
 def last_n_days(
-    df: DataFrame, days: int, column: str = "noted_date", cap_days: int | None = None
+    df: DataFrame,
+    days: int,
+    column: str = "noted_date",
+    cap_days: int | None = None,
+    newest: dt.datetime | None = None,
 ) -> DataFrame:
     """Rows at or after the newest timestamp minus ``days``.
 
-    The cutoff is a scalar subquery that reads one column; its value reaches
-    the Parquet scan as a plain comparison. ``cap_days`` is an upper bound on
-    ``days`` set by an earlier preparation step.
+    Unless the newest timestamp is known, the cutoff is a scalar subquery that
+    reads one column. Either way a Parquet scan gets a plain comparison.
     """
-    if cap_days is not None:
-        days = min(days, cap_days)
-    newest = F.max(column)
-    cutoff = df.agg((newest - F.make_dt_interval(days=F.lit(days))).alias("_cutoff"))
+    days = effective_days(days, cap_days)
+    if newest is not None:
+        return df.where(F.col(column) >= F.lit(newest - dt.timedelta(days=days)))
+    cutoff = df.agg((F.max(column) - F.make_dt_interval(days=F.lit(days))).alias("_cutoff"))
     return df.where(F.col(column) >= cutoff.scalar())

@@ -59,15 +59,22 @@ class LoadResult:
     rows: int
 
 
-def prepare(
-    raw: DataFrame, fmt: str = READING_FORMAT, loose: bool = False, order: str = "_row"
-) -> DataFrame:
-    """Header rules and dates; rows are numbered unless they bring their position."""
+def dated_readings(raw: DataFrame, fmt: str = READING_FORMAT, loose: bool = False) -> DataFrame:
+    """Header rules, then dates; rows without a valid date are dropped.
+
+    Without any date column the renamed rows come back as they are.
+    """
     named = canonical_for_load(standardise(raw, slash=True), loose)
-    if "noted_date" not in named.columns:
-        return named
-    named = drop_bad_dates(named, fmt=fmt)
-    return named if order in named.columns else with_row_number(named, order)
+    return drop_bad_dates(named, fmt=fmt) if "noted_date" in named.columns else named
+
+
+def numbered(df: DataFrame, order: str = "_row") -> DataFrame:
+    """Number the rows from 0 in source order, unless they bring their position."""
+    return df if order in df.columns else with_row_number(df, order)
+
+
+def prepare(raw: DataFrame, fmt: str = READING_FORMAT, loose: bool = False) -> DataFrame:
+    return numbered(dated_readings(raw, fmt, loose))
 
 
 def full_records(prepared: DataFrame, batch_id: str, strict_numbers: bool = False) -> DataFrame:
@@ -138,7 +145,7 @@ def full_load(
 def incremental_load(
     spark: SparkSession,
     raw: DataFrame,
-    last_n_days_: int | None = None,
+    days: int = DEFAULT_PARAMETERS["last_n_days"],
     table: TableSpec = INCREMENTAL,
     history: TableSpec = log.HISTORY,
     batch_id: str | None = None,
@@ -148,25 +155,25 @@ def incremental_load(
 ) -> LoadResult:
     """Upsert the rows of the last days by (date, device).
 
-    The batch is written once to the shared folder; the row count, the touched
-    days and the merge all read that copy.
+    ``cap_days=PREPARED_DAYS`` adds the preparation step's own cut. The batch is
+    written once to the shared folder; the row count, the touched days and the
+    merge all read that copy.
     """
-    days = run_parameters({"last_n_days": last_n_days_} if last_n_days_ is not None else None)
     create(spark, table)
 
     def work(batch: str) -> tuple[str, int]:
-        prepared = prepare(raw, fmt, loose)
-        if "noted_date" not in prepared.columns:
+        dated = dated_readings(raw, fmt, loose)
+        if "noted_date" not in dated.columns:
             return log.NO_DATE_COLUMN, 0
-        recent = last_n_days(prepared, days["last_n_days"], cap_days=cap_days)
+        newest = dated.agg(F.max("noted_date")).first()[0]
+        if newest is None:
+            return log.NO_DATE, 0
+        # Fallback ids number the rows of the prepared cut, or all dated rows.
+        if cap_days is not None:
+            dated = last_n_days(dated, cap_days, newest=newest)
+        recent = last_n_days(numbered(dated), days, cap_days=cap_days, newest=newest)
         staged = materialize(incremental_records(recent, batch), "batch")
-        rows = staged.count()
-        if rows:
-            upsert_partitions(staged, table)
-            return log.SUCCESS, rows
-        state = prepared.agg(F.max("noted_date").alias("newest")).select(
-            log.outcome("newest", F.lit(rows), F.lit(rows), F.lit(0)).alias("status")
-        )
-        return state.first()["status"], 0
+        rows = upsert_partitions(staged, table)
+        return (log.SUCCESS, rows) if rows else (log.NO_DATA, 0)
 
     return _logged(spark, history, "incremental", batch_id, work)

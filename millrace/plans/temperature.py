@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from millrace.functions.coerce import READING_FORMAT, drop_bad_dates, drop_bad_numbers
 from millrace.functions.headers import apply_aliases, canonical_for_processing, standardise
 from millrace.functions.text import normalised
-from millrace.operators.quantiles import percentile_trim, trim_report
+from millrace.operators.quantiles import between, percentile_trim, quantiles, trim_report
 from millrace.operators.ranking import temperature_extremes, top_days
 from millrace.operators.summaries import daily_mean, daily_summary, table_stats
 from millrace.sinks.reports import summary_lines
 from millrace.sinks.tables import TableSpec, create, read, replace_all, upsert_all
 
+TRIM = (0.05, 0.95)  # fixed values: percentiles kept
 NOW = {"created_at": "current_timestamp()"}
 
 DATA = TableSpec(
@@ -59,7 +60,7 @@ def usable_readings(raw: DataFrame, fmt: str = READING_FORMAT) -> DataFrame:
 
 
 def clean_readings(raw: DataFrame, fmt: str = READING_FORMAT) -> DataFrame:
-    return percentile_trim(usable_readings(raw, fmt))
+    return percentile_trim(usable_readings(raw, fmt), "temp", *TRIM)
 
 
 def process(
@@ -80,8 +81,9 @@ def process(
     usable = usable_readings(raw, fmt)
     if "out/in" in usable.columns:
         usable = usable.withColumnRenamed("out/in", "out_in")
-    limits = trim_report(usable)
-    replace_all(percentile_trim(usable), data)
+    bounds = quantiles(usable, "temp", TRIM)
+    limits = trim_report(usable, bounds)
+    replace_all(between(usable, "temp", bounds), data)
 
     loaded = read(spark, data)
     # An upsert: days missing from this run stay and can still rank.

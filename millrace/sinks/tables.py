@@ -174,23 +174,22 @@ def upsert_partitions(df: DataFrame, spec: TableSpec) -> int:
     """Insert or update by key, rewriting only the partitions ``df`` touches.
 
     The partition value must follow from the key, so a known key can only be in
-    a touched partition. Returns how many partitions were rewritten. The list
-    of touched values goes through the driver; it is as long as the number of
-    partitions (days), not the number of rows.
+    a touched partition. ``df`` has unique keys. Returns its number of rows.
+    The touched partitions pass through the driver with their row counts: one
+    small row per partition (day), whatever the number of rows.
     """
     spark = df.sparkSession
     rows = conform(df, spec)
-    touched = [r[0] for r in rows.select(spec.partition).distinct().collect()]
+    touched = rows.groupBy(spec.partition).agg(F.count("*").alias("rows")).collect()
     if not touched:
         return 0
-    current = read(spark, spec).where(F.col(spec.partition).isin(touched))
-    merged = new_keys(current, rows, spec.key).unionByName(rows)
-    # One shuffle by partition value would send a busy day to one task; AQE's
+    current = read(spark, spec).where(F.col(spec.partition).isin([t[0] for t in touched]))
+    # One shuffle by partition value would send a busy day to one task; the
     # rebalance splits large days over several files and merges small ones.
-    merged = merged.hint("rebalance", spec.partition)
+    merged = new_keys(current, rows, spec.key).unionByName(rows).hint("rebalance", spec.partition)
     with _overwrite_mode(spark, "dynamic"):
         _clustered(merged, spec).write.mode("overwrite").insertInto(spec.name)
-    return len(touched)
+    return sum(t["rows"] for t in touched)
 
 
 def insert_missing(df: DataFrame, spec: TableSpec) -> None:

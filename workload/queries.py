@@ -28,7 +28,7 @@ from millrace.operators.flatten import (
 )
 from millrace.operators.merge import insert_ignore, known_keys, new_keys, upsert
 from millrace.operators.profile import load_quality, null_profile
-from millrace.operators.quantiles import percentile_trim, trim_report
+from millrace.operators.quantiles import between, percentile_trim, quantiles, trim_report
 from millrace.operators.ranking import extremes_of_type, temperature_extremes, top_days
 from millrace.operators.recent import last_n_days
 from millrace.operators.sampling import seeded_sample
@@ -90,7 +90,8 @@ def percentile_trim_daily(spark, folder):
 
 @query
 def percentile_trim_report(spark, folder):
-    report = trim_report(_inside(spark, folder))
+    rows = _inside(spark, folder)
+    report = trim_report(rows, quantiles(rows, "temp", temperature.TRIM))
     return rounded(report, "lower_percentile", "upper_percentile")
 
 
@@ -121,7 +122,8 @@ def cold_days_report(spark, folder):
 @query
 def text_summary_report(spark, folder):
     rows = _inside(spark, folder).withColumn("noted_date", F.to_date("noted_date"))
-    return summary_lines(trim_report(rows), daily_mean(percentile_trim(rows)))
+    bounds = quantiles(rows, "temp", temperature.TRIM)
+    return summary_lines(trim_report(rows, bounds), daily_mean(between(rows, "temp", bounds)))
 
 
 @query
