@@ -74,6 +74,8 @@ def create(spark: SparkSession, spec: TableSpec, location: str | None = None) ->
 
 
 def read(spark: SparkSession, spec: TableSpec) -> DataFrame:
+    """The table as it is now, also when another session has replaced its rows."""
+    spark.catalog.refreshTable(spec.name)
     return spark.table(spec.name)
 
 
@@ -125,7 +127,6 @@ def replace_all(df: DataFrame, spec: TableSpec) -> None:
     target = f"{root}/{FOLDERS[1] if last == FOLDERS[0] else FOLDERS[0]}"
     _clustered(conform(df, spec), spec).write.mode("overwrite").parquet(target)
     spark.sql(f"ALTER TABLE {spec.name} SET LOCATION '{target}'")
-    spark.catalog.refreshTable(spec.name)
 
 
 def append(df: DataFrame, spec: TableSpec) -> None:

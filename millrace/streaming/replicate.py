@@ -9,11 +9,11 @@ upserts the same rows again and leaves the table as it was.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.plans.replication import Collection, replicate_documents
 from millrace.sinks.tables import TableSpec
-from millrace.sources.position import source_position
 
 
 def replicate_new(
@@ -29,11 +29,17 @@ def replicate_new(
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     documents = reader.json(f"{root.rstrip('/')}/{collection.name}").select(
-        "*", source_position().alias("_ord")
+        "*",
+        F.struct(
+            "_metadata.file_modification_time", "_metadata.file_path", "_metadata.file_block_start"
+        ).alias("_file"),
     )
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        replicate_documents(batch.sparkSession, batch, collection, table)
+        # Row ids only exist in a batch plan; they grow in read order in a block.
+        place = F.struct("_file", F.monotonically_increasing_id())
+        rows = batch.withColumn("_ord", place).drop("_file")
+        replicate_documents(batch.sparkSession, rows, collection, table)
 
     return (
         documents.writeStream.foreachBatch(load)
