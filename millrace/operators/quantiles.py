@@ -1,24 +1,35 @@
 """Exact percentiles that never need all values in one place, and the trim.
 
-The distinct values are counted first (one shuffle, combined before it) and
-written once. When one task can hold them, ``percentile`` finishes on the
-counted values. Otherwise each wanted rank is searched for: the candidate range
-is cut into slices, rows are counted per slice, and the search goes on in the
-slice that holds the rank until few enough distinct values remain.
+Ranks are found by counting. A first histogram over logarithmic buckets gives
+the number of rows and the bucket each wanted rank falls into. While a bucket
+holds too many distinct values it is cut into equal slices and counted again;
+then the few values left are counted one by one. Every step is a grouped count
+that combines before its small shuffle, and the driver only sees bucket rows.
+Readings with limited resolution take two passes over one column.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.session import materialize
-
 DISTINCT_LIMIT = 1_000_000  # counted values one task may hold; about 100 MB
-SLICES = 64
+OCTAVE_STEPS = 8  # first-round buckets per power of two
+SLICES = 4096  # buckets per range in later rounds
+
+
+@dataclass(frozen=True)
+class Range:
+    """An interval of values: its bounds, the rows below it, its distinct values."""
+
+    low: float
+    high: float
+    below: int
+    distinct: int
 
 
 def quantiles(
@@ -27,58 +38,95 @@ def quantiles(
     probabilities: Sequence[float],
     distinct_limit: int = DISTINCT_LIMIT,
 ) -> list[float | None]:
-    """Percentiles with linear interpolation over the non-NULL values of a column."""
-    counts = materialize(
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("double").alias("value"))
-        .agg(F.count("*").alias("rows")),
-        "value-counts",
-    )
-    distinct = counts.count()
-    if not distinct:
+    """Percentiles with linear interpolation over the numbers in a column."""
+    value = F.col(column).cast("double")
+    values = df.select(value.alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v"))
+    first = _histogram(values.withColumn("_range", F.lit(0)), _octave(F.col("v")))
+    total = sum(r["rows"] for r in first)
+    if not total:
         return [None] * len(probabilities)
-    if distinct <= distinct_limit:
-        wanted = F.array(*[F.lit(p) for p in probabilities])
-        return list(counts.agg(F.percentile("value", wanted, F.col("rows"))).first()[0])
-    total = counts.agg(F.sum("rows")).first()[0]
-    found = []
-    for p in probabilities:
-        place = p * (total - 1)
-        rank = math.floor(place)
-        part = place - rank
-        low, high = _values_at(counts, rank, min(rank + 1, total - 1), distinct_limit)
-        found.append(low if low == high else (1 - part) * low + part * high)
-    return found
-
-
-def _values_at(counts: DataFrame, first: int, second: int, limit: int) -> tuple[float, float]:
-    """The values at two neighbouring ranks (from 0) of the counted rows."""
-    inside, skipped, limit = counts, 0, max(limit, 2)
-    while inside.count() > limit:
-        # Cuts split the remaining distinct values evenly, so a round leaves at
-        # most about two slices, however the rows are spread over the values.
-        steps = F.array(*[F.lit(i / SLICES) for i in range(1, SLICES)])
-        cuts = sorted(set(inside.agg(F.percentile_approx("value", steps, 10_000)).first()[0]))
-        upto = inside.agg(
-            *[F.sum(F.when(F.col("value") <= c, F.col("rows")).otherwise(0)) for c in cuts]
-        ).first()
-        reached = [(c, skipped + n) for c, n in zip(cuts, upto)]
-        passed = [(c, n) for c, n in reached if n <= first]
-        beyond = [c for c, n in reached if n > second]
-        if passed:
-            cut, skipped = passed[-1]
-            inside = inside.where(F.col("value") > cut)
-        if beyond:
-            inside = inside.where(F.col("value") <= beyond[0])
-    # At most ``limit`` rows reach this ordered window.
-    upto = F.sum("rows").over(Window.orderBy("value")) + F.lit(skipped)
-    ranked = inside.select("value", upto.alias("_upto"))
-    return tuple(
-        ranked.agg(
-            F.min(F.when(F.col("_upto") > first, F.col("value"))),
-            F.min(F.when(F.col("_upto") > second, F.col("value"))),
-        ).first()
+    places = [p * (total - 1) for p in probabilities]
+    ranks = {k for at in places for k in (math.floor(at), min(math.floor(at) + 1, total - 1))}
+    found = _values_at(values, {k: _locate(first, k, 0) for k in ranks}, max(distinct_limit, 1))
+    results = []
+    for at in places:
+        low, part = found[math.floor(at)], at - math.floor(at)
+        high = found[min(math.floor(at) + 1, total - 1)]
+        results.append(low if low == high else (1 - part) * low + part * high)
+    return results
+
+
+def _octave(v: Column) -> Column:
+    """Logarithmic bucket with the sign of ``v``; grows with ``v``."""
+    size = F.least(F.log2(F.abs(v)), F.lit(1100.0)) + F.lit(1100.0)
+    bucket = F.floor(size * F.lit(OCTAVE_STEPS)) + F.lit(1)
+    return F.when(v == 0, F.lit(0)).when(v > 0, bucket).otherwise(-bucket)
+
+
+def _histogram(tagged: DataFrame, bucket: Column) -> list:
+    """Counts per range and bucket, in value order. At most a few thousand rows."""
+    counted = tagged.groupBy("_range", bucket.alias("_bucket")).agg(
+        F.count("*").alias("rows"),
+        F.approx_count_distinct("v").alias("distinct"),
+        F.min("v").alias("low"),
+        F.max("v").alias("high"),
     )
+    return sorted(counted.collect(), key=lambda r: (r["_range"], r["low"]))
+
+
+def _locate(buckets: list, rank: int, below: int) -> Range:
+    """The bucket that holds a rank, given the rows below the first bucket."""
+    for b in buckets:
+        if rank < below + b["rows"]:
+            return Range(b["low"], b["high"], below, b["distinct"])
+        below += b["rows"]
+    raise AssertionError("rank beyond the counted rows")
+
+
+def _tag(values: DataFrame, ranges: Sequence[Range]) -> DataFrame:
+    """Rows of the ranges with the number of their range."""
+    number = F.when(F.lit(False), F.lit(0))
+    for i, r in enumerate(ranges):
+        number = number.when(F.col("v").between(r.low, r.high), F.lit(i))
+    return values.withColumn("_range", number).where(F.col("_range").isNotNull())
+
+
+def _slice(ranges: Sequence[Range]) -> Column:
+    """Equal slices of each range; grows with ``v``."""
+    bucket = F.when(F.lit(False), F.lit(0).cast("bigint"))
+    for i, r in enumerate(ranges):
+        place = (F.col("v") - F.lit(r.low)) / F.lit(r.high - r.low)
+        bucket = bucket.when(F.col("_range") == i, F.floor(place * F.lit(float(SLICES))))
+    return bucket
+
+
+def _values_at(values: DataFrame, where: dict[int, Range], limit: int) -> dict[int, float]:
+    """The values at the wanted ranks (from 0), each known to lie in a range."""
+    while True:
+        open_ranges = {r for r in where.values() if r.low < r.high}
+        wide = sorted((r for r in open_ranges if r.distinct > limit), key=lambda r: r.low)
+        if not wide:
+            break
+        counted = _histogram(_tag(values, wide), _slice(wide))
+        for rank, r in where.items():
+            if r in wide:
+                inside = [b for b in counted if b["_range"] == wide.index(r)]
+                where[rank] = _locate(inside, rank, r.below)
+    found = {k: r.low for k, r in where.items() if r.low == r.high}
+    narrow = sorted(open_ranges, key=lambda r: r.low)
+    if narrow:
+        counts = _tag(values, narrow).groupBy("_range", "v").agg(F.count("*").alias("rows"))
+        # At most ``limit`` counted values per range reach this window.
+        upto = F.sum("rows").over(Window.partitionBy("_range").orderBy("v"))
+        ranked = counts.withColumn("_upto", upto)
+        rest = sorted(set(where) - set(found))
+        picks = []
+        for k in rest:
+            r = where[k]
+            reached = (F.col("_range") == narrow.index(r)) & (F.col("_upto") > k - r.below)
+            picks.append(F.min(F.when(reached, F.col("v"))).alias(f"r{k}"))
+        found.update(zip(rest, ranked.agg(*picks).first()))
+    return found
 
 
 def between(df: DataFrame, column: str, bounds: Sequence[float | None]) -> DataFrame:

@@ -84,7 +84,7 @@ def doubles(spark, values):
 
 
 def test_percentiles_interpolate(spark):
-    df = doubles(spark, [1, 2, 3, 4, 10, None])
+    df = doubles(spark, [1, 2, 3, 4, 10, None, float("nan")])
     assert quantiles.quantiles(df, "temp", (0.05, 0.95)) == pytest.approx([1.2, 8.8])
     assert quantiles.quantiles(doubles(spark, []), "temp", (0.5,)) == [None]
 
@@ -103,7 +103,8 @@ def test_trim_of_nothing(spark):
 
 
 @pytest.mark.parametrize(
-    ("shape", "limit"), [("uniform", 40), ("heavy_ties", 2), ("two_lumps", 40), ("exponents", 40)]
+    ("shape", "limit"),
+    [("uniform", 40), ("uniform", 1), ("heavy_ties", 2), ("two_lumps", 10), ("exponents", 4), ("signs", 1)],
 )
 def test_rank_search_equals_numpy(spark, shape, limit):
     rng = np.random.default_rng(3)
@@ -112,8 +113,9 @@ def test_rank_search_equals_numpy(spark, shape, limit):
         "heavy_ties": np.concatenate([np.full(500, 7.0), rng.uniform(0, 10, 300)]),
         "two_lumps": np.concatenate([np.full(400, 1.0), np.full(300, 9.0), rng.uniform(2, 8, 100)]),
         "exponents": np.exp(rng.uniform(-300, 300, 400)),
+        "signs": np.concatenate([-np.exp(rng.uniform(-5, 600, 50)), [0.0, -0.0, 5e-324, 1.7e308]]),
     }[shape]
-    probabilities = (0.0, 0.05, 0.95)
+    probabilities = (0.0, 0.05, 0.5, 0.95, 1.0)
     got = quantiles.quantiles(doubles(spark, data), "temp", probabilities, distinct_limit=limit)
     assert got == pytest.approx(list(np.quantile(data, probabilities)), rel=1e-12)
 

@@ -421,7 +421,7 @@ def replicate_from_json_files(spark, folder):
     database, root = inputs.scratch_database(spark), shared_dir(spark, "collections")
     collection = replication.EVENTS
     documents = inputs.event_documents(spark, folder).withColumn("_id", F.col("_ord"))
-    # One file keeps the written order, which decides the first of a repeated key.
+    # Files in position order, since the first document of a repeated key counts.
     ordered = documents.repartitionByRange("_ord").sortWithinPartitions("_ord").drop("_ord")
     ordered.write.json(f"{root}/{collection.name}")
     spec = collection.table.in_database(database)
