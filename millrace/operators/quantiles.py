@@ -1,11 +1,12 @@
 """Exact percentiles that never need all values in one place, and the trim.
 
 Ranks are found by counting. A first histogram over logarithmic buckets gives
-the number of rows and the bucket each wanted rank falls into. While a bucket
-holds too many distinct values it is cut into equal slices and counted again;
-then the few values left are counted one by one. Every step is a grouped count
-that combines before its small shuffle, and the driver only sees bucket rows.
-Readings with limited resolution take two passes over one column.
+the number of rows and the bucket each wanted rank falls into. A bucket that
+holds too many rows is cut into equal slices and counted again, until it holds
+one value only or few enough rows to order. Every step is a grouped count that
+combines before its small shuffle, and the driver only sees bucket rows.
+Readings with limited resolution take two passes over one column; a slice is
+4096 times narrower than its bucket, so any column takes a handful.
 """
 
 from __future__ import annotations
@@ -17,26 +18,26 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DISTINCT_LIMIT = 1_000_000  # counted values one task may hold; about 100 MB
+ROW_LIMIT = 1_000_000  # rows one task may order; about 100 MB
 OCTAVE_STEPS = 8  # first-round buckets per power of two
 SLICES = 4096  # buckets per range in later rounds
 
 
 @dataclass(frozen=True)
 class Range:
-    """An interval of values: its bounds, the rows below it, its distinct values."""
+    """An interval of values: its smallest and largest, the rows below and in it."""
 
     low: float
     high: float
     below: int
-    distinct: int
+    rows: int
 
 
 def quantiles(
     df: DataFrame,
     column: str,
     probabilities: Sequence[float],
-    distinct_limit: int = DISTINCT_LIMIT,
+    row_limit: int = ROW_LIMIT,
 ) -> list[float | None]:
     """Percentiles with linear interpolation over the numbers in a column."""
     value = F.col(column).cast("double")
@@ -47,7 +48,7 @@ def quantiles(
         return [None] * len(probabilities)
     places = [p * (total - 1) for p in probabilities]
     ranks = {k for at in places for k in (math.floor(at), min(math.floor(at) + 1, total - 1))}
-    found = _values_at(values, {k: _locate(first, k, 0) for k in ranks}, max(distinct_limit, 1))
+    found = _values_at(values, {k: _locate(first, k, 0) for k in ranks}, row_limit)
     results = []
     for at in places:
         low, part = found[math.floor(at)], at - math.floor(at)
@@ -67,7 +68,6 @@ def _histogram(tagged: DataFrame, bucket: Column) -> list:
     """Counts per range and bucket, in value order. At most a few thousand rows."""
     counted = tagged.groupBy("_range", bucket.alias("_bucket")).agg(
         F.count("*").alias("rows"),
-        F.approx_count_distinct("v").alias("distinct"),
         F.min("v").alias("low"),
         F.max("v").alias("high"),
     )
@@ -78,7 +78,7 @@ def _locate(buckets: list, rank: int, below: int) -> Range:
     """The bucket that holds a rank, given the rows below the first bucket."""
     for b in buckets:
         if rank < below + b["rows"]:
-            return Range(b["low"], b["high"], below, b["distinct"])
+            return Range(b["low"], b["high"], below, b["rows"])
         below += b["rows"]
     raise AssertionError("rank beyond the counted rows")
 
@@ -104,7 +104,7 @@ def _values_at(values: DataFrame, where: dict[int, Range], limit: int) -> dict[i
     """The values at the wanted ranks (from 0), each known to lie in a range."""
     while True:
         open_ranges = {r for r in where.values() if r.low < r.high}
-        wide = sorted((r for r in open_ranges if r.distinct > limit), key=lambda r: r.low)
+        wide = sorted((r for r in open_ranges if r.rows > limit), key=lambda r: r.low)
         if not wide:
             break
         counted = _histogram(_tag(values, wide), _slice(wide))
@@ -115,16 +115,15 @@ def _values_at(values: DataFrame, where: dict[int, Range], limit: int) -> dict[i
     found = {k: r.low for k, r in where.items() if r.low == r.high}
     narrow = sorted(open_ranges, key=lambda r: r.low)
     if narrow:
-        counts = _tag(values, narrow).groupBy("_range", "v").agg(F.count("*").alias("rows"))
-        # At most ``limit`` counted values per range reach this window.
-        upto = F.sum("rows").over(Window.partitionBy("_range").orderBy("v"))
-        ranked = counts.withColumn("_upto", upto)
+        # At most ``limit`` rows of a range reach this window.
+        place = F.row_number().over(Window.partitionBy("_range").orderBy("v"))
+        ranked = _tag(values, narrow).withColumn("_place", place - F.lit(1))
         rest = sorted(set(where) - set(found))
         picks = []
         for k in rest:
             r = where[k]
-            reached = (F.col("_range") == narrow.index(r)) & (F.col("_upto") > k - r.below)
-            picks.append(F.min(F.when(reached, F.col("v"))).alias(f"r{k}"))
+            here = (F.col("_range") == narrow.index(r)) & (F.col("_place") == k - r.below)
+            picks.append(F.max(F.when(here, F.col("v"))).alias(f"r{k}"))
         found.update(zip(rest, ranked.agg(*picks).first()))
     return found
 
@@ -140,10 +139,10 @@ def percentile_trim(
     column: str = "temp",
     low: float = 0.05,
     high: float = 0.95,
-    distinct_limit: int = DISTINCT_LIMIT,
+    row_limit: int = ROW_LIMIT,
 ) -> DataFrame:
     """Rows between the two percentiles of ``column``, both ends included."""
-    return between(df, column, quantiles(df, column, (low, high), distinct_limit))
+    return between(df, column, quantiles(df, column, (low, high), row_limit))
 
 
 def trim_report(

@@ -13,7 +13,16 @@ from millrace.functions.coerce import READING_FORMAT, drop_bad_dates, to_number
 from millrace.functions.headers import canonical_for_load, standardise
 from millrace.functions.identity import device_id_full, device_id_incremental, location
 from millrace.operators.dedupe import keep_last
+from millrace.operators.profile import load_quality
 from millrace.operators.recent import last_n_days
+from millrace.operators.summaries import (
+    batch_days,
+    batch_rows,
+    batch_stats,
+    day_span,
+    load_stats,
+    table_stats,
+)
 from millrace.session import materialize
 from millrace.sinks import history as log
 from millrace.sinks.tables import TableSpec, create, read, replace_all, upsert_partitions
@@ -177,3 +186,35 @@ def incremental_load(
         return (log.SUCCESS, rows) if rows else (log.NO_DATA, 0)
 
     return _logged(spark, history, "incremental", batch_id, work)
+
+
+def load_summary(
+    spark: SparkSession, table: TableSpec, history: TableSpec, kind: str | None = None
+) -> dict[str, DataFrame]:
+    """What a load leaves behind: table statistics and the newest batch."""
+    loaded = read(spark, table)
+    return {
+        "stats": table_stats(loaded, value="temperature"),
+        "devices": load_stats(loaded),
+        "last_load": log.latest_loads(log.batches(spark, history), 1, kind),
+    }
+
+
+def batch_summary(
+    spark: SparkSession, table: TableSpec, batch_id: str, newest: int = 5
+) -> dict[str, DataFrame]:
+    """Rows per day, covered days and temperatures of one batch."""
+    loaded = read(spark, table)
+    return {
+        "days": batch_days(loaded, batch_id, newest),
+        "span": day_span(batch_rows(loaded, batch_id)),
+        "stats": batch_stats(loaded, batch_id),
+    }
+
+
+def quick_check(spark: SparkSession, table: TableSpec, history: TableSpec) -> dict[str, DataFrame]:
+    """Counts and duplicate keys of an incremental table, and the last three batches."""
+    return {
+        "quality": load_quality(read(spark, table)),
+        "last_loads": log.latest_loads(log.batches(spark, history), 3),
+    }

@@ -13,8 +13,9 @@ from millrace.functions.text import normalised
 from millrace.operators.quantiles import between, percentile_trim, quantiles, trim_report
 from millrace.operators.ranking import temperature_extremes, top_days
 from millrace.operators.summaries import daily_mean, daily_summary, table_stats
-from millrace.sinks.reports import summary_lines
+from millrace.sinks.reports import summary_lines, write_text
 from millrace.sinks.tables import TableSpec, create, read, replace_all, upsert_all
+from millrace.sources.delimited import write_delimited
 
 TRIM = (0.05, 0.95)  # fixed values: percentiles kept
 NOW = {"created_at": "current_timestamp()"}
@@ -69,11 +70,14 @@ def process(
     fmt: str = READING_FORMAT,
     tables: Mapping[str, TableSpec] = TABLES,
     top: int = 5,
+    output: str | None = None,
 ) -> dict[str, DataFrame]:
     """Run the whole job and return its tables and reports as DataFrames.
 
     The cleaned rows are written first; everything after reads that table, so
-    the raw file is parsed for the percentiles and the load only.
+    the raw file is parsed for the percentiles and the load only. With an
+    ``output`` folder the rows also go to ``results`` (CSV) and the report to
+    ``summary`` (text) in it, replacing those of an earlier run.
     """
     data, summary, extremes = tables["data"], tables["summary"], tables["extremes"]
     for spec in (data, summary, extremes):
@@ -91,6 +95,10 @@ def process(
     replace_all(temperature_extremes(read(spark, summary), top), extremes)
 
     daily = daily_mean(loaded)
+    report = summary_lines(limits, daily, top)
+    if output is not None:
+        write_delimited(loaded.drop("created_at"), f"{output}/results", "overwrite")
+        write_text(report, f"{output}/summary", "overwrite")
     return {
         "data": loaded,
         "summary": read(spark, summary),
@@ -99,5 +107,5 @@ def process(
         "coldest": top_days(daily, top, hottest=False),
         "limits": limits,
         "stats": table_stats(loaded),
-        "report": summary_lines(limits, daily, top),
+        "report": report,
     }

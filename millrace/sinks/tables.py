@@ -131,14 +131,16 @@ def replace_all(df: DataFrame, spec: TableSpec) -> None:
 
 def append(df: DataFrame, spec: TableSpec) -> None:
     """Add rows without looking at keys; a repeated run adds them again."""
+    df.sparkSession.catalog.refreshTable(spec.name)
     conform(df, spec).write.mode("append").insertInto(spec.name)
 
 
 @contextmanager
-def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    # Only the session setting lets a job overwrite partitions it also reads.
     setting = "spark.sql.sources.partitionOverwriteMode"
     before = spark.conf.get(setting)
-    spark.conf.set(setting, mode)
+    spark.conf.set(setting, "dynamic")
     try:
         yield
     finally:
@@ -148,19 +150,18 @@ def _overwrite_mode(spark: SparkSession, mode: str) -> Iterator[None]:
 def replace_slice(df: DataFrame, spec: TableSpec, value: dt.date) -> None:
     """Make ``df`` the whole content of one date partition, even when it is empty.
 
-    The overwrite is static: a dynamic one would leave the old slice in place
-    whenever there are no new rows.
+    The partition value is named in the statement. Leaving it to the rows would
+    keep the old slice whenever there are no new rows.
     """
     spark = df.sparkSession
     kept = [c for c in spec.schema.names if c != spec.partition]
     rows = conform(df, spec).select(*kept)
-    with _overwrite_mode(spark, "static"):
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {spec.name} "
-            f"PARTITION (`{spec.partition}` = DATE'{value.isoformat()}') "
-            f"SELECT * FROM {{rows}}",
-            rows=rows,
-        )
+    spark.sql(
+        f"INSERT OVERWRITE TABLE {spec.name} "
+        f"PARTITION (`{spec.partition}` = DATE'{value.isoformat()}') "
+        f"SELECT * FROM {{rows}}",
+        rows=rows,
+    )
 
 
 def upsert_all(
@@ -188,7 +189,7 @@ def upsert_partitions(df: DataFrame, spec: TableSpec) -> int:
     # One shuffle by partition value would send a busy day to one task; the
     # rebalance splits large days over several files and merges small ones.
     merged = new_keys(current, rows, spec.key).unionByName(rows).hint("rebalance", spec.partition)
-    with _overwrite_mode(spark, "dynamic"):
+    with _dynamic_overwrite(spark):
         _clustered(merged, spec).write.mode("overwrite").insertInto(spec.name)
     return sum(t["rows"] for t in touched)
 

@@ -148,6 +148,17 @@ def test_repeated_load_updates_in_place(spark, specs):
     assert load_quality(loaded).first().duplicate_keys == 0
     assert loaded.where("batch_id = 'inc_3'").count() == first.rows
     assert loaded.where("batch_id = 'inc_1'").count() == 0
+    report = loads.load_summary(spark, table, history, "incremental")
+    assert report["stats"].first().total_records == before
+    assert report["devices"].first().device_count == 11
+    assert report["last_load"].first().batch_id == "inc_3"
+    batch = loads.batch_summary(spark, table, "inc_3")
+    assert sum(r.records for r in batch["days"].collect()) == first.rows
+    assert batch["span"].first().days == batch["days"].count()
+    assert batch["stats"].first().min_temp >= 0
+    check = loads.quick_check(spark, table, history)
+    assert check["quality"].first().total_rows == before
+    assert [r.batch_id for r in check["last_loads"].collect()] == ["inc_3", "inc_2", "inc_1"]
 
 
 def test_run_parameters():

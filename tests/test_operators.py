@@ -116,7 +116,7 @@ def test_rank_search_equals_numpy(spark, shape, limit):
         "signs": np.concatenate([-np.exp(rng.uniform(-5, 600, 50)), [0.0, -0.0, 5e-324, 1.7e308]]),
     }[shape]
     probabilities = (0.0, 0.05, 0.5, 0.95, 1.0)
-    got = quantiles.quantiles(doubles(spark, data), "temp", probabilities, distinct_limit=limit)
+    got = quantiles.quantiles(doubles(spark, data), "temp", probabilities, row_limit=limit)
     assert got == pytest.approx(list(np.quantile(data, probabilities)), rel=1e-12)
 
 

@@ -3,7 +3,6 @@ import datetime as dt
 import pytest
 
 from millrace.plans import temperature
-from millrace.sinks.reports import write_text
 from millrace.sinks.tables import read
 from millrace.sources.delimited import read_delimited, write_delimited
 
@@ -49,7 +48,7 @@ def test_missing_columns_are_an_error(spark):
 def test_whole_job(spark, raw, specs, rows, tmp_path):
     # 21 values 1..21: the 5th percentile is 2 and the 95th is 20.
     text = "".join(lines(d, *range(3 * d - 2, 3 * d + 1)) for d in range(1, 8))
-    results = temperature.process(spark, raw(text), tables=specs)
+    results = temperature.process(spark, raw(text), tables=specs, output=str(tmp_path / "out"))
     limits = results["limits"].first()
     assert (limits.lower_percentile, limits.upper_percentile) == (2.0, 20.0)
     assert (limits.rows_before, limits.rows_after) == (21, 19)
@@ -63,8 +62,8 @@ def test_whole_job(spark, raw, specs, rows, tmp_path):
     stats = results["stats"].first()
     assert (stats.total_records, stats.total_days, stats.min_temp, stats.max_temp) == (19, 7, 2.0, 20.0)
 
-    write_text(results["report"], str(tmp_path / "report"))
-    report = [r.value for r in spark.read.text(str(tmp_path / "report")).collect()]
+    assert read_delimited(spark, str(tmp_path / "out" / "results")).count() == 19
+    report = [r.value for r in spark.read.text(str(tmp_path / "out" / "summary")).collect()]
     assert report[2:5] == [
         "Всего записей после очистки: 19", "5-й процентиль: 2.00°C", "95-й процентиль: 20.00°C",
     ]

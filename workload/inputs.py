@@ -68,14 +68,14 @@ def readings(spark: SparkSession, folder: str) -> DataFrame:
 
 def text_readings(spark: SparkSession, folder: str) -> DataFrame:
     """Readings as a sensor file has them: messy headers, all text, some bad cells."""
-    key = F.col("event_id")
+    k = props_key()
     return table(spark, folder, "events").select(
         F.concat(F.lit("__export__.temp_log_"), F.col("event_id").cast("string"), F.lit("_"),
                  F.col("user_id").cast("string")).alias("ID"),
         F.lit("Room Admin").alias("Room_ID/ID"),
-        F.when(key % 97 == 0, F.lit("not a date"))
+        F.when(k == 97, F.lit("not a date"))
         .otherwise(F.date_format("ts", "MM-dd-yyyy HH:mm")).alias(" Noted Date "),
-        F.when(key % 89 == 0, F.lit("x")).otherwise(F.col("value").cast("string")).alias("Temp"),
+        F.when(k == 89, F.lit("x")).otherwise(F.col("value").cast("string")).alias("Temp"),
         F.when(F.col("event_type") == "view", F.lit(" In "))
         .when(F.col("event_type") == "error", F.lit(None))
         .otherwise(F.lit("Out")).alias("Out/In"),
@@ -83,17 +83,17 @@ def text_readings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def keyed_readings(spark: SparkSession, folder: str) -> DataFrame:
-    """Loadable readings with canonical names, some ids missing, and a row position."""
-    key = F.col("event_id")
+    """Loadable readings with canonical names, no id for sign-ups, and a row position."""
+    user = F.concat(F.lit("log_"), F.col("user_id").cast("string"))
+    place = F.concat(F.lit(" "), F.col("event_type"), F.lit("_sensor"))
     return table(spark, folder, "events").select(
-        F.when(key % 5 != 0, F.concat(F.lit("log_"), F.col("user_id").cast("string"))).alias("id"),
-        F.when(key % 10 == 0, F.lit("Room Admin")).alias("room_id_id"),
+        F.when(F.col("event_type") != "signup", user).alias("id"),
+        F.when(props_key() < 50, F.lit("Room Admin")).alias("room_id_id"),
         F.date_format(F.date_trunc("HOUR", "ts"), "MM-dd-yyyy HH:mm").alias("noted_date"),
         F.col("value").cast("string").alias("temp"),
-        F.when(F.col("event_type") != "error", F.concat(F.lit(" "), F.col("event_type"),
-               F.lit("_sensor"))).alias("out_in"),
-        key.alias("_row"),
-    )
+        F.when(F.col("event_type") != "error", place).alias("out_in"),
+        F.col("event_id").alias("_row"),
+    )
 
 
 def sessions(spark: SparkSession, folder: str) -> DataFrame:
@@ -247,7 +247,7 @@ def review_documents(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def pet_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """Events as JSON texts holding none, one or two pets each."""
+    """Events as JSON texts: errors hold no pets, purchases two, the others one."""
     k = props_key()
 
     def pet(name: Column) -> Column:
@@ -264,8 +264,8 @@ def pet_documents(spark: SparkSession, folder: str) -> DataFrame:
 
     first = pet(F.concat(F.lit("a"), F.col("event_id").cast("string")))
     second = pet(F.concat(F.lit("b"), F.col("event_id").cast("string")))
-    pets = F.when(F.col("event_id") % 3 == 1, F.array(first)).when(
-        F.col("event_id") % 3 == 2, F.array(first, second)
+    pets = F.when(F.col("event_type") == "purchase", F.array(first, second)).when(
+        F.col("event_type") != "error", F.array(first)
     )
     return table(spark, folder, "events").select(F.to_json(F.struct(pets.alias("pets"))).alias("json_data"))
 

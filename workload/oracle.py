@@ -48,9 +48,9 @@ def _extremes(limit: int = 5, source: str = "daily", day: str = "day", mean: str
     return " UNION ALL ".join(parts)
 
 
-KEYED = """
-SELECT CASE WHEN event_id % 5 <> 0 THEN 'log_' || user_id END AS id,
-       CASE WHEN event_id % 10 = 0 THEN 'Room Admin' END AS room,
+KEYED = f"""
+SELECT CASE WHEN event_type <> 'signup' THEN 'log_' || user_id END AS id,
+       CASE WHEN {K} < 50 THEN 'Room Admin' END AS room,
        date_trunc('hour', ts) AS noted_date, value,
        CASE WHEN event_type <> 'error' THEN ' ' || event_type || '_sensor' END AS out_in,
        event_id
@@ -131,7 +131,7 @@ FROM orders ORDER BY o_orderkey // 2, o_orderkey
 
 PETS = f"""
 SELECT event_id, event_type AS species, {K} AS k, unnest(
-         CASE event_id % 3 WHEN 1 THEN ['a'] WHEN 2 THEN ['a', 'b'] ELSE [] END) AS letter
+         CASE event_type WHEN 'purchase' THEN ['a', 'b'] WHEN 'error' THEN [] ELSE ['a'] END) AS letter
 FROM events
 """
 # JSON text of one food: <b>"e-acute, a number and a closing tag after a backslash.
@@ -161,10 +161,10 @@ SELECT DISTINCT ON (event_id // 2) 'evt_' || (event_id // 2) AS event_id,
 FROM events e ORDER BY e.event_id // 2, e.event_id
 """
 
-CSV_ROWS = """
+CSV_ROWS = f"""
 SELECT event_id, user_id, date_trunc('minute', ts) AS noted_date,
-       CASE WHEN event_id % 89 <> 0 THEN value END AS temperature, event_type
-FROM events WHERE event_id % 97 <> 0
+       CASE WHEN {K} <> 89 THEN value END AS temperature, event_type
+FROM events WHERE {K} <> 97
 """
 
 
@@ -184,12 +184,11 @@ keyed AS ({KEYED}), {_incremental_batch('inc_1', 3, 0)}, {_incremental_batch('in
 {_incremental_batch('inc_3', 3, 0)}
 """
 
-STATUS_ROWS = """
-SELECT user_id,
-       max(CASE WHEN user_id % 7 <> 0 THEN ts END) AS newest,
-       count(CASE WHEN user_id % 7 <> 0 AND user_id % 5 <> 0 THEN 1 END) AS in_window,
-       count(CASE WHEN user_id % 7 <> 0 AND user_id % 5 <> 0 AND user_id % 3 <> 0 THEN 1 END) AS valid,
-       count(CASE WHEN user_id % 7 <> 0 AND user_id % 5 <> 0 AND user_id % 4 = 0 THEN 1 END) AS errors
+STATUS_ROWS = f"""
+SELECT user_id, max(ts) FILTER ({K} < 3) AS newest,
+       count(*) FILTER (ts >= TIMESTAMP '2024-01-30') AS in_window,
+       count(*) FILTER (ts >= TIMESTAMP '2024-01-30' AND event_type <> 'signup') AS valid,
+       count(*) FILTER (ts >= TIMESTAMP '2024-01-30' AND event_type = 'error') AS errors
 FROM events GROUP BY 1
 """
 

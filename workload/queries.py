@@ -539,15 +539,13 @@ def load_history_latest(spark, folder):
 
 @query
 def load_outcomes(spark, folder):
-    """Status of one batch per user: newest date, rows in a window, usable rows, errors."""
-    events = table(spark, folder, "events")
-    dated = F.when(F.col("user_id") % 7 != 0, F.col("ts"))
-    in_window = (F.col("user_id") % 5 != 0) & dated.isNotNull()
-    per_user = events.groupBy("user_id").agg(
-        F.max(dated).alias("newest"),
-        F.count_if(in_window).alias("in_window"),
-        F.count_if(in_window & (F.col("user_id") % 3 != 0)).alias("valid"),
-        F.count_if(in_window & (F.col("user_id") % 4 == 0)).alias("errors"),
+    """Status of one batch per user: newest date, rows of the last day, usable rows, errors."""
+    last_day = F.col("ts") >= F.lit("2024-01-30").cast("timestamp_ntz")
+    per_user = table(spark, folder, "events").groupBy("user_id").agg(
+        F.max(F.when(inputs.props_key() < 3, F.col("ts"))).alias("newest"),
+        F.count_if(last_day).alias("in_window"),
+        F.count_if(last_day & (F.col("event_type") != "signup")).alias("valid"),
+        F.count_if(last_day & (F.col("event_type") == "error")).alias("errors"),
     )
     return per_user.select("user_id", log.outcome("newest", "in_window", "valid", "errors").alias("status"))
 
