@@ -18,10 +18,14 @@ def _names(value: str | Sequence[str]) -> list[str]:
 
 
 def _choose(df: DataFrame, key, order, pick: Callable) -> DataFrame:
+    keys, columns = _names(key), df.columns
     # A struct is never NULL itself, so rows with a NULL position still count.
     place = F.struct(*_names(order))
-    chosen = pick(F.struct(*df.columns), place).alias("_row")
-    return df.groupBy(*_names(key)).agg(chosen).select("_row.*")
+    rest = [c for c in columns if c not in keys]
+    chosen = pick(F.struct(*rest), place).alias("_row")
+    # Keys come from the grouping, so a join on them needs no second shuffle.
+    picked = [F.col(c) if c in keys else F.col(f"_row.`{c}`").alias(c) for c in columns]
+    return df.groupBy(*keys).agg(chosen).select(*picked)
 
 
 def keep_first(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str]) -> DataFrame:

@@ -80,7 +80,11 @@ def read(spark: SparkSession, spec: TableSpec) -> DataFrame:
 
 
 def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Columns in table order and type, defaults filled, NULLs in required columns refused."""
+    """Columns in table order and type, defaults filled, NULLs in required columns refused.
+
+    The checks sit in a filter, so that key columns stay plain references and a
+    merge can use the partitioning the rows already have.
+    """
     derived = {spec.partition: spec.partition_from} if spec.partition_from else {}
     present = set(df.columns)
     columns: list[Column] = []
@@ -91,12 +95,17 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
             value = F.col(f"`{f.name}`")
         else:
             value = F.expr(spec.defaults.get(f.name, "NULL"))
-        value = value.cast(f.dataType)
-        if f.name in spec.required or f.name in spec.key:
-            message = f"{spec.name}.{f.name} must not be NULL"
-            value = F.coalesce(value, F.raise_error(F.lit(message)).cast(f.dataType))
-        columns.append(value.alias(f.name))
-    return df.select(*columns)
+        columns.append(value.cast(f.dataType).alias(f.name))
+    rows = df.select(*columns)
+    checked = [n for n in spec.schema.names if n in spec.required or n in spec.key]
+    if not checked:
+        return rows
+    refused = F.lit(None).cast("boolean")
+    for name in checked:
+        message = F.lit(f"{spec.name}.{name} must not be NULL")
+        found = F.when(F.col(f"`{name}`").isNull(), F.raise_error(message).cast("boolean"))
+        refused = F.coalesce(refused, found)
+    return rows.where(refused.isNull())
 
 
 def check_unique(df: DataFrame, spec: TableSpec) -> None:

@@ -7,6 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import dedupe, marts, merge, quantiles, ranking, recent, summaries
+from millrace.plans import replication
+from millrace.sinks import tables as tb
+from workload import inputs
 from workload.queries import REGISTRY
 
 FOLDER = "/root/testdata/sf0.001"
@@ -88,3 +91,18 @@ def test_plain_upsert_moves_keys_of_the_source_only(events):
     assert "LeftAnti" in text and "FullOuter" not in text
     kept = plan(merge.upsert(events, events, ["event_id"], keep=["ts"]))
     assert kept.count("FullOuter") == 1
+
+
+def test_replication_shuffles_each_side_once(spark, database):
+    collection = replication.SESSIONS
+    spec = collection.table.in_database(database)
+    documents = inputs.session_documents(spark, FOLDER)
+    replication.replicate_documents(spark, documents, collection, spec)
+    source = tb.conform(replication.transform(documents, collection), spec)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(merge.upsert(tb.read(spark, spec), source, spec.key, collection.keep, collection.on_update))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert text.count("Exchange hashpartitioning") == 2
