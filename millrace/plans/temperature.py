@@ -13,6 +13,7 @@ from millrace.functions.text import normalised
 from millrace.operators.quantiles import between, percentile_trim, quantiles, trim_report
 from millrace.operators.ranking import temperature_extremes, top_days
 from millrace.operators.summaries import daily_mean, daily_summary, table_stats
+from millrace.session import materialize
 from millrace.sinks.reports import summary_lines, write_text
 from millrace.sinks.tables import TableSpec, create, read, replace_all, upsert_all
 from millrace.sources.delimited import write_delimited
@@ -74,20 +75,20 @@ def process(
 ) -> dict[str, DataFrame]:
     """Run the whole job and return its tables and reports as DataFrames.
 
-    The cleaned rows are written first; everything after reads that table, so
-    the raw file is parsed for the percentiles and the load only. With an
-    ``output`` folder the rows also go to ``results`` (CSV) and the report to
-    ``summary`` (text) in it, replacing those of an earlier run.
+    The usable rows are written once to the shared folder: the raw text is
+    parsed a single time, and the percentile passes read one column of that
+    copy. With an ``output`` folder the trimmed rows, all their columns, also go
+    to ``results`` (CSV) and the report to ``summary`` (text) in it, replacing
+    those of an earlier run.
     """
     data, summary, extremes = tables["data"], tables["summary"], tables["extremes"]
     for spec in (data, summary, extremes):
         create(spark, spec)
-    usable = usable_readings(raw, fmt)
-    if "out/in" in usable.columns:
-        usable = usable.withColumnRenamed("out/in", "out_in")
+    usable = materialize(usable_readings(raw, fmt), "usable-readings")
     bounds = quantiles(usable, "temp", TRIM)
     limits = trim_report(usable, bounds)
-    replace_all(between(usable, "temp", bounds), data)
+    trimmed = between(usable, "temp", bounds)
+    replace_all(trimmed.withColumnsRenamed({"out/in": "out_in"}), data)
 
     loaded = read(spark, data)
     # An upsert: days missing from this run stay and can still rank.
@@ -97,7 +98,7 @@ def process(
     daily = daily_mean(loaded)
     report = summary_lines(limits, daily, top)
     if output is not None:
-        write_delimited(loaded.drop("created_at"), f"{output}/results", "overwrite")
+        write_delimited(trimmed, f"{output}/results", "overwrite")
         write_text(report, f"{output}/summary", "overwrite")
     return {
         "data": loaded,

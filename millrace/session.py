@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -17,6 +18,19 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
 }
 
+SHUFFLE_BYTES = 256 * 1024 * 1024  # aimed size of one shuffle partition
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def shuffle_settings(input_bytes: int) -> dict[str, str]:
+    """Shuffle partitions for an input size. AQE merges small ones afterwards."""
+    wanted = math.ceil(input_bytes / SHUFFLE_BYTES)
+    partitions = str(min(max(wanted, 200), MAX_SHUFFLE_PARTITIONS))
+    return {
+        "spark.sql.shuffle.partitions": partitions,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": partitions,
+    }
+
 
 def get_session(master: str | None = None, app: str = "millrace", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)

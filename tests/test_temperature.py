@@ -62,7 +62,9 @@ def test_whole_job(spark, raw, specs, rows, tmp_path):
     stats = results["stats"].first()
     assert (stats.total_records, stats.total_days, stats.min_temp, stats.max_temp) == (19, 7, 2.0, 20.0)
 
-    assert read_delimited(spark, str(tmp_path / "out" / "results")).count() == 19
+    results_file = read_delimited(spark, str(tmp_path / "out" / "results"))
+    assert results_file.columns == ["id", "room_id/id", "noted_date", "temp", "out/in"]
+    assert results_file.count() == 19
     report = [r.value for r in spark.read.text(str(tmp_path / "out" / "summary")).collect()]
     assert report[2:5] == [
         "Всего записей после очистки: 19", "5-й процентиль: 2.00°C", "95-й процентиль: 20.00°C",
