@@ -18,13 +18,15 @@ def _names(value: str | Sequence[str]) -> list[str]:
 
 
 def _choose(df: DataFrame, key, order, pick: Callable) -> DataFrame:
-    keys, columns = _names(key), df.columns
+    keys = _names(key)
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
     # A struct is never NULL itself, so rows with a NULL position still count.
     place = F.struct(*_names(order))
-    rest = [c for c in columns if c not in keys]
-    chosen = pick(F.struct(*rest), place).alias("_row")
+    chosen = pick(F.struct(*[F.col(f"`{c}`") for c in rest]), place).alias("_row")
     # Keys come from the grouping, so a join on them needs no second shuffle.
-    picked = [F.col(c) if c in keys else F.col(f"_row.`{c}`").alias(c) for c in columns]
+    picked = [F.col(c) if c in keys else F.col(f"_row.`{c}`").alias(c) for c in df.columns]
     return df.groupBy(*keys).agg(chosen).select(*picked)
 
 

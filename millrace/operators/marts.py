@@ -14,7 +14,7 @@ OPEN_STATUSES = ("open", "in_progress")
 
 def _money_like(total: Column, count: Column) -> Column:
     """An average rounded half-up to NUMERIC(12,2), from an exact integer sum."""
-    exact = total.cast("decimal(20,0)") / F.nullif(count, F.lit(0)).cast("decimal(15,0)")
+    exact = total.cast("decimal(20,0)") / F.nullif(count, F.lit(0)).cast("decimal(20,0)")
     return exact.cast("decimal(12,2)")
 
 
@@ -45,10 +45,10 @@ def user_activity(
     counted = F.lit(True) if grain == "page" else F.coalesce(F.col("_pos"), F.lit(0)) == 0
     seconds = F.when(counted, F.col("_seconds"))
     return visits.groupBy("activity_date", "user_id").agg(
-        F.count(F.when(counted, 1)).cast("int").alias("sessions_count"),
+        F.count(F.when(counted, 1)).alias("sessions_count"),
         _money_like(F.sum(seconds), F.count(seconds)).alias("avg_session_duration_seconds"),
-        F.sum(F.when(counted, F.col("_actions")).otherwise(0)).cast("int").alias("total_actions"),
-        F.count_distinct("_page").cast("int").alias("unique_pages_visited"),
+        F.sum(F.when(counted, F.col("_actions")).otherwise(0)).alias("total_actions"),
+        F.count_distinct("_page").alias("unique_pages_visited"),
     )
 
 
@@ -64,9 +64,9 @@ def support_efficiency(tickets: DataFrame, run_date: dt.date) -> DataFrame:
         tickets.where(F.to_date("created_at") <= F.lit(run_date))
         .groupBy("issue_type", "status")
         .agg(
-            F.count("*").cast("int").alias("tickets_count"),
+            F.count("*").alias("tickets_count"),
             hours.alias("avg_resolution_time_hours"),
-            F.sum(F.when(is_open, 1).otherwise(0)).cast("int").alias("open_tickets_count"),
+            F.sum(F.when(is_open, 1).otherwise(0)).alias("open_tickets_count"),
         )
         .select(F.lit(run_date).alias("snapshot_date"), "*")
     )

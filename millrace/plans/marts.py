@@ -10,11 +10,12 @@ from millrace.operators.marts import support_efficiency, user_activity
 from millrace.plans.replication import SESSIONS, TICKETS
 from millrace.sinks.tables import TableSpec, create, read, replace_slice
 
+# Counts are BIGINT: at scale a single group can pass the range of INT.
 ACTIVITY = TableSpec(
     name="marts.user_activity_mart",
     ddl=(
-        "user_id STRING, sessions_count INT, avg_session_duration_seconds DECIMAL(12,2), "
-        "total_actions INT, unique_pages_visited INT, activity_date DATE"
+        "user_id STRING, sessions_count BIGINT, avg_session_duration_seconds DECIMAL(12,2), "
+        "total_actions BIGINT, unique_pages_visited BIGINT, activity_date DATE"
     ),
     key=("activity_date", "user_id"),
     required=("sessions_count",),
@@ -23,8 +24,8 @@ ACTIVITY = TableSpec(
 SUPPORT = TableSpec(
     name="marts.support_efficiency_mart",
     ddl=(
-        "issue_type STRING, status STRING, tickets_count INT, "
-        "avg_resolution_time_hours DECIMAL(12,2), open_tickets_count INT, snapshot_date DATE"
+        "issue_type STRING, status STRING, tickets_count BIGINT, "
+        "avg_resolution_time_hours DECIMAL(12,2), open_tickets_count BIGINT, snapshot_date DATE"
     ),
     key=("snapshot_date", "issue_type", "status"),
     required=("tickets_count",),

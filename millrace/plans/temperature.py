@@ -30,7 +30,7 @@ SUMMARY = TableSpec(
     name="temperature_summary",
     ddl=(
         "date DATE, avg_temp DOUBLE, min_temp DOUBLE, max_temp DOUBLE, "
-        "record_count INT, created_at TIMESTAMP"
+        "record_count BIGINT, created_at TIMESTAMP"
     ),
     key=("date",),
     defaults=NOW,

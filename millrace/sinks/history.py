@@ -15,7 +15,7 @@ HISTORY = TableSpec(
     name="load_history",
     ddl=(
         "load_type STRING, batch_id STRING, start_date TIMESTAMP, end_date TIMESTAMP, "
-        "records_loaded INT, load_status STRING, error_message STRING, "
+        "records_loaded BIGINT, load_status STRING, error_message STRING, "
         "created_at TIMESTAMP, changed_at TIMESTAMP"
     ),
     required=("batch_id",),

@@ -14,7 +14,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,8 +48,7 @@ class TableSpec:
         return StructType.fromDDL(self.ddl)
 
     def in_database(self, database: str) -> TableSpec:
-        values = {**self.__dict__, "name": f"{database}.{self.name.rsplit('.', 1)[-1]}"}
-        return TableSpec(**values)
+        return replace(self, name=f"{database}.{self.name.rsplit('.', 1)[-1]}")
 
 
 def create(spark: SparkSession, spec: TableSpec, location: str | None = None) -> None:

@@ -4,6 +4,7 @@ import json
 import pytest
 
 from millrace.plans import replication
+from millrace.plans.marts import ACTIVITY, SUPPORT, build_marts
 from millrace.plans.replication import COLLECTIONS, replicate, transform
 from millrace.sinks import tables as tb
 from millrace.sources.documents import read_collection
@@ -141,3 +142,18 @@ def test_polling_takes_only_new_files(spark, database, store, tmp_path):
     store("EventLogs", {**event, "event_type": "view"}, file="part-1.json")
     state, _ = run(root)
     assert state == {"e1": "view", "e2": "click"}
+
+
+def test_all_collections_and_marts(spark, store):
+    for name, document in SAMPLES.items():
+        root = store(name, document)
+    replication.replicate_all(spark, root)
+    day = dt.date(2024, 3, 1)
+    for _ in range(2):
+        build_marts(spark, day)
+    activity = tb.read(spark, ACTIVITY).collect()
+    assert [(r.user_id, r.sessions_count, r.unique_pages_visited) for r in activity] == [("u1", 2, 2)]
+    support = tb.read(spark, SUPPORT).collect()
+    assert [(r.status, r.tickets_count, float(r.avg_resolution_time_hours)) for r in support] == [
+        ("resolved", 1, 2.0)
+    ]

@@ -89,11 +89,11 @@ def _activity(where: str = "", grain: str = "page") -> str:
              sum(coalesce(len(actions), 0) * {weight}) AS actions
       FROM picked GROUP BY 1, 2)
     SELECT {_text('t.day')} AS activity_date, t.user_id,
-           CAST(t.sessions AS INTEGER) AS sessions_count,
+           CAST(t.sessions AS BIGINT) AS sessions_count,
            {_cents('CAST(t.total AS BIGINT)', 'CAST(t.sessions AS BIGINT)')}
              AS avg_session_duration_seconds,
-           CAST(t.actions AS INTEGER) AS total_actions,
-           CAST(coalesce(p.n, 0) AS INTEGER) AS unique_pages_visited
+           CAST(t.actions AS BIGINT) AS total_actions,
+           CAST(coalesce(p.n, 0) AS BIGINT) AS unique_pages_visited
     FROM totals t LEFT JOIN pages p USING (day, user_id)
     """
 
@@ -102,8 +102,8 @@ def _support(source: str, run_date: str) -> str:
     hours = _cents("CAST(total AS BIGINT)", "(3600 * n)")
     return f"""
     SELECT '{run_date}' AS snapshot_date, issue_type, status,
-           CAST(tickets AS INTEGER) AS tickets_count, {hours} AS avg_resolution_time_hours,
-           CAST(opened AS INTEGER) AS open_tickets_count
+           CAST(tickets AS BIGINT) AS tickets_count, {hours} AS avg_resolution_time_hours,
+           CAST(opened AS BIGINT) AS open_tickets_count
     FROM (SELECT issue_type, status, count(*) AS tickets, count(seconds) AS n,
                  sum(seconds) AS total,
                  sum(CASE WHEN status IN ('open', 'in_progress') THEN 1 ELSE 0 END) AS opened
@@ -401,8 +401,8 @@ SQL: dict[str, str] = {
         daily AS (SELECT CAST(noted_date AS DATE) AS day, avg(value) AS mean, count(*) AS n
                   FROM inside, bounds WHERE value >= lo AND value <= hi GROUP BY 1)
         SELECT {_text('day')} AS date, round(mean, 6) AS temperature, 'day' AS type,
-               CAST(n AS INTEGER) AS record_count FROM daily
-        UNION ALL SELECT date, temperature, type, CAST(rank AS INTEGER) FROM ({_extremes()})""",
+               CAST(n AS BIGINT) AS record_count FROM daily
+        UNION ALL SELECT date, temperature, type, rank FROM ({_extremes()})""",
     "full_load_table": f"""
         SELECT {_time('noted_date')} AS noted_date, value AS temperature, {PLACE} AS location,
                {FULL_ID} AS device_id, 'full_2' AS batch_id FROM ({KEYED})""",
@@ -414,15 +414,15 @@ SQL: dict[str, str] = {
                 (SELECT (noted_date, device_id) FROM inc_3))""",
     "load_history_of_runs": f"""
         WITH {INCREMENTAL}
-        SELECT 'full' AS load_type, 'full_1' AS batch_id, CAST(count(*) AS INTEGER) AS records_loaded,
+        SELECT 'full' AS load_type, 'full_1' AS batch_id, CAST(count(*) AS BIGINT) AS records_loaded,
                'success' AS load_status FROM keyed
-        UNION ALL SELECT 'incremental', 'inc_1', CAST(count(*) AS INTEGER), 'success' FROM inc_1
-        UNION ALL SELECT 'incremental', 'inc_2', CAST(count(*) AS INTEGER), 'success' FROM inc_2""",
+        UNION ALL SELECT 'incremental', 'inc_1', count(*), 'success' FROM inc_1
+        UNION ALL SELECT 'incremental', 'inc_2', count(*), 'success' FROM inc_2""",
     "load_history_latest": f"""
         SELECT 'incremental' AS load_type, 'b_' || day AS batch_id,
                {_time('CAST(day AS TIMESTAMP)')} AS created_at,
                {_time('CAST(day AS TIMESTAMP) + INTERVAL 1 HOUR')} AS end_date,
-               CAST(n AS INTEGER) AS records_loaded,
+               CAST(n AS BIGINT) AS records_loaded,
                CASE WHEN errors > 0 THEN 'partial' ELSE 'success' END AS load_status
         FROM (SELECT CAST(ts AS DATE) AS day, count(*) AS n,
                      count(*) FILTER (event_type = 'error') AS errors

@@ -460,7 +460,7 @@ def temperature_processing(spark, folder):
         "date", F.col("avg_temp").alias("temperature"), F.lit("day").alias("type"), "record_count"
     )
     extremes = results["extremes"].select(
-        "date", "temperature", "type", F.col("rank").alias("record_count")
+        "date", "temperature", "type", F.col("rank").cast("bigint").alias("record_count")
     )
     return portable(rounded(summary.unionByName(extremes), "temperature"))
 
@@ -504,7 +504,7 @@ def _daily_batches(spark, folder):
     """One batch per day, with a started and a finished state."""
     day = F.to_date("ts")
     batches = table(spark, folder, "events").groupBy(day.alias("day")).agg(
-        F.count("*").cast("int").alias("records_loaded"),
+        F.count("*").alias("records_loaded"),
         F.count_if(F.col("event_type") == "error").alias("errors"),
     )
     base = batches.select(
@@ -514,7 +514,7 @@ def _daily_batches(spark, folder):
         F.col("day").cast("timestamp").alias("start_date"),
         F.lit(None).cast("timestamp").alias("end_date"),
         F.col("day").cast("timestamp").alias("changed_at"),
-        F.lit(None).cast("int").alias("records_loaded"),
+        F.lit(None).cast("bigint").alias("records_loaded"),
         F.lit(log.STARTED).alias("load_status"),
         F.col("records_loaded").alias("_n"),
         F.col("errors").alias("_errors"),
