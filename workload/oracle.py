@@ -42,7 +42,7 @@ def _extremes(limit: int = 5, source: str = "daily", day: str = "day", mean: str
     for kind, direction in (("hot", "DESC"), ("cold", "ASC")):
         parts.append(
             f"(SELECT {_text(day)} AS date, round({mean}, 6) AS temperature, '{kind}' AS type, "
-            f"row_number() OVER (ORDER BY {mean} {direction}, {day}) AS rank "
+            f"CAST(row_number() OVER (ORDER BY {mean} {direction}, {day}) AS INTEGER) AS rank "
             f"FROM {source} ORDER BY {mean} {direction}, {day} LIMIT {limit})"
         )
     return " UNION ALL ".join(parts)
@@ -402,7 +402,7 @@ SQL: dict[str, str] = {
                   FROM inside, bounds WHERE value >= lo AND value <= hi GROUP BY 1)
         SELECT {_text('day')} AS date, round(mean, 6) AS temperature, 'day' AS type,
                CAST(n AS BIGINT) AS record_count FROM daily
-        UNION ALL SELECT date, temperature, type, rank FROM ({_extremes()})""",
+        UNION ALL SELECT date, temperature, type, CAST(rank AS BIGINT) FROM ({_extremes()})""",
     "full_load_table": f"""
         SELECT {_time('noted_date')} AS noted_date, value AS temperature, {PLACE} AS location,
                {FULL_ID} AS device_id, 'full_2' AS batch_id FROM ({KEYED})""",
