@@ -13,7 +13,7 @@ _DEPTH = 14  # leading zero digits tried; 16**14 rows per chosen one
 def seeded_sample(df: DataFrame, n: int, seed: int, by: Sequence[str]) -> DataFrame:
     """The ``n`` rows with the smallest seeded hash of the columns ``by``.
 
-    A row's draw depends on its own values only, so neither partitioning nor a
+    ``by`` identifies a row. A row's draw depends on its own values only, so neither partitioning nor a
     recomputed task changes the sample. One counting pass finds the tightest
     draw prefix that still holds ``n`` rows; the ordered limit then sees about
     ``16 n`` rows at most instead of ``n`` from every task. The result is the

@@ -123,8 +123,12 @@ def _clustered(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.sortWithinPartitions(*spec.sort_within) if spec.sort_within else df
 
 
-def replace_all(df: DataFrame, spec: TableSpec) -> None:
-    """Replace every row of an unpartitioned table, all or nothing."""
+def replace_all(df: DataFrame, spec: TableSpec, check_key: bool = False) -> None:
+    """Replace every row of an unpartitioned table, all or nothing.
+
+    ``check_key`` counts the keys of the written files before they become the
+    table; it reads the key columns only.
+    """
     if spec.partition:
         raise ValueError(f"{spec.name} is partitioned; replace its partitions")
     spark = df.sparkSession
@@ -134,6 +138,8 @@ def replace_all(df: DataFrame, spec: TableSpec) -> None:
         root = current
     target = f"{root}/{FOLDERS[1] if last == FOLDERS[0] else FOLDERS[0]}"
     _clustered(conform(df, spec), spec).write.mode("overwrite").parquet(target)
+    if check_key:
+        check_unique(spark.read.schema(spec.schema).parquet(target), spec)
     spark.sql(f"ALTER TABLE {spec.name} SET LOCATION '{target}'")
 
 
@@ -173,11 +179,16 @@ def replace_slice(df: DataFrame, spec: TableSpec, value: dt.date) -> None:
 
 
 def upsert_all(
-    df: DataFrame, spec: TableSpec, keep: Sequence[str] = (), on_update: Sequence[str] = ()
+    df: DataFrame,
+    spec: TableSpec,
+    keep: Sequence[str] = (),
+    on_update: Sequence[str] = (),
+    check_key: bool = False,
 ) -> None:
     """Insert or update by key in an unpartitioned table. ``df`` has unique keys."""
     current = read(df.sparkSession, spec)
-    replace_all(upsert(current, conform(df, spec), spec.key, keep, on_update), spec)
+    merged = upsert(current, conform(df, spec), spec.key, keep, on_update)
+    replace_all(merged, spec, check_key)
 
 
 def upsert_partitions(df: DataFrame, spec: TableSpec) -> int:

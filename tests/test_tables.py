@@ -66,6 +66,15 @@ def test_key_checks(spark, database):
         tb.conform(frame(spark, (None, "a")), spec).collect()
 
 
+def test_repeated_keys_never_become_the_table(spark, database, rows):
+    spec = spec_in(database)
+    tb.create(spark, spec)
+    tb.upsert_all(frame(spark, (1, "a")), spec, check_key=True)
+    with pytest.raises(tb.KeyViolation):
+        tb.upsert_all(frame(spark, (2, "b"), (2, "c")), spec, check_key=True)
+    assert rows(tb.read(spark, spec), "k", "v") == [(1, "a")]
+
+
 def test_upsert_and_insert_missing(spark, database, rows):
     spec = spec_in(database)
     tb.create(spark, spec)
