@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.session import materialize
+
 # Row offsets are broadcast, one small row per scan task. Beyond this many
 # tasks the offsets are joined with an ordinary shuffle instead.
 BROADCAST_TASKS = 50_000
@@ -33,18 +35,19 @@ def with_source_position(df: DataFrame, name: str = "_ord") -> DataFrame:
 def with_row_number(df: DataFrame, name: str = "_row") -> DataFrame:
     """Consecutive numbers from 0 in task order, without a global sort.
 
-    Counts rows per task, turns the counts into offsets (one row per task) and
-    adds the row's place inside its task. ``df`` must be a narrow lineage over
-    a scan, so that both passes see the same tasks.
+    The rows are written once with their place in the task that read them, so
+    the numbers stay the same whatever is recomputed later, and a text source
+    is parsed a single time. Row counts per task (one row per task) then turn
+    into offsets.
     """
-    tagged = df.withColumn("_place", F.monotonically_increasing_id())
+    tagged = materialize(df.withColumn("_place", F.monotonically_increasing_id()), "numbered")
     task = F.shiftright("_place", 33)
     sizes = tagged.groupBy(task.alias("_task")).agg(F.count("*").alias("_n"))
     before = Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
         "_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
-    if df.rdd.getNumPartitions() <= BROADCAST_TASKS:
+    if sizes.count() <= BROADCAST_TASKS:
         offsets = F.broadcast(offsets)
     place = F.col("_place").bitwiseAND(F.lit(_ROW_BITS))
     return (

@@ -180,3 +180,10 @@ def test_row_numbers_follow_the_file(spark, tmp_path):
 def test_row_numbers_over_many_tasks(spark):
     got = with_row_number(spark.range(0, 1000, 1, 13), "n").collect()
     assert all(r.id == r.n for r in got)
+
+
+def test_row_numbers_after_a_shuffle(spark):
+    df = spark.range(3000).repartition(6).where("id % 5 <> 0")
+    got = with_row_number(df, "n").collect()
+    assert sorted(r.n for r in got) == list(range(2400))
+    assert with_row_number(df.where("id < 0"), "n").count() == 0
