@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe
+from millrace.llm import bpe, exact, simhash
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,7 +29,31 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "documents").select("doc_id", "text")
+
+
+@query
+def op1_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return exact.find_copies(documents(spark, folder))
+
+
+SQL["op1_exact_dedup"] = """
+SELECT doc_id,
+       max(doc_id) OVER same AS keep_id,
+       count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents
+WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
 @query
 def op8_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    return bpe.digests(bpe.round_trip(docs, vocabulary()))
+    return bpe.digests(bpe.round_trip(documents(spark, folder), vocabulary()))
+
+
+@query
+def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.reported(simhash.components(documents(spark, folder)))
