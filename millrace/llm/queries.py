@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, exact, simhash
+from millrace.llm import bpe, decontaminate, exact, language_model, quality, simhash, toxicity
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,28 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+@query
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score(documents(spark, folder), table(spark, folder, "labels"))
+
+
+@query
+def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    found = quality.classify(documents(spark, folder))
+    return found.select("doc_id", "votes", "weak_label", "score", "keep")
+
+
+@query
+def op5_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.score(documents(spark, folder))
+
+
+@query
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    benchmark = table(spark, folder, "benchmark")
+    return decontaminate.reported(decontaminate.find_matches(documents(spark, folder), benchmark))
+
+
 @query
 def op8_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(bpe.round_trip(documents(spark, folder), vocabulary()))
