@@ -3,7 +3,9 @@
 Labellers look at one surface feature of a text each and vote good, bad or not
 at all. Their votes overlap and err, and nobody says how often: expectation
 maximisation estimates, for each labeller and class, how it votes, from how
-often each combination of votes occurs among all documents. There are at most
+often each combination of votes occurs among all documents. The classes are good
+text and a kind of bad text for each labeller, since junk of one kind looks good
+to the labellers of the others. There are at most
 ``3 ** len(LABELLERS)`` combinations, so the counts fit the driver at any size.
 A document's posterior follows from its combination.
 
@@ -106,22 +108,26 @@ def votes(text: bytes) -> list[int]:
 def fit_labellers(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS) -> dict:
     """Posterior of "good" for each combination of votes, given how often each occurs.
 
-    It starts from the share of bad votes, any bad vote being a strong sign.
+    To start with, texts without a bad vote are good and the others are of the
+    kinds that vote so.
     """
     if not patterns:
         return {}
     seen = np.array([p for p, _ in patterns])
     counts = np.array([n for _, n in patterns], dtype=float)
-    good = np.where((seen == BAD).any(axis=1), 0.1, 0.95)
-    kinds = (GOOD, NONE, BAD)
+    bad = (seen == BAD).astype(float)
+    share = np.column_stack([0.02 + ~bad.any(axis=1), 0.02 / len(LABELLERS) + bad])
+    share /= share.sum(axis=1, keepdims=True)
+    votes_as = [(seen == kind).astype(float) for kind in (GOOD, BAD)]  # no vote says nothing
     for _ in range(rounds):
-        like = []
-        for weight in (counts * good, counts * (1 - good)):
-            rates = np.stack([((seen == k) * weight[:, None]).sum(axis=0) + 0.5 for k in kinds])
-            rates /= rates.sum(axis=0)
-            log = sum(((seen == k) * np.log(rates[i])).sum(axis=1) for i, k in enumerate(kinds))
-            like.append(log + np.log((weight.sum() + 1) / (counts.sum() + 2)))
-        good = 1 / (1 + np.exp(np.clip(like[1] - like[0], -60, 60)))
+        weight = counts[:, None] * share
+        rates = np.stack([weight.T @ v for v in votes_as]) + 0.1  # vote, class, labeller
+        rates /= rates.sum(axis=0)
+        log = sum(v @ np.log(r).T for v, r in zip(votes_as, rates, strict=True))
+        log += np.log((weight.sum(axis=0) + 0.1) / (counts.sum() + 1))
+        share = np.exp(log - log.max(axis=1, keepdims=True))
+        share /= share.sum(axis=1, keepdims=True)
+    good = share[:, 0]
     return {tuple(int(v) for v in p): float(g) for (p, _), g in zip(patterns, good, strict=True)}
 
 
