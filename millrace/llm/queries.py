@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import bpe, decontaminate, exact, language_model, quality, simhash, toxicity
+from millrace.llm import bpe, decontaminate, exact, language_model, quality, simhash, toxicity, warc
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,11 @@ def op5_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
     return language_model.score(documents(spark, folder))
 
 
+@query
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.reported(warc.round_trip(table(spark, folder, "pages")))
+
+
 @query
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     benchmark = table(spark, folder, "benchmark")
