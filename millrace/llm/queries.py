@@ -6,8 +6,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, exact, language_model, quality, simhash, toxicity, warc
+from millrace.llm import bpe, decontaminate, exact, language_model, licenses, quality, simhash, surrogates, toxicity, warc
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +55,14 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(documents(spark, folder), table(spark, folder, "labels"))
 
 
+@query
+def op3_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    found = surrogates.replace(documents(spark, folder))
+    return found.select(
+        "doc_id", F.size("found").alias("n_mentions"), "found", F.col("clean").alias("clean_text")
+    )
+
+
 @query
 def op4_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     found = quality.classify(documents(spark, folder))
@@ -84,3 +93,8 @@ def op8_bpe_codec(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.reported(simhash.components(documents(spark, folder)))
+
+
+@query
+def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(documents(spark, folder))
