@@ -3,7 +3,9 @@
 Examples are at most ``EXAMPLES`` labelled texts of each class, chosen by a hash
 of their id among the rows to learn from. Terms are words and the beginnings of
 words (4 and 5 characters) whose occurrence in examples depends on the label, by
-a likelihood ratio; everything else would add noise to the cosine. A text's
+a likelihood ratio; everything else would add noise to the cosine. An example
+counts for a term only where it has the term behind a word that no example of
+its class had before it, since copies of a text say no more than one. A text's
 vector holds ``(1 + ln tf) * idf`` of its terms over its whole length.
 
 The index is inverted: each term has its examples in the order of their number,
@@ -44,7 +46,7 @@ BLOCK = 64
 TOXIC_FROM = 0.3
 PREFIXES = (4, 5)
 LEAST_DOCS = 4
-LEAST_RATIO = 15.0  # likelihood ratio a term needs
+LEAST_RATIO = 20.0  # likelihood ratio a term needs; noise among 10^6 terms stays below
 MOST_TERMS = 20_000
 CACHED_TOKENS = 400_000
 _CHUNK = 8  # blocks read at a time
@@ -92,28 +94,43 @@ class ExampleIndex:
         self.ids = [i for i, _, _ in examples]
         self.labels = np.array([y for _, y, _ in examples], dtype=np.int64)
         self.known: dict[str, tuple[int, ...]] = {}
-        found = [Counter(t for w in words(x) for t in word_terms(w)) for _, _, x in examples]
-        self.terms, self.idf = self._choose(found)
+        tokens = [words(x) for _, _, x in examples]
+        self.terms, self.idf = self._choose(tokens)
         self.number = {t: i for i, t in enumerate(self.terms)}
-        self._invert([self._vector(words(x)) for _, _, x in examples])
-        self._calibrate([words(x) for _, _, x in examples])
+        vectors = [self._vector(t) for t in tokens]
+        self._invert(vectors)
+        self._calibrate(vectors)
 
-    def _choose(self, found: list[Counter]) -> tuple[list[str], np.ndarray]:
-        toxic, clean = Counter(), Counter()
-        for terms, label in zip(found, self.labels, strict=True):
-            (toxic if label else clean).update(terms.keys())
+    def _choose(self, tokens: list[list[str]]) -> tuple[list[str], np.ndarray]:
         n_a, n_b = int(self.labels.sum()), int((1 - self.labels).sum())
         if not n_a or not n_b:
             return [], np.zeros(0)
-        terms = sorted(t for t in toxic | clean if toxic[t] + clean[t] >= LEAST_DOCS)
-        a = np.array([toxic[t] for t in terms], dtype=float)
-        b = np.array([clean[t] for t in terms], dtype=float)
-        ratio = _ratio(a, n_a, b, n_b) if terms else np.zeros(0)
-        best = np.argsort(-ratio, kind="stable")[:MOST_TERMS]
-        best = sorted(best[ratio[best] >= LEAST_RATIO].tolist())
-        size = len(found)
-        idf = np.array([math.log((1 + size) / (1 + a[i] + b[i])) + 1 for i in best])
-        return [terms[i] for i in best], idf
+
+        def telling(counts: list[Counter]) -> list[str]:
+            clean, toxic = counts
+            terms = sorted(t for t in toxic | clean if toxic[t] + clean[t] >= LEAST_DOCS)
+            a = np.array([toxic[t] for t in terms], dtype=float)
+            b = np.array([clean[t] for t in terms], dtype=float)
+            ratio = _ratio(a, n_a, b, n_b) if terms else np.zeros(0)
+            best = np.argsort(-ratio, kind="stable")[:MOST_TERMS]
+            return [terms[i] for i in sorted(best[ratio[best] >= LEAST_RATIO].tolist())]
+
+        docs = [Counter(), Counter()]  # by label
+        for own, label in zip(tokens, self.labels.tolist(), strict=True):
+            docs[label].update({t for w in set(own) for t in word_terms(w)})
+        likely = set(telling(docs))
+        fresh, seen = [Counter(), Counter()], set()
+        for own, label in zip(tokens, self.labels.tolist(), strict=True):
+            new = set()
+            for before, word in zip(["", *own], own, strict=False):
+                for term in word_terms(word):
+                    if term in likely and (place := (label, term, before)) not in seen:
+                        seen.add(place)
+                        new.add(term)
+            fresh[label].update(new)
+        terms = telling(fresh)
+        df = [docs[0][t] + docs[1][t] for t in terms]
+        return terms, np.array([math.log((1 + len(tokens)) / (1 + n)) + 1 for n in df])
 
     def _numbers(self, word: str) -> tuple[int, ...]:
         got = tuple(n for t in word_terms(word) if (n := self.number.get(t)) is not None)
@@ -182,17 +199,17 @@ class ExampleIndex:
         vote = float((votes * self.labels[numbers]).sum() / votes.sum())
         return np.array([1.0, vote - 0.5, float(cosines[0]), len(numbers) / NEIGHBOURS])
 
-    def _calibrate(self, texts: list[list[str]]) -> None:
+    def _calibrate(self, vectors) -> None:
         """Logistic curve by Newton's method on the examples, each judged without itself."""
         self.curve, self.bare = np.zeros(4), self.share
-        n = len(texts)
+        n = len(vectors)
         if not self.terms or not n:
             return
         toxic = self.labels.mean()
         balance = np.where(self.labels == 1, self.share / toxic, (1 - self.share) / (1 - toxic))
         rows, labels, weights, bare = [], [], [], [0.0, 0.0]
-        for i, tokens in enumerate(texts):
-            numbers, cosines = self.nearest(*self._vector(tokens), without=i)
+        for i, vector in enumerate(vectors):
+            numbers, cosines = self.nearest(*vector, without=i)
             if len(numbers):
                 rows.append(self._signals(numbers, cosines))
                 labels.append(self.labels[i])
