@@ -198,17 +198,14 @@ def encode(
 
 
 def _encode_long(df: DataFrame, vocabulary: str, column: str, leaf_chars: int) -> DataFrame:
-    """Leaves go to different tasks; the ids of a row's leaves are joined by one."""
+    """Leaves of each different text go to different tasks; one task joins their ids."""
     kept = df.schema.fields
 
     def cut(frames):
         for frame in frames:
-            for at in range(len(frame)):
-                row = frame.iloc[at : at + 1]
-                parts = leaves(row["__text"].iloc[0], leaf_chars)
-                yield pd.DataFrame(
-                    {"__row": row["__row"].iloc[0], "__leaf": range(len(parts)), "__part": parts}
-                )
+            for name, text in zip(frame["__name"], frame["__text"], strict=True):
+                parts = leaves(text, leaf_chars)
+                yield pd.DataFrame({"__name": name, "__leaf": range(len(parts)), "__part": parts})
 
     def encoded(frames):
         tool = codec(vocabulary)
@@ -219,17 +216,19 @@ def _encode_long(df: DataFrame, vocabulary: str, column: str, leaf_chars: int) -
     def joined(frame):
         parts = frame.sort_values("__leaf")["__part"].tolist()
         ids = codec(vocabulary).join_all(parts)
-        return pd.DataFrame({"__row": frame["__row"].iloc[:1], "ids": [ids]})
+        return pd.DataFrame({"__name": frame["__name"].iloc[:1], "ids": [ids]})
 
-    numbered = df.withColumn("__row", F.monotonically_increasing_id())
+    text = clean_text(f"`{column}`")
+    named = df.withColumn("__name", F.sha2(F.encode(text, "UTF-8"), 256))
     parts = (
-        numbered.select("__row", clean_text(f"`{column}`").alias("__text"))
-        .mapInPandas(cut, "__row long, __leaf long, __part string")
-        .repartition("__row", "__leaf")
-        .mapInPandas(encoded, "__row long, __leaf long, __part binary")
+        named.select("__name", text.alias("__text"))
+        .mapInPandas(cut, "__name string, __leaf long, __part string")
+        .groupBy("__name", "__leaf")
+        .agg(F.first("__part").alias("__part"))
+        .mapInPandas(encoded, "__name string, __leaf long, __part binary")
     )
-    ids = parts.groupBy("__row").applyInPandas(joined, "__row long, ids binary")
-    return numbered.join(ids, "__row").select(
+    ids = parts.groupBy("__name").applyInPandas(joined, "__name string, ids binary")
+    return named.join(ids, "__name").select(
         *[F.col(f"`{f.name}`") for f in kept],
         F.col("ids"),
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
