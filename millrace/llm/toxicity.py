@@ -149,13 +149,13 @@ class ExampleIndex:
             if numbers:
                 counts.update(numbers)
         at = np.array(sorted(counts), dtype=np.int64)
-        weight = np.array([1 + math.log(counts[i]) for i in at.tolist()]) * self.idf[at]
+        weight = np.array([1 + math.log(counts[i]) for i in at.tolist()], float) * self.idf[at]
         return at, weight / max(float(np.sqrt((weight**2).sum())), 1e-12)
 
     def _invert(self, vectors) -> None:
         term = np.concatenate([at for at, _ in vectors] or [np.zeros(0, np.int64)])
         weight = np.concatenate([w for _, w in vectors] or [np.zeros(0)])
-        example = np.repeat(np.arange(len(vectors)), [len(at) for at, _ in vectors])
+        example = np.repeat(np.arange(len(vectors)), np.array([len(at) for at, _ in vectors], int))
         order = np.lexsort((example, term))
         self.example, self.weight = example[order], weight[order]
         self.blocks = -(-len(vectors) // BLOCK)
@@ -164,7 +164,7 @@ class ExampleIndex:
         self.start = np.searchsorted(key, np.arange(cells + 1))
         self.highest = np.zeros(cells)
         np.maximum.at(self.highest, key, self.weight)
-        self.highest = self.highest.reshape(len(self.terms), -1)
+        self.highest = self.highest.reshape(len(self.terms), max(self.blocks, 1))
 
     def nearest(self, at, weight, without: int | None = None, count: int = NEIGHBOURS):
         """Numbers and cosines of the nearest examples, the nearest first."""
