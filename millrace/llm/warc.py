@@ -253,7 +253,11 @@ def _entries(exits: DataFrame) -> DataFrame:
 
 
 def boundaries(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Offset of each block in its file, and the record each piece belongs to."""
+    """Offset of each block in its file, and the pieces that are not a record by themselves.
+
+    Those have the record they belong to, or none. They are few where payloads
+    do not imitate records, and then the content of the others need not move.
+    """
     sizes = found.groupBy("file", "block").agg(F.sum("size").alias("size"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     bases = materialize(
@@ -280,9 +284,11 @@ def boundaries(found: DataFrame) -> tuple[DataFrame, DataFrame]:
     owned = placed.join(records.withColumn("record", F.col("at")), ["file", "at"], "left")
     last = Window.partitionBy("file").orderBy("at")
     owned = owned.withColumn("record", F.last("record", ignorenulls=True).over(last))
-    counted = owned.where(F.col("record").isNotNull()).select("file", "block", "at", "record")
-    per_record = Window.partitionBy("file", "record")
-    return bases, counted.withColumn("n", F.count(F.lit(1)).over(per_record))
+    pieces_of = owned.groupBy("file", "record").agg(F.count(F.lit(1)).alias("n"))
+    several = pieces_of.where(F.col("record").isNull() | (F.col("n") > 1)).select("file", "record")
+    same = F.col("o.record").eqNullSafe(F.col("s.record")) & (F.col("o.file") == F.col("s.file"))
+    special = owned.alias("o").join(several.alias("s"), same, "left_semi")
+    return bases, materialize(special.select("o.file", "o.at", "o.record"), "split-records")
 
 
 _RECORD = (
@@ -340,16 +346,15 @@ def _parsed(batches):
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Records of archives: type, page, URL, page referred to, size, digest and payload."""
     found = materialize(pieces(spark, path, False), "archive-pieces")
-    bases, owned = boundaries(found)
+    bases, special = boundaries(found)
     content = pieces(spark, path, True).join(bases, ["file", "block"]).select(
         "file", (F.col("at") + F.col("base")).alias("at"), "content"
     )
-    whole = content.join(owned.select("file", "at", "record", "n"), ["file", "at"])
-    single = whole.where("n = 1").select("content")
+    single = content.join(special, ["file", "at"], "left_anti").select("content")
     ordered = F.array_sort(F.collect_list(F.struct("at", "content")))
     magic = F.lit(MAGIC).cast("binary")
     several = (
-        whole.where("n > 1")
+        content.join(special.where(F.col("record").isNotNull()), ["file", "at"])
         .groupBy("file", "record")
         .agg(ordered.alias("parts"))
         .select(
