@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.operators.dedupe import keep_first
+
 
 def known_keys(df: DataFrame, other: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key exists in ``other``."""
@@ -31,42 +33,46 @@ def upsert(
     an update leaves as they are in the target; ``on_update`` lists columns an
     update sets to the current time (an insert takes them from the source).
 
-    A plain upsert needs only the source's keys next to the target, so the
-    target is filtered by an anti join (broadcast when the key set is small).
-    Carrying values over needs both rows side by side: one full outer join.
+    Rows that stay are filtered by an anti join with the source's keys
+    (broadcast when there are few). Rows that arrive look up the target's key and
+    kept columns alone, so a wide target is never shuffled as a whole.
     """
     columns = target.columns
     source = source.select(*columns)
+    stay = new_keys(target, source, key)
     if not keep and not on_update:
-        return new_keys(target, source, key).unionByName(source)
-
-    both = (
-        target.withColumn("_in_target", F.lit(True)).alias("t").join(
-            source.withColumn("_in_source", F.lit(True)).alias("s"),
-            [F.col(f"t.{k}") == F.col(f"s.{k}") for k in key],
-            "full_outer",
-        )
+        return stay.unionByName(source)
+
+    known = target.select(
+        *key, *[F.col(f"`{c}`").alias(f"_old_{c}") for c in keep], F.lit(True).alias("_known")
     )
-    arrived, known = F.col("s._in_source").isNotNull(), F.col("t._in_target").isNotNull()
 
     def merged(name: str):
-        old, new = F.col(f"t.{name}"), F.col(f"s.{name}")
         if name in keep:
-            value = F.when(known, old).otherwise(new)
+            value = F.when(F.col("_known"), F.col(f"`_old_{name}`")).otherwise(F.col(f"`{name}`"))
         elif name in on_update:
-            value = (
-                F.when(arrived & known, F.current_timestamp().cast(target.schema[name].dataType))
-                .when(arrived, new)
-                .otherwise(old)
-            )
+            now = F.current_timestamp().cast(target.schema[name].dataType)
+            value = F.when(F.col("_known"), now).otherwise(F.col(f"`{name}`"))
         else:
-            value = F.when(arrived, new).otherwise(old)
+            value = F.col(f"`{name}`")
         return value.alias(name)
 
-    return both.select(*[merged(c) for c in columns])
+    arrived = source.join(known, list(key), "left").select(*[merged(c) for c in columns])
+    return stay.unionByName(arrived)
+
+
+def first_of_each(source: DataFrame, key: Sequence[str], order: str | Sequence[str] | None) -> DataFrame:
+    """The first row of each key by ``order``, else by the values of the other columns."""
+    rest = [c for c in source.columns if c not in key]
+    return keep_first(source, list(key), order or rest) if order or rest else source.distinct()
 
 
-def insert_ignore(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
-    """The target after inserting the source rows whose key it does not hold."""
-    added = new_keys(source.select(*target.columns), target, key)
-    return target.unionByName(added)
+def insert_ignore(
+    target: DataFrame,
+    source: DataFrame,
+    key: Sequence[str],
+    order: str | Sequence[str] | None = None,
+) -> DataFrame:
+    """The target after inserting the first source row of each key it does not hold."""
+    first = first_of_each(source, key, order)
+    return target.unionByName(new_keys(first.select(*target.columns), target, key))

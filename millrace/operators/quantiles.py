@@ -53,7 +53,7 @@ def quantiles(
     for at in places:
         low, part = found[math.floor(at)], at - math.floor(at)
         high = found[min(math.floor(at) + 1, total - 1)]
-        results.append(low if low == high else (1 - part) * low + part * high)
+        results.append(low if part == 0 or low == high else (1 - part) * low + part * high)
     return results
 
 

@@ -23,7 +23,7 @@ from millrace.operators.summaries import (
     load_stats,
     table_stats,
 )
-from millrace.session import materialize
+from millrace.session import shuffles_sized_for, staged
 from millrace.sinks import history as log
 from millrace.sinks.tables import TableSpec, create, read, replace_all, upsert_partitions
 from millrace.sources.position import with_row_number
@@ -48,6 +48,8 @@ INCREMENTAL = TableSpec(
     sort_within=("noted_day", "noted_date"),
 )
 
+POSITION = "_ord"  # source position, as the readers add it
+
 # Run parameters where neither the run nor the job sets them.
 DEFAULT_PARAMETERS = {"last_n_days": 7}
 # The preparation step's own cut, an upper bound on last_n_days.
@@ -78,12 +80,27 @@ def dated_readings(raw: DataFrame, fmt: str = READING_FORMAT, loose: bool = Fals
 
 
 def numbered(df: DataFrame, order: str = "_row") -> DataFrame:
-    """Number the rows from 0 in source order, unless they bring their position."""
-    return df if order in df.columns else with_row_number(df, order)
+    """Number the rows from 0 in source order, unless they bring their number.
+
+    Rows read with their position (``_ord``) are numbered by file, block and row.
+    """
+    if order in df.columns:
+        return df
+    return with_row_number(df, order, POSITION if POSITION in df.columns else None)
+
+
+def needs_numbers(df: DataFrame) -> bool:
+    """Whether a device id must be made of a row number: the column or a value is missing."""
+    if "_row" in df.columns or "id" not in df.columns:
+        return True
+    device = F.col("id").cast("string")
+    return not df.where(device.isNull() | (F.trim(device) == "")).limit(1).isEmpty()
 
 
 def prepare(raw: DataFrame, fmt: str = READING_FORMAT, loose: bool = False) -> DataFrame:
-    return numbered(dated_readings(raw, fmt, loose))
+    """Dated rows with their number, which is only worked out when an id is made of it."""
+    dated = dated_readings(raw, fmt, loose)
+    return numbered(dated) if needs_numbers(dated) else dated.withColumn("_row", F.lit(0))
 
 
 def full_records(prepared: DataFrame, batch_id: str, strict_numbers: bool = False) -> DataFrame:
@@ -111,9 +128,9 @@ def incremental_records(recent: DataFrame, batch_id: str) -> DataFrame:
         place.alias("location"),
         device_id_incremental(device, "_row").alias("device_id"),
         F.lit(batch_id).alias("batch_id"),
-        "_row",
+        F.col(POSITION if POSITION in present else "_row").alias("_last"),
     )
-    return keep_last(rows, ("noted_date", "device_id"), "_row").drop("_row")
+    return keep_last(rows, ("noted_date", "device_id"), "_last").drop("_last")
 
 
 def _logged(spark, history: TableSpec, kind: str, batch_id: str | None, work) -> LoadResult:
@@ -145,12 +162,26 @@ def full_load(
     create(spark, table)
 
     def work(batch: str) -> tuple[str, int]:
-        replace_all(full_records(prepare(raw, fmt, loose), batch, strict_numbers), table)
+        with shuffles_sized_for(raw):
+            replace_all(full_records(prepare(raw, fmt, loose), batch, strict_numbers), table)
         return log.SUCCESS, read(spark, table).count()
 
     return _logged(spark, history, "full", batch_id, work)
 
 
+def _loaded(rows: DataFrame, table: TableSpec) -> tuple[str, int]:
+    """Upsert a batch; its outcome by the rule of ``history.outcome``.
+
+    The newest date is known here. Every row of the window is valid, as a bad
+    number becomes NULL, and a row the table refuses fails the whole batch: of
+    the outcomes, "no valid data" and "partial" cannot happen in this load.
+    """
+    counts = rows.agg(F.max("noted_date").alias("newest"), F.count(F.lit(1)).alias("n"))
+    newest = F.coalesce(F.col("newest").cast("string"), F.lit("in no row"))
+    status = counts.select(log.outcome(newest, F.col("n"), F.col("n"), F.lit(0))).first()[0]
+    return status, upsert_partitions(rows, table)
+
+
 def incremental_load(
     spark: SparkSession,
     raw: DataFrame,
@@ -177,13 +208,17 @@ def incremental_load(
         newest = dated.agg(F.max("noted_date")).first()[0]
         if newest is None:
             return log.NO_DATE, 0
-        # Fallback ids number the rows of the prepared cut, or all dated rows.
+        # Fallback ids number the rows of the prepared cut, or all dated rows; the
+        # window comes first where no row of it needs one.
         if cap_days is not None:
             dated = last_n_days(dated, cap_days, newest=newest)
-        recent = last_n_days(numbered(dated), days, cap_days=cap_days, newest=newest)
-        staged = materialize(incremental_records(recent, batch), "batch")
-        rows = upsert_partitions(staged, table)
-        return (log.SUCCESS, rows) if rows else (log.NO_DATA, 0)
+        recent = last_n_days(dated, days, cap_days=cap_days, newest=newest)
+        if needs_numbers(recent):
+            recent = last_n_days(numbered(dated), days, cap_days=cap_days, newest=newest)
+        else:
+            recent = recent.withColumn("_row", F.monotonically_increasing_id())
+        with staged(incremental_records(recent, batch), "batch") as rows:
+            return _loaded(rows, table)
 
     return _logged(spark, history, "incremental", batch_id, work)
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +34,39 @@ def shuffle_settings(input_bytes: int) -> dict[str, str]:
     }
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Estimated size of what a plan reads, from the statistics of its sources."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < 1 << 60)  # larger ones are unknown
+
+
+@contextmanager
+def shuffles_sized_for(*frames: DataFrame) -> Iterator[None]:
+    """Within the block, shuffles have enough partitions for the frames' sources.
+
+    A session that already has more keeps its number. Results do not depend on it.
+    """
+    spark = frames[0].sparkSession
+    wanted = shuffle_settings(sum(input_bytes(df) for df in frames))
+    name = "spark.sql.shuffle.partitions"
+    if int(wanted[name]) <= max(int(spark.conf.get(name)), 200):
+        yield
+        return
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def get_session(master: str | None = None, app: str = "millrace", **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -72,3 +107,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = shared_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``df`` as a shared table for the block; the copy is removed afterwards, also on failure."""
+    spark = df.sparkSession
+    path = shared_dir(spark, label)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library in whatever store it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

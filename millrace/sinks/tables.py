@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from millrace.operators.dedupe import duplicate_keys
-from millrace.operators.merge import new_keys, upsert
+from millrace.operators.merge import first_of_each, new_keys, upsert
 
 FOLDERS = ("slot_a", "slot_b")
 
@@ -52,7 +52,15 @@ class TableSpec:
 
 
 def create(spark: SparkSession, spec: TableSpec, location: str | None = None) -> None:
-    """Create the table's database and the table, where absent."""
+    """Create the table's database and the table, where absent.
+
+    On a cluster the warehouse must be set: its default is a folder of the
+    machine the driver runs on.
+    """
+    context = spark.sparkContext
+    shared = context.getConf().contains("spark.sql.warehouse.dir") or context.master.startswith("local")
+    if not location and not shared:
+        raise ValueError("spark.sql.warehouse.dir must name a folder all executors share")
     database, _, _ = spec.name.rpartition(".")
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
@@ -123,11 +131,11 @@ def _clustered(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.sortWithinPartitions(*spec.sort_within) if spec.sort_within else df
 
 
-def replace_all(df: DataFrame, spec: TableSpec, check_key: bool = False) -> None:
+def replace_all(df: DataFrame, spec: TableSpec, check_key: bool = True) -> None:
     """Replace every row of an unpartitioned table, all or nothing.
 
-    ``check_key`` counts the keys of the written files before they become the
-    table; it reads the key columns only.
+    The keys of the written files are counted before they become the table,
+    reading the key columns only; ``check_key=False`` leaves that out.
     """
     if spec.partition:
         raise ValueError(f"{spec.name} is partitioned; replace its partitions")
@@ -165,11 +173,18 @@ def replace_slice(df: DataFrame, spec: TableSpec, value: dt.date) -> None:
     """Make ``df`` the whole content of one date partition, even when it is empty.
 
     The partition value is named in the statement. Leaving it to the rows would
-    keep the old slice whenever there are no new rows.
+    keep the old slice whenever there are no new rows. Rows that name another
+    date are refused.
     """
     spark = df.sparkSession
     kept = [c for c in spec.schema.names if c != spec.partition]
-    rows = conform(df, spec).select(*kept)
+    rows = conform(df, spec)
+    if spec.partition in df.columns or spec.partition_from:
+        own = F.col(f"`{spec.partition}`")
+        message = F.lit(f"{spec.name}: a row is not of {value.isoformat()}")
+        other = F.when(own != F.lit(value), F.raise_error(message).cast("boolean"))
+        rows = rows.where(other.isNull())
+    rows = rows.select(*kept)
     spark.sql(
         f"INSERT OVERWRITE TABLE {spec.name} "
         f"PARTITION (`{spec.partition}` = DATE'{value.isoformat()}') "
@@ -183,7 +198,7 @@ def upsert_all(
     spec: TableSpec,
     keep: Sequence[str] = (),
     on_update: Sequence[str] = (),
-    check_key: bool = False,
+    check_key: bool = True,
 ) -> None:
     """Insert or update by key in an unpartitioned table. ``df`` has unique keys."""
     current = read(df.sparkSession, spec)
@@ -191,29 +206,42 @@ def upsert_all(
     replace_all(merged, spec, check_key)
 
 
-def upsert_partitions(df: DataFrame, spec: TableSpec) -> int:
+def upsert_partitions(
+    df: DataFrame,
+    spec: TableSpec,
+    keep: Sequence[str] = (),
+    on_update: Sequence[str] = (),
+) -> int:
     """Insert or update by key, rewriting only the partitions ``df`` touches.
 
     The partition value must follow from the key, so a known key can only be in
-    a touched partition. ``df`` has unique keys. Returns its number of rows.
+    a touched partition. ``df`` has unique keys, which is checked; it is read
+    several times, so it should be a stored table. Returns its number of rows.
     The touched partitions pass through the driver with their row counts: one
-    small row per partition (day), whatever the number of rows.
+    small row per partition (day or bucket), whatever the number of rows.
+
+    Each partition is replaced by one commit step of its own. A job that is
+    stopped in the middle of the commit can leave some partitions new and others
+    old; running the same batch again completes it.
     """
     spark = df.sparkSession
     rows = conform(df, spec)
     touched = rows.groupBy(spec.partition).agg(F.count("*").alias("rows")).collect()
     if not touched:
         return 0
+    check_unique(rows, spec)
     current = read(spark, spec).where(F.col(spec.partition).isin([t[0] for t in touched]))
     # One shuffle by partition value would send a busy day to one task; the
     # rebalance splits large days over several files and merges small ones.
-    merged = new_keys(current, rows, spec.key).unionByName(rows).hint("rebalance", spec.partition)
+    merged = upsert(current, rows, spec.key, keep, on_update).hint("rebalance", spec.partition)
     with _dynamic_overwrite(spark):
         _clustered(merged, spec).write.mode("overwrite").insertInto(spec.name)
     return sum(t["rows"] for t in touched)
 
 
-def insert_missing(df: DataFrame, spec: TableSpec) -> None:
-    """Append the rows whose key the table does not hold. Nothing is rewritten."""
-    rows = conform(df, spec)
+def insert_missing(
+    df: DataFrame, spec: TableSpec, order: str | Sequence[str] | None = None
+) -> None:
+    """Append the first row of each key the table does not hold. Nothing is rewritten."""
+    rows = conform(first_of_each(df, spec.key, order), spec)
     append(new_keys(rows, read(df.sparkSession, spec), spec.key), spec)

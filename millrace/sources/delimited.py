@@ -28,9 +28,17 @@ def read_delimited(
 
     Without ``inferSchema`` Spark types every header column as STRING, so the
     schema never depends on the data. ``order`` adds the source position.
+
+    A quote inside a quoted cell is written twice. Columns are taken in the order
+    of the first file's header; a file with another header fails the job rather
+    than fill the wrong columns. Cells with line breaks need ``multiLine=True``,
+    which reads each file in one task and is therefore left to the caller.
     """
     raw = (
         spark.read.option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("enforceSchema", False)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.csv")
         .options(**options)

@@ -32,14 +32,20 @@ def with_source_position(df: DataFrame, name: str = "_ord") -> DataFrame:
     return df.withColumn(name, source_position())
 
 
-def with_row_number(df: DataFrame, name: str = "_row") -> DataFrame:
-    """Consecutive numbers from 0 in task order, without a global sort.
+def with_row_number(df: DataFrame, name: str = "_row", order: str | None = None) -> DataFrame:
+    """Consecutive numbers from 0 in source order, without a global sort.
+
+    With a source position in ``order``, rows are numbered within their block and
+    blocks by file and place: small counts per block turn into offsets, nothing is
+    written. Without one, the order is that of the tasks that read them.
 
     The rows are written once with their place in the task that read them, so
     the numbers stay the same whatever is recomputed later, and a text source
     is parsed a single time. Row counts per task (one row per task) then turn
     into offsets.
     """
+    if order:
+        return _numbered_by_position(df, name, order)
     tagged = materialize(df.withColumn("_place", F.monotonically_increasing_id()), "numbered")
     task = F.shiftright("_place", 33)
     sizes = tagged.groupBy(task.alias("_task")).agg(F.count("*").alias("_n"))
@@ -56,3 +62,20 @@ def with_row_number(df: DataFrame, name: str = "_row") -> DataFrame:
         .withColumn(name, F.col("_offset") + place)
         .drop("_task", "_offset", "_place")
     )
+
+
+def _numbered_by_position(df: DataFrame, name: str, order: str) -> DataFrame:
+    block = [F.col(f"{order}.file").alias("_file"), F.col(f"{order}.block").alias("_block")]
+    sizes = df.groupBy(*block).agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(
+        "_file", "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+    )
+    within = Window.partitionBy("_file", "_block").orderBy(F.col(f"{order}.row"))
+    return (
+        df.select("*", *block)
+        .withColumn("_place", F.row_number().over(within) - 1)
+        .join(offsets, ["_file", "_block"])
+        .withColumn(name, F.col("_offset") + F.col("_place"))
+        .drop("_file", "_block", "_offset", "_place")
+    )

@@ -1,5 +1,7 @@
 import datetime as dt
+import glob
 import json
+from dataclasses import replace
 
 import pytest
 
@@ -141,7 +143,62 @@ def test_polling_takes_only_new_files(spark, database, store, tmp_path):
     assert progress is None or progress["numInputRows"] == 0
     store("EventLogs", {**event, "event_type": "view"}, file="part-1.json")
     state, _ = run(root)
-    assert state == {"e1": "view", "e2": "click"}
+    assert state == {"e1": "click", "e2": "click"}  # the first file's document stays
+
+
+@pytest.mark.parametrize("max_files", [1, 2, None])
+def test_first_document_wins_however_files_are_cut(spark, database, store, tmp_path, max_files):
+    collection, event = replication.EVENTS, SAMPLES["EventLogs"]
+    for file, (key, kind) in enumerate([("e1", "a"), ("e2", "b"), ("e1", "c"), ("e2", "d"), ("e3", "e")]):
+        root = store("EventLogs", {**event, "event_id": key, "event_type": kind}, file=f"part-{9 - file}.json")
+    batch, stream = (
+        replace(collection.table, name=f"{database}.{n}") for n in ("by_batch", "by_stream")
+    )
+    replicate(spark, root, collection, batch)
+    checkpoint = str(tmp_path / "position")
+    replicate_new(spark, root, collection, checkpoint, stream, max_files).awaitTermination()
+
+    def state(spec):
+        return {r.event_id: r.event_type for r in tb.read(spark, spec).collect()}
+
+    assert state(stream) == state(batch) == {"e1": "c", "e2": "d", "e3": "e"}
+    store("EventLogs", {**event, "event_type": "z"}, file="part-0.json")
+    store("EventLogs", {**event, "event_id": "e2", "event_type": "late"}, file="part-99.json")
+    replicate_new(spark, root, collection, checkpoint, stream, max_files).awaitTermination()
+    replicate(spark, root, collection, batch)
+    assert state(stream) == state(batch) == {"e1": "z", "e2": "d", "e3": "e"}
+
+
+def test_upsert_leaves_other_buckets_alone(spark, database, store):
+    spec, event = replication.EVENTS.table.in_database(database), SAMPLES["EventLogs"]
+    many = [{**event, "event_id": f"e{i}"} for i in range(200)]
+    replicate(spark, store("EventLogs", *many), replication.EVENTS, spec)
+    root = tb.location(spark, spec.name).removeprefix("file:")
+    before = set(glob.glob(f"{root}/*/*.parquet"))
+    assert len(before) > 20
+    made = {r.event_id: (r.created_at, r.updated_at) for r in tb.read(spark, spec).collect()}
+    changed = {**event, "event_id": "e7", "event_type": "view"}
+    documents = read_collection(
+        spark, f"{store('Changed', changed)}/Changed", replication.EVENTS.schema
+    )
+    replication.replicate_documents(spark, documents, replication.EVENTS, spec)
+    after = set(glob.glob(f"{root}/*/*.parquet"))
+    assert len(before - after) == 1 and len(after) == len(before)
+    rows = {r.event_id: r for r in tb.read(spark, spec).collect()}
+    assert len(rows) == 200 and rows["e7"].event_type == "view"
+    assert rows["e7"].created_at == made["e7"][0] and rows["e7"].updated_at > made["e7"][1]
+    assert (rows["e8"].created_at, rows["e8"].updated_at) == made["e8"]
+
+
+def test_no_staged_copy_is_left(spark, database, store):
+    pattern = f"{spark.conf.get('spark.checkpoint.dir')}/millrace/batch-*"
+    before = glob.glob(pattern)
+    spec = replication.EVENTS.table.in_database(database)
+    replicate(spark, store("EventLogs", SAMPLES["EventLogs"]), replication.EVENTS, spec)
+    with pytest.raises(Exception):
+        broken = {**SAMPLES["EventLogs"], "timestamp": "soon"}
+        replicate(spark, store("EventLogs", broken, file="b.json"), replication.EVENTS, spec)
+    assert glob.glob(pattern) == before
 
 
 def test_all_collections_and_marts(spark, store):
