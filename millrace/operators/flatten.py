@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructType
+from pyspark.sql.types import StructType
 
 from millrace.functions.text import blank_to_null, json_string_array
 from millrace.sources.documents import json_value, xml_value
@@ -80,13 +78,17 @@ def first_text(elements: Column) -> Column:
 
 def flat_foods(foods: DataFrame, food: str | None = None, strict: bool = True) -> DataFrame:
     """Food elements (columns as in ``FOOD_FIELDS``) to the flat layout."""
-    def field(name: str) -> Column:
-        return F.col(f"{food}.`{name}`" if food else f"`{name}`")
+    columns = _direct_columns(lambda name: F.col(f"{food}.`{name}`" if food else f"`{name}`"), strict)
+    return foods.select(*[columns[c].alias(c) for c in FOOD_COLUMNS])
+
+
+def _whole(text: Column, strict: bool) -> Column:
+    text = blank_to_null(text)
+    return text.cast("int") if strict else text.try_cast("int")
 
-    def whole(text: Column) -> Column:
-        text = blank_to_null(text)
-        return text.cast("int") if strict else text.try_cast("int")
 
+def _direct_columns(field, strict: bool) -> dict[str, Column]:
+    """Flat columns from fields that stand directly in the food element."""
     columns = {}
     for target, name in FOOD_TEXT.items():
         elements = field(name)
@@ -94,50 +96,65 @@ def flat_foods(foods: DataFrame, food: str | None = None, strict: bool = True) -
     for target, attribute in FOOD_COUNTS.items():
         # The first attribute that exists, even when it is empty.
         present = F.filter(field("calories")[attribute], lambda a: a.isNotNull())
-        columns[target] = whole(F.get(present, F.lit(0)))
+        columns[target] = _whole(F.get(present, F.lit(0)), strict)
     for target, (group, name) in FOOD_NUTRIENTS.items():
         columns[target] = F.coalesce(first_text(_gather(field(group)[name])), F.lit("0"))
-    return foods.select(*[columns[c].alias(c) for c in FOOD_COLUMNS])
+    return columns
+
+
+def _deep_columns(xml: Column, strict: bool) -> dict[str, Column]:
+    """Flat columns from fields at any depth of a food element, by XPath."""
+
+    def found(path: str) -> Column:
+        return F.xpath(xml, F.lit(path))
 
+    columns = {t: first_text(found(f"//{name}/text()")) for t, name in FOOD_TEXT.items()}
+    for target, attribute in FOOD_COUNTS.items():
+        value = F.get(found(f"//calories/@{attribute.removeprefix('_')}"), F.lit(0))
+        columns[target] = _whole(value, strict)
+    for target, (group, name) in FOOD_NUTRIENTS.items():
+        columns[target] = F.coalesce(first_text(found(f"//{group}/{name}/text()")), F.lit("0"))
+    return columns
 
-def _document_type(path: Sequence[str]) -> StructType:
-    """Document type with the food elements below the named elements."""
-    level = StructType().add("food", ArrayType(StructType.fromDDL(FOOD_FIELDS)))
-    for name in reversed(path):
-        level = StructType().add(name, ArrayType(level))
-    return level
+
+# A food element with its content, and the start of an element that is a field.
+_FOOD = r"(?s)<food(?:\s[^>]*)?(?:/>|(?<!/)>.*?</food\s*>)"
+_NAMES = [*FOOD_TEXT.values(), "calories", "vitamins", "minerals"]
+_FIELD = rf"<(?:{'|'.join(_NAMES)})(?=[\s/>])"
 
 
 def food_elements(
-    documents: DataFrame,
-    column: str = "xml_data",
-    paths: Sequence[Sequence[str]] = ((),),
-    strict: bool = True,
+    documents: DataFrame, column: str = "xml_data", strict: bool = True
 ) -> DataFrame:
-    """One row per ``food`` element of each XML document, in a struct ``food``.
+    """One row per ``food`` element of each XML document, at any depth: its text ``food_xml``.
 
-    ``paths`` lists the element names between the root and ``food``; the empty
-    path is a ``food`` right under the root.
+    Documents in which that many elements cannot be cut out of the text, such as
+    foods inside foods, and malformed ones fail, unless ``strict`` is off.
     """
-    found = []
-    for path in paths:
-        nodes = xml_value(column, _document_type(path), strict)
-        for depth, name in enumerate([*path, "food"]):
-            nodes = _gather(nodes[name]) if depth else nodes[name]
-        found.append(nodes)
-    every = found[0] if len(found) == 1 else F.concat(*[F.coalesce(f, F.array()) for f in found])
-    return documents.select(F.explode(every).alias("food"))
-
-
-def flatten_foods(
-    documents: DataFrame,
-    column: str = "xml_data",
-    paths: Sequence[Sequence[str]] = ((),),
-    strict: bool = True,
-) -> DataFrame:
+    text = F.col(column)
+    foods = F.regexp_extract_all(text, F.lit(_FOOD), F.lit(0))
+    if strict:
+        message = F.lit(f"{column}: not every food element could be read")
+        missed = F.size(foods) != F.xpath_int(text, F.lit("count(//food)"))
+        foods = F.when(missed, F.raise_error(message).cast("array<string>")).otherwise(foods)
+    return documents.select(F.explode(foods).alias("food_xml"))
+
+
+def flatten_foods(documents: DataFrame, column: str = "xml_data", strict: bool = True) -> DataFrame:
     """Flat rows of the food elements in a text column of XML documents.
 
-    For files, where depth does not matter, use
-    ``read_xml_elements(..., "food", FOOD_FIELDS)`` and ``flat_foods``.
+    Foods and their fields are found at any depth. A food whose fields all stand
+    directly in it is parsed once; only others are searched by XPath, field by field.
+
+    For files use ``read_xml_elements(..., "food", FOOD_FIELDS)`` and ``flat_foods``.
     """
-    return flat_foods(food_elements(documents, column, paths, strict), "food", strict)
+    schema = StructType.fromDDL(FOOD_FIELDS)
+    foods = food_elements(documents, column, strict).select(
+        "food_xml", xml_value("food_xml", schema, strict).alias("food")
+    )
+    sizes = [F.coalesce(F.size(F.col(f"food.`{f.name}`")), F.lit(0)) for f in schema.fields]
+    direct = sum((F.greatest(s, F.lit(0)) for s in sizes), F.lit(0))
+    plain = F.regexp_count("food_xml", F.lit(_FIELD)) == direct
+    one = _direct_columns(lambda name: F.col(f"food.`{name}`"), strict)
+    two = _deep_columns(F.col("food_xml"), strict)
+    return foods.select(*[F.when(plain, one[c]).otherwise(two[c]).alias(c) for c in FOOD_COLUMNS])

@@ -50,4 +50,5 @@ def read_delimited(
 
 
 def write_delimited(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    """CSV files as ``read_delimited`` reads them: a quote in a cell is written twice."""
+    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)

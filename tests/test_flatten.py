@@ -105,11 +105,29 @@ def test_food_edges(spark):
     assert (got.vitamin_a, got.vitamin_c, got.calcium, got.iron) == ("0", "4", "0", "0")
 
 
-def test_deeper_foods_by_path(spark):
+def test_deeper_foods(spark):
     text = f"<nutrition><part>{food_xml(EXPECTED[0])}</part><part>{food_xml(EXPECTED[5])}</part></nutrition>"
     df = documents(spark, text, DOCUMENT)
-    assert flatten_foods(df).count() == 10
-    assert flatten_foods(df, paths=[(), ("part",)]).count() == 12
+    found = [as_text(r) for r in flatten_foods(df).collect()]
+    assert sorted(found, key=repr) == sorted([EXPECTED[0], EXPECTED[5], *EXPECTED], key=repr)
+
+
+def test_fields_at_any_depth(spark):
+    text = (
+        "<n><group><food><info><name>deep</name></info><mfr>direct</mfr>"
+        "<nested><vitamins><a>3</a></vitamins><calories total='7' fat='2'/></nested></food></group>"
+        "<food><name>plain</name></food><food/></n>"
+    )
+    got = {r.food_name: r for r in flatten_foods(documents(spark, text)).collect()}
+    assert set(got) == {"deep", "plain", None}
+    deep = got["deep"]
+    assert (deep.manufacturer, deep.vitamin_a, deep.calories_total, deep.calories_fat) == ("direct", "3", 7, 2)
+
+
+def test_foods_that_cannot_be_cut_out_fail(spark):
+    inside = "<n><food><name>a</name><food><name>b</name></food></food></n>"
+    with pytest.raises(Exception):
+        flatten_foods(documents(spark, inside)).collect()
 
 
 def test_foods_at_any_depth_in_files(spark, tmp_path):

@@ -342,6 +342,7 @@ SQL: dict[str, str] = {
         FROM ({PETS})""",
     "flatten_xml": FOODS,
     "flatten_xml_files": FOODS,
+    "flatten_xml_nested": FOODS,
     "json_text_columns": f"""
         SELECT event_id,
                CASE WHEN len(pages) > 0 THEN '["' || array_to_string(pages, '", "') || '"]' END AS pages_json,
@@ -361,6 +362,13 @@ SQL: dict[str, str] = {
         FROM firsts""",
     "replicate_event_logs": EVENT_LOGS,
     "replicate_from_json_files": EVENT_LOGS,
+    "replicate_streamed_files": EVENT_LOGS,
+    "inserted_first_of_repeated_keys": """
+        SELECT event_id // 2 AS pair, event_id, user_id FROM events
+        WHERE event_id % 10 = 1 OR (event_id % 2 = 0 AND event_id % 10 <> 0)
+           OR (event_id % 10 = 0 AND event_id + 1 NOT IN (SELECT event_id FROM events))""",
+    "csv_quoted_cells": """
+        SELECT event_id, 'kind "' || event_type || '", user ' || user_id AS note FROM events""",
     "replicate_support_tickets": f"""
         SELECT 'ticket_' || pair AS ticket_id, 'user_' || o_custkey AS user_id, status, issue_type,
                CASE WHEN o_orderkey % 5 <> 0 THEN '[' || array_to_string(
@@ -449,3 +457,15 @@ SQL: dict[str, str] = {
               SELECT * FROM source WHERE event_id NOT IN (SELECT event_id FROM target))
         GROUP BY 1""",
 }
+
+SQL["replicated_collections_upserted"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS collection, count(*) AS rows, count(*) AS created_kept, "
+    f"count(*) AS updated_moved FROM ({SQL[query]})"
+    for name, query in {
+        "UserSessions": "replicate_user_sessions",
+        "EventLogs": "replicate_event_logs",
+        "SupportTickets": "replicate_support_tickets",
+        "UserRecommendations": "replicate_user_recommendations",
+        "ModerationQueue": "replicate_moderation_queue",
+    }.items()
+)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.coerce import length_or_zero
@@ -45,12 +45,13 @@ from millrace.operators.summaries import (
 )
 from millrace.plans import flattening, loads, replication, temperature
 from millrace.plans import marts as mart_plans
-from millrace.session import shared_dir
+from millrace.session import materialize, shared_dir
 from millrace.sinks import history as log
 from millrace.sinks import tables as tb
 from millrace.sinks.reports import summary_lines
 from millrace.sources.delimited import read_delimited, write_delimited
-from millrace.sources.documents import read_xml_elements
+from millrace.sources.documents import read_xml_elements, xml_value
+from millrace.streaming.replicate import replicate_new
 from workload import inputs
 from workload.inputs import portable, rounded, table
 
@@ -359,12 +360,24 @@ def flatten_xml(spark, folder):
 def flatten_xml_files(spark, folder):
     """The same foods written as XML files and read back element by element."""
     path = shared_dir(spark, "foods-xml")
-    food_elements(inputs.food_documents(spark, folder)).select("food.*").write.option(
+    foods = food_elements(inputs.food_documents(spark, folder))
+    foods.select(xml_value("food_xml", FOOD_FIELDS).alias("food")).select("food.*").write.option(
         "rootTag", "nutrition"
     ).option("rowTag", "food").xml(path)
     return flat_foods(read_xml_elements(spark, path, "food", FOOD_FIELDS))
 
 
+@query
+def flatten_xml_nested(spark, folder):
+    """The same foods one level deeper in every second document, with names inside a further element."""
+    documents = inputs.food_documents(spark, folder)
+    text = F.col("xml_data")
+    deeper = F.regexp_replace(text, r"(?s)(<food.*</food>)", "<group><part>$1</part></group>")
+    inside = F.regexp_replace(deeper, r"<name>(.*?)</name>", "<label><name>$1</name></label>")
+    even = F.pmod(F.xxhash64(text), F.lit(2)) == 0
+    return flatten_foods(documents.withColumn("xml_data", F.when(even, inside).otherwise(text)))
+
+
 @query
 def json_text_columns(spark, folder):
     rows = inputs.sessions(spark, folder)
@@ -415,6 +428,55 @@ def replicate_moderation_queue(spark, folder):
     return portable(_nested_as_text(rows, "flags"))
 
 
+@query
+def replicate_streamed_files(spark, folder):
+    """Documents of one key in different files, taken up one file at a time."""
+    database, root = inputs.scratch_database(spark), shared_dir(spark, "collections")
+    collection = replication.EVENTS
+    documents = inputs.event_documents(spark, folder).withColumn(
+        "_later", F.row_number().over(Window.partitionBy("event_id").orderBy("_ord"))
+    )
+    ordered = documents.repartitionByRange(6, "_later", "_ord").sortWithinPartitions("_later", "_ord")
+    ordered.drop("_ord", "_later").write.json(f"{root}/{collection.name}")
+    spec = collection.table.in_database(database)
+    replicate_new(spark, root, collection, f"{root}/position", spec, max_files=1).awaitTermination()
+    return portable(tb.read(spark, spec).drop("created_at", "updated_at", replication.BUCKET))
+
+
+@query
+def replicated_collections_upserted(spark, folder):
+    """All collections loaded twice: rows, and how many kept ``created_at`` and moved ``updated_at``."""
+    database = inputs.scratch_database(spark)
+    sources = {
+        "UserSessions": inputs.session_documents,
+        "EventLogs": inputs.event_documents,
+        "SupportTickets": inputs.ticket_documents,
+        "UserRecommendations": inputs.recommendation_documents,
+        "ModerationQueue": inputs.review_documents,
+    }
+    found = None
+    for name, documents in ((n, d(spark, folder)) for n, d in sources.items()):
+        collection = replication.COLLECTIONS[name]
+        spec = collection.table.in_database(database)
+        replication.replicate_documents(spark, documents, collection, spec)
+        first = tb.read(spark, spec).select(
+            *spec.key, F.col("created_at").alias("_made"), F.col("updated_at").alias("_changed")
+        )
+        first = materialize(first, "first-load")
+        replication.replicate_documents(spark, documents, collection, spec)
+        state = tb.read(spark, spec).join(first, list(spec.key)).select(
+            F.lit(collection.name).alias("collection"),
+            (F.col("created_at") == F.col("_made")).alias("kept"),
+            (F.col("updated_at") > F.col("_changed")).alias("moved"),
+        )
+        found = state if found is None else found.unionByName(state)
+    return found.groupBy("collection").agg(
+        F.count("*").alias("rows"),
+        F.count_if("kept").alias("created_kept"),
+        F.count_if("moved").alias("updated_moved"),
+    )
+
+
 @query
 def replicate_from_json_files(spark, folder):
     """Event documents written as a JSON-lines collection, read back, loaded twice."""
@@ -427,7 +489,7 @@ def replicate_from_json_files(spark, folder):
     spec = collection.table.in_database(database)
     for _ in range(2):
         replication.replicate(spark, root, collection, spec)
-    return portable(tb.read(spark, spec).drop("created_at", "updated_at"))
+    return portable(tb.read(spark, spec).drop("created_at", "updated_at", replication.BUCKET))
 
 
 # --- loads and tables --------------------------------------------------------------
@@ -603,3 +665,30 @@ def inserted_missing_rows(spark, folder):
     tb.insert_missing(source, spec)
     loaded = tb.read(spark, spec)
     return portable(rounded(daily_summary(loaded, "ts", "value"), "avg_temp"))
+
+
+@query
+def inserted_first_of_repeated_keys(spark, folder):
+    """Two source rows of one new key: the first by order is inserted."""
+    database = inputs.scratch_database(spark)
+    spec = tb.TableSpec(
+        name=f"{database}.pairs", ddl="pair BIGINT, event_id BIGINT, user_id BIGINT", key=("pair",)
+    )
+    tb.create(spark, spec)
+    events = table(spark, folder, "events").select(
+        F.floor(F.col("event_id") / 2).alias("pair"), "event_id", "user_id"
+    )
+    tb.append(events.where("event_id % 10 = 1"), spec)
+    tb.insert_missing(events, spec, "event_id")
+    return portable(tb.read(spark, spec))
+
+
+@query
+def csv_quoted_cells(spark, folder):
+    """Cells with separators and doubled quotes, written and read back."""
+    path = shared_dir(spark, "quoted-csv")
+    events = table(spark, folder, "events")
+    cells = F.concat(F.lit('kind "'), F.col("event_type"), F.lit('", user '), F.col("user_id"))
+    write_delimited(events.select("event_id", cells.alias("note")), path)
+    back = read_delimited(spark, path)
+    return portable(back.select(F.col("event_id").cast("long").alias("event_id"), "note"))
