@@ -316,7 +316,11 @@ def replace(df: DataFrame, text: str = "text", doc_id: str = "doc_id", key: str
     rows = df.select(
         *names, F.sha2(F.concat(number, F.lit(":"), F.coalesce(value, F.lit(""))), 256).alias("__row")
     )
-    has = F.coalesce(value.rlike(PATTERN), F.lit(False))
+    # Every mention has one of these, and most texts have none: a quick first look.
+    possible = value.rlike("[0-9@=:]")
+    for title in f"{_MALE}|{_FEMALE}".split("|"):
+        possible = possible | value.contains(title)
+    has = F.coalesce(possible & value.rlike(PATTERN), F.lit(False))
     mention = F.col("mention")
     mentions = (
         rows.where(has)
