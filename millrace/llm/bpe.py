@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from millrace.llm.common import appended, clean_text
 
 LEAF_CHARS = 32 * 1024
-CACHED_PIECES = 300_000  # pieces a task remembers before it starts afresh
+CACHED_PIECES = 200_000  # pieces a task remembers before it starts afresh
 AGREE = 4  # tokens that must agree on each side of a join
 FIRST_WINDOW = 16
 
@@ -48,6 +48,7 @@ _SPLIT = (
 
 IDS = T.StructField("ids", T.BinaryType())
 COUNT = T.StructField("n_tokens", T.LongType())
+DECODED = T.StructField("decoded", T.StringType())
 
 
 def _byte_of_character() -> dict[str, int]:
@@ -125,6 +126,14 @@ class Codec:
         except KeyError:  # ids the vocabulary lacks
             return b"".join([self.bytes_of.get(i, b"") for i in ids])
 
+    def decode(self, ids: bytes) -> str:
+        return self.decode_bytes(np.frombuffer(ids, "<u4").tolist()).decode("utf-8", "replace")
+
+    def columns(self, ids: list[bytes], count: int) -> list[list]:
+        """Ids, their number and, if three columns are wanted, the text they spell."""
+        made = [ids, [len(x) // 4 for x in ids]]
+        return made if count == 2 else [*made, [self.decode(x) for x in ids]]
+
     def join(self, left: bytes, right: bytes) -> bytes:
         """Ids of the joined text from the ids of its two sides."""
         a, b = np.frombuffer(left, "<u4"), np.frombuffer(right, "<u4")
@@ -178,28 +187,33 @@ def encode(
     df: DataFrame, vocabulary: str, column: str = "text", leaf_chars: int = LEAF_CHARS
 ) -> DataFrame:
     """Add ``ids`` (little-endian unsigned 32-bit integers) and ``n_tokens``."""
-    df = df.drop("ids", "n_tokens")
+    return _coded(df, vocabulary, column, leaf_chars, [IDS, COUNT])
+
+
+def round_trip(
+    df: DataFrame, vocabulary: str, column: str = "text", leaf_chars: int = LEAF_CHARS
+) -> DataFrame:
+    """``ids``, ``n_tokens`` and ``decoded`` in place of the text; one Python process does both."""
+    return _coded(df, vocabulary, column, leaf_chars, [IDS, COUNT, DECODED], without=(column,))
+
+
+def _coded(df, vocabulary, column, leaf_chars, added, without=()) -> DataFrame:
+    df = df.drop(*[f.name for f in added if f.name.lower() != column.lower()])
     length = F.length(clean_text(f"`{column}`"))
-    short = df.where(length <= leaf_chars)
-    long = df.where(length > leaf_chars)
 
     def plain():
         tool = codec(vocabulary)
+        return lambda texts: tool.columns([tool.encode(t.decode()) for t in texts], len(added))
 
-        def act(texts):
-            ids = [tool.encode(t.decode()) for t in texts]
-            return ids, [len(x) // 4 for x in ids]
-
-        return act
-
-    return appended(short, column, [IDS, COUNT], plain).unionByName(
-        _encode_long(long, vocabulary, column, leaf_chars)
-    )
+    short = appended(df.where(length <= leaf_chars), column, added, plain, without)
+    long = _long(df.where(length > leaf_chars), vocabulary, column, leaf_chars, added, without)
+    return short.unionByName(long)
 
 
-def _encode_long(df: DataFrame, vocabulary: str, column: str, leaf_chars: int) -> DataFrame:
+def _long(df, vocabulary, column, leaf_chars, added, without) -> DataFrame:
     """Leaves of each different text go to different tasks; one task joins their ids."""
-    kept = df.schema.fields
+    gone = {f.name.lower() for f in added} | {c.lower() for c in without}
+    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in gone]
 
     def cut(frames):
         for frame in frames:
@@ -214,9 +228,10 @@ def _encode_long(df: DataFrame, vocabulary: str, column: str, leaf_chars: int) -
             yield frame
 
     def joined(frame):
-        parts = frame.sort_values("__leaf")["__part"].tolist()
-        ids = codec(vocabulary).join_all(parts)
-        return pd.DataFrame({"__name": frame["__name"].iloc[:1], "ids": [ids]})
+        tool = codec(vocabulary)
+        ids = tool.join_all(frame.sort_values("__leaf")["__part"].tolist())
+        made = zip([f.name for f in added], tool.columns([ids], len(added)), strict=True)
+        return pd.DataFrame({"__name": frame["__name"].iloc[:1], **dict(made)})
 
     text = clean_text(f"`{column}`")
     named = df.withColumn("__name", F.sha2(F.encode(text, "UTF-8"), 256))
@@ -227,12 +242,9 @@ def _encode_long(df: DataFrame, vocabulary: str, column: str, leaf_chars: int) -
         .agg(F.first("__part").alias("__part"))
         .mapInPandas(encoded, "__name string, __leaf long, __part binary")
     )
-    ids = parts.groupBy("__name").applyInPandas(joined, "__name string, ids binary")
-    return named.join(ids, "__name").select(
-        *[F.col(f"`{f.name}`") for f in kept],
-        F.col("ids"),
-        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-    )
+    schema = T.StructType([T.StructField("__name", T.StringType()), *added])
+    ids = parts.groupBy("__name").applyInPandas(joined, schema)
+    return named.select(*kept, "__name").join(ids, "__name").drop("__name")
 
 
 def decode(df: DataFrame, vocabulary: str, column: str = "ids") -> DataFrame:
@@ -240,14 +252,13 @@ def decode(df: DataFrame, vocabulary: str, column: str = "ids") -> DataFrame:
 
     Ids the vocabulary lacks spell nothing; NULL ids give the empty text.
     """
-    field = T.StructField("decoded", T.StringType())
+    field = DECODED
 
     def work():
         tool = codec(vocabulary)
 
         def act(values):
-            ids = [np.frombuffer(v, "<u4").tolist() for v in values]
-            return ([tool.decode_bytes(x).decode("utf-8", "replace") for x in ids],)
+            return ([tool.decode(v) for v in values],)
 
         return act
 
@@ -273,12 +284,6 @@ def _from_binary(df: DataFrame, column: str, field: T.StructField, work) -> Data
     return df.select(*[f"`{f.name}`" for f in kept]).mapInArrow(run, T.StructType([*kept, field]))
 
 
-def round_trip(df: DataFrame, vocabulary: str, column: str = "text") -> DataFrame:
-    """Ids, token count and decoded text of every row."""
-    others = [f"`{c}`" for c in df.columns if c.lower() != column.lower()]
-    return decode(encode(df, vocabulary, column).select(*others, "ids", "n_tokens"), vocabulary)
-
-
 def digests(coded: DataFrame) -> DataFrame:
     """Digests of the ids and of the decoded text."""
     return coded.select(

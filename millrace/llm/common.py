@@ -56,15 +56,19 @@ def slices(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[pa.Record
 
 
 def appended(
-    df: DataFrame, column: str, added: list[T.StructField], work: Callable[[], Callable]
+    df: DataFrame,
+    column: str,
+    added: list[T.StructField],
+    work: Callable[[], Callable],
+    without: Iterable[str] = (),
 ) -> DataFrame:
     """``df`` with columns computed from the text ``column`` by Arrow batches.
 
     ``work()`` runs once in each task and returns a function from a list of
     byte strings (NULL is empty) to one sequence for each added column. Columns
-    of ``df`` with an added column's name are replaced.
+    of ``df`` with an added column's name are replaced; ``without`` leaves out more.
     """
-    names = {f.name.lower() for f in added}
+    names = {f.name.lower() for f in added} | {c.lower() for c in without}
     kept = [f for f in df.schema.fields if f.name.lower() not in names]
     source = "__text"
     df = df.select(

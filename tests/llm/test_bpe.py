@@ -47,6 +47,8 @@ def test_round_trip_of_a_table(spark):
     ]
     docs = spark.createDataFrame(texts, "doc_id long, text string, ids string").repartition(2)
     coded = bpe.decode(bpe.encode(docs, PATH, leaf_chars=500), PATH)
+    at_once = bpe.round_trip(docs, PATH, leaf_chars=500)
+    assert sorted(map(repr, bpe.digests(at_once).collect())) == sorted(map(repr, bpe.digests(coded).collect()))
     found = sorted((tuple(r) for r in bpe.digests(coded).collect()), key=repr)
     wanted = [
         (
