@@ -185,21 +185,26 @@ def _loaded(rows: DataFrame, table: TableSpec) -> tuple[str, int]:
 def incremental_load(
     spark: SparkSession,
     raw: DataFrame,
-    days: int = DEFAULT_PARAMETERS["last_n_days"],
+    days: int | None = None,
     table: TableSpec = INCREMENTAL,
     history: TableSpec = log.HISTORY,
     batch_id: str | None = None,
     fmt: str = READING_FORMAT,
     loose: bool = False,
     cap_days: int | None = None,
+    run: Mapping | None = None,
+    job: Mapping | None = None,
 ) -> LoadResult:
     """Upsert the rows of the last days by (date, device).
 
+    Without ``days``, the parameters of the ``run`` and the ``job`` decide.
+
     ``cap_days=PREPARED_DAYS`` adds the preparation step's own cut. The batch is
     written once to the shared folder; the row count, the touched days and the
     merge all read that copy.
     """
     create(spark, table)
+    days = run_parameters(run, job)["last_n_days"] if days is None else days
 
     def work(batch: str) -> tuple[str, int]:
         dated = dated_readings(raw, fmt, loose)

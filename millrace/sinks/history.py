@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import error_text
 from millrace.operators.dedupe import keep_last
-from millrace.sinks.tables import TableSpec, append, read
+from millrace.sinks.tables import TableSpec, append, read, replace_all
 
 HISTORY = TableSpec(
     name="load_history",
@@ -87,3 +87,9 @@ def latest_loads(batches: DataFrame, n: int = 1, kind: str | None = None) -> Dat
 
 def batches(spark: SparkSession, spec: TableSpec = HISTORY) -> DataFrame:
     return current_state(read(spark, spec))
+
+
+def compact(spark: SparkSession, spec: TableSpec = HISTORY) -> None:
+    """Rewrite the history with the latest state of every batch; call it when no load runs."""
+    latest = keep_last(read(spark, spec), "batch_id", ["changed_at", "end_date"])
+    replace_all(latest.coalesce(1), spec)

@@ -187,3 +187,34 @@ def test_row_numbers_after_a_shuffle(spark):
     got = with_row_number(df, "n").collect()
     assert sorted(r.n for r in got) == list(range(2400))
     assert with_row_number(df.where("id < 0"), "n").count() == 0
+
+
+def test_last_row_by_file_order_whatever_the_file_sizes(spark, database, tmp_path):
+    """A short first file and a long second one that repeats its key: the second wins."""
+    head = "id,noted_date,temp,out/in\n"
+    (tmp_path / "a.csv").write_text(head + "d_k,01-01-2024 10:00,1,In\n")
+    long = [f"d_{i},01-01-2024 11:{i:02d},2,In" for i in range(40)] + ["d_k,01-01-2024 10:00,7,In"]
+    (tmp_path / "b.csv").write_text(head + "\n".join(long) + "\n")
+    raw = read_delimited(spark, str(tmp_path), order="_ord")
+    table = loads.INCREMENTAL.in_database(database)
+    history = loads.log.HISTORY.in_database(database)
+    result = loads.incremental_load(spark, raw, table=table, history=history, run={"last_n_days": 3})
+    assert (result.status, result.rows) == ("success", 41)
+    stored = {r.device_id: r.temperature for r in loads.read(spark, table).collect()}
+    assert stored["dev_k"] == 7
+
+
+def test_numbers_by_position_follow_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("v\n1\n")
+    (tmp_path / "b.csv").write_text("v\n" + "".join(f"{i}\n" for i in range(2, 60)))
+    raw = read_delimited(spark, str(tmp_path), order="_ord")
+    got = with_row_number(raw, "n", "_ord").collect()
+    assert sorted((r.n, int(r.v)) for r in got) == [(i, i + 1) for i in range(59)]
+
+
+def test_quotes_and_headers_of_csv_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('id,temp\n1,"a ""q"", b"\n')
+    assert [tuple(r) for r in read_delimited(spark, str(tmp_path)).collect()] == [("1", 'a "q", b')]
+    (tmp_path / "b.csv").write_text("temp,id\nB,2\n")
+    with pytest.raises(Exception):
+        read_delimited(spark, str(tmp_path)).collect()

@@ -1,6 +1,6 @@
 import pytest
 
-from millrace.session import materialize, pin_semantics, shared_dir, shuffle_settings
+from millrace.session import materialize, pin_semantics, shared_dir, shuffle_settings, shuffles_sized_for
 
 
 def test_shuffle_sizes():
@@ -29,3 +29,14 @@ def test_settings_that_change_results_are_pinned(spark):
     assert spark.conf.get(zone) == "UTC"
     with pytest.raises(Exception):
         spark.sql("SELECT CAST('x' AS INT)").collect()
+
+
+def test_shuffles_follow_the_size_of_the_sources(spark):
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    large = spark.range(20_000_000_000)  # 160 GB by its statistics
+    with shuffles_sized_for(large):
+        assert int(spark.conf.get(name)) > 500
+    assert spark.conf.get(name) == before
+    with shuffles_sized_for(spark.range(10)):
+        assert spark.conf.get(name) == before

@@ -151,6 +151,33 @@ def test_history_keeps_one_state_per_batch(spark, database):
     assert tb.read(spark, spec).count() == 4
 
 
+def test_history_can_be_compacted(spark, database):
+    spec = log.HISTORY.in_database(database)
+    tb.create(spark, spec)
+    start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    for status in (log.STARTED, log.FAILED, log.STARTED, log.SUCCESS):
+        log.record(spark, spec, "full", "b1", status, start, 5)
+    before = [r.asDict() for r in log.batches(spark, spec).collect()]
+    log.compact(spark, spec)
+    assert [r.asDict() for r in log.batches(spark, spec).collect()] == before
+    assert tb.read(spark, spec).count() == 1
+
+
+def test_a_slice_refuses_rows_of_another_date(spark, by_day):
+    rows = dated(spark, (1, "a", 1), (2, "b", 2))
+    with pytest.raises(Exception, match="is not of"):
+        tb.replace_slice(rows, by_day, dt.date(2024, 1, 1))
+    tb.replace_slice(dated(spark, (1, "a", 1)), by_day, dt.date(2024, 1, 1))
+    assert tb.read(spark, by_day).count() == 1
+
+
+def test_the_first_of_repeated_keys_is_inserted(spark, database, rows):
+    spec = spec_in(database)
+    tb.create(spark, spec)
+    tb.insert_missing(frame(spark, (1, "b"), (1, "a"), (2, "x")), spec, "v")
+    assert rows(tb.read(spark, spec), "k", "v") == [(1, "a"), (2, "x")]
+
+
 def test_batch_names_and_outcomes(spark, rows):
     assert log.batch_name("inc", dt.datetime(2024, 1, 2, 3, 4, 5)) == "inc_20240102_030405"
     df = spark.createDataFrame(
