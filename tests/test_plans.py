@@ -108,3 +108,10 @@ def test_replication_shuffles_each_side_once(spark, database):
     # Once for the rows that stay, once for the key and kept columns alone.
     assert "FullOuter" not in text
     assert text.count("Exchange hashpartitioning") <= 4
+
+
+def test_quality_counts_copy_no_rows(events):
+    from millrace.operators.profile import load_quality
+
+    text = plan(load_quality(events, ("ts", "user_id"), "ts", "user_id"))
+    assert "Expand" not in text
