@@ -367,6 +367,15 @@ SQL: dict[str, str] = {
         SELECT event_id // 2 AS pair, event_id, user_id FROM events
         WHERE event_id % 10 = 1 OR (event_id % 2 = 0 AND event_id % 10 <> 0)
            OR (event_id % 10 = 0 AND event_id + 1 NOT IN (SELECT event_id FROM events))""",
+    "loose_headers_and_aliases": f"""
+        SELECT event_id AS id, {_time('ts')} AS noted_date, event_type AS out_in FROM events""",
+    "nan_values_as_null": """
+        SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN value END AS value FROM events""",
+    "shortened_error_texts": """
+        SELECT event_id, left(repeat(coalesce(props, ''), 60), 500) AS error_message FROM events""",
+    "stamped_and_keyed_rows": """
+        SELECT user_id % 10 AS user_group, count(*) AS rows, count(*) AS stamped, 1 AS known_tables
+        FROM events GROUP BY 1""",
     "csv_quoted_cells": """
         SELECT event_id, 'kind "' || event_type || '", user ' || user_id AS note FROM events""",
     "replicate_support_tickets": f"""

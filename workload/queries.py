@@ -8,10 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.functions.coerce import length_or_zero
-from millrace.functions.headers import standardise
+from millrace.functions.coerce import length_or_zero, null_if_nan
+from millrace.functions.headers import apply_aliases, canonical_for_load, standardise
 from millrace.functions.identity import device_id_full, device_id_incremental, location
-from millrace.functions.text import fixed_decimals, json_document, json_string_array
+from millrace.functions.text import error_text, fixed_decimals, json_document, json_string_array
 from millrace.operators import marts
 from millrace.operators.dedupe import (
     duplicate_key_count,
@@ -51,6 +51,7 @@ from millrace.sinks import tables as tb
 from millrace.sinks.reports import summary_lines
 from millrace.sources.delimited import read_delimited, write_delimited
 from millrace.sources.documents import read_xml_elements, xml_value
+from millrace.sources.tables import existing_tables
 from millrace.streaming.replicate import replicate_new
 from workload import inputs
 from workload.inputs import portable, rounded, table
@@ -204,6 +205,48 @@ def standardised_headers(spark, folder):
     return standardise(rows, slash=True)
 
 
+@query
+def loose_headers_and_aliases(spark, folder):
+    """Location by any column with ``in``, and fallback names where the wanted one is missing."""
+    events = table(spark, folder, "events").select(
+        "event_id", F.col("ts").alias("event_date"), F.col("event_type").alias("inside")
+    )
+    loose = canonical_for_load(events, loose=True)
+    return portable(apply_aliases(loose, {"event_id": "id", "inside": "out_in"}))
+
+
+@query
+def nan_values_as_null(spark, folder):
+    events = table(spark, folder, "events")
+    value = F.when(F.col("event_id") % 3 == 0, F.lit("NaN").cast("double")).otherwise(F.col("value"))
+    return events.select("event_id", null_if_nan(value).alias("value"))
+
+
+@query
+def shortened_error_texts(spark, folder):
+    text = F.repeat(F.coalesce(F.col("props"), F.lit("")), 60)
+    return table(spark, folder, "events").select("event_id", error_text(text).alias("error_message"))
+
+
+@query
+def stamped_and_keyed_rows(spark, folder):
+    """Rows of a table that fills in load times and checks its key, and whether the catalog knows it."""
+    database = inputs.scratch_database(spark)
+    spec = tb.TableSpec(
+        name=f"{database}.stamped",
+        ddl="event_id BIGINT, user_id BIGINT, load_timestamp TIMESTAMP",
+        key=("event_id",), defaults=loads.LOADED_NOW,
+    )
+    tb.create(spark, spec)
+    tb.replace_all(table(spark, folder, "events").select("event_id", "user_id"), spec)
+    known = existing_tables(spark, [spec.name, f"{database}.missing"])
+    return tb.read(spark, spec).groupBy(F.pmod("user_id", F.lit(10)).alias("user_group")).agg(
+        F.count("*").alias("rows"),
+        F.count("load_timestamp").alias("stamped"),
+        F.lit(len(known)).alias("known_tables"),
+    )
+
+
 # --- labels --------------------------------------------------------------------
 
 
