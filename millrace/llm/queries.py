@@ -79,6 +79,25 @@ def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.reported(warc.round_trip(table(spark, folder, "pages")))
 
 
+SQL["op6_warc"] = """
+WITH hashed AS (
+    SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+),
+coded AS (
+    SELECT page_id, strlen(html) AS payload_bytes, array_to_string([
+        substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+               ((('0x' || substr(hex, 5 * (i // 4) + 1, 5))::INTEGER >> (15 - 5 * (i % 4))) & 31) + 1, 1)
+        FOR i IN range(32)], '') AS payload_digest
+    FROM hashed
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = max(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> max(page_id) OVER same THEN max(page_id) OVER same END AS refers_to
+FROM coded
+WINDOW same AS (PARTITION BY payload_digest, payload_bytes)
+"""
+
+
 @query
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     benchmark = table(spark, folder, "benchmark")
