@@ -227,15 +227,24 @@ def fit(df: DataFrame, posterior: dict, text: str = "text", train_rows: int = TR
 
             yield pd.DataFrame({"weights": [_descend(rows, len(rows)).tobytes()], "n": [len(rows)]})
 
-    parts = (
-        sample.repartition(TRAIN_TASKS, F.xxhash64("text"))
-        .mapInPandas(train, "weights binary, n long")
-        .collect()  # TRAIN_TASKS rows
-    )
-    total = sum(p["n"] for p in parts)
-    if not total:
+    def averaged(frames):
+        import pandas as pd
+
+        total, rows = np.zeros(HASHED + 1), 0
+        for frame in frames:
+            for weights, n in zip(frame["weights"], frame["n"], strict=True):
+                total += np.frombuffer(weights) * n
+                rows += n
+        if rows:
+            yield pd.DataFrame({"weights": [(total / rows).tobytes()], "n": [rows]})
+
+    # One task averages the few weight vectors, so that the driver gets one.
+    schema = "weights binary, n long"
+    trained = sample.repartition(TRAIN_TASKS).mapInPandas(train, schema).repartition(1)
+    found = trained.mapInPandas(averaged, schema).first()
+    if found is None:
         return np.zeros(HASHED), 0.0
-    mean = sum(np.frombuffer(p["weights"]) * (p["n"] / total) for p in parts)
+    mean = np.frombuffer(found["weights"])
     return mean[:-1], float(mean[-1])
 
 
