@@ -41,7 +41,7 @@ PATTERNS = {
     "email": r"(?<![\w.+-])[\w+-][\w.+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}\b",
     "secret": (
         r"(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key)\b)"
-        r"[ \t]{0,3}[=:][ \t]{0,3}\"?[A-Za-z0-9_\-+/.]{8,200}\"?"
+        r"[ \t]{0,3}[=:][ \t]{0,3}\"?[A-Za-z0-9_\-+/.]{8,}\"?"
     ),
     "access_key": r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -318,8 +318,8 @@ def replace(df: DataFrame, text: str = "text", doc_id: str = "doc_id", key: str
     )
     # Every mention has one of these, and most texts have none: a quick first look.
     possible = value.rlike("[0-9@=:]")
-    for title in f"{_MALE}|{_FEMALE}".split("|"):
-        possible = possible | value.contains(title)
+    for start in ["AKIA", "ASIA", *f"{_MALE}|{_FEMALE}".split("|")]:
+        possible = possible | value.contains(start)
     has = F.coalesce(possible & value.rlike(PATTERN), F.lit(False))
     mention = F.col("mention")
     mentions = (
