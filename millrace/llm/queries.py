@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, exact, language_model, licenses, quality, simhash, surrogates, toxicity, warc
+from millrace.llm import (
+    bpe,
+    collocations,
+    decontaminate,
+    exact,
+    language_model,
+    licenses,
+    line_rules,
+    quality,
+    resample,
+    simhash,
+    surrogates,
+    toxicity,
+    warc,
+)
 from millrace.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,3 +131,19 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(documents(spark, folder))
+
+
+@query
+def op11_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample.ranks(documents(spark, folder), table(spark, folder, "benchmark"))
+
+
+@query
+def op12_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return line_rules.verdicts(documents(spark, folder))
+
+
+@query
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("lang", "text")
+    return collocations.top_phrases(collocations.mine(docs))
