@@ -22,6 +22,10 @@ COLUMNS = {
     "op8_bpe_codec": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
     "op9_simhash": ["doc_id", "fingerprint", "component_id"],
     "op10_licences": ["doc_id"],
+    "op11_resampling": ["doc_id", "n_features", "weight", "score", "rank"],
+    "op12_quality_rules": [
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+    ],
 }
 
 
@@ -31,7 +35,7 @@ def database():
 
 
 def test_all_are_registered():
-    assert set(REGISTRY) == set(COLUMNS)
+    assert set(REGISTRY) == {*COLUMNS, "op13_collocations"}
     assert {*COLUMNS, "pipeline"} <= set(contract.queries())
 
 
