@@ -15,10 +15,10 @@ for its full cycle like any other, which costs time and changes no count; none i
 A table with more frequent phrases than the cells tell apart is counted with less
 pruning, down to counting all phrases.
 
-Tasks turn a batch into word numbers and count phrases on arrays; counts meet by phrase
-with Spark's map-side combining, so a phrase in a third of all places is one row for a
-task. Phrases that are not complete are carried to the next step, the others are
-stored when they are frequent.
+Tasks turn ``BATCH_WORDS`` words into numbers and count phrases on sorted arrays; counts
+meet by phrase, so a phrase in a third of all places is one row for a task. Phrases
+that are not complete are carried to the next step, the others are stored when they are
+frequent.
 
 Texts are lower-cased (A-Z), split into pieces at ``. , ; : ! ?`` and line ends, and
 pieces into words at spaces and tabs. NULL texts count as empty, a NULL language as
@@ -40,16 +40,17 @@ from millrace.session import remove
 
 LEAST = 30
 LONGEST = 4
-SHARDS = 3
+SHARDS = 2
 CELLS = 1 << 25
-MOST_WORDS = 1 << 20
+BATCH_WORDS = 3_000_000
+MOST_WORDS = 1 << 19
 NO_LANGUAGE = "und"
 SCALE = 2_000_000
 COVERED = 80  # percent of a phrase's places that a longer one takes away
 TOP = 2000
 
 NEVER = 255  # a cell no step has set
-COUNTS = "lang string, phrase string, size int, last int, n long"
+COUNTS = "key binary, last int, n long"  # the key is the language, a line feed and the phrase
 
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _PLAIN = bytes(10 if c in _ENDS else 32 if c == 9 else c for c in bytes(range(256)).lower())
@@ -89,13 +90,14 @@ def _reached(hashes: np.ndarray, steps: np.ndarray) -> np.ndarray:
 class _Numbers(dict):
     """Words of one language to numbers, given out in order over all languages."""
 
-    def __init__(self, lang: str, words: list[tuple[str, bytes]]):
+    def __init__(self, lang: int, langs: list[int], words: list[bytes]):
         super().__init__({_BREAK: 0})
-        self.lang, self.words = lang, words
+        self.lang, self.langs, self.words = lang, langs, words
 
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self.words)
-        self.words.append((self.lang, word))
+        self.words.append(word)
+        self.langs.append(self.lang)
         return number
 
 
@@ -107,113 +109,133 @@ class _Counter:
         self.forget()
 
     def forget(self) -> None:
-        self.words: list[tuple[str, bytes]] = [("", _BREAK)]
+        self.words, self.langs, self.names = [_BREAK], [0], [""]
         self.numbers: dict[str, _Numbers] = {}
         self.hashes, self.reached = np.zeros(1, np.uint64), np.full(1, NEVER, np.uint8)
-        self.text, self.langs = pa.array([b""], pa.binary()), pa.array([""], pa.string())
+        self.text, self.keys = pa.array([b""], pa.binary()), pa.array([b""], pa.binary())
         self.seen = np.zeros(1, np.int64)
 
-    def number(self, lang: str, text: bytes) -> list[int]:
+    def number(self, lang: str, text: bytes) -> np.ndarray:
+        """Word numbers of a text, 0 where a piece ends."""
         if lang not in self.numbers:
-            self.numbers[lang] = _Numbers(lang, self.words)
-        return [*map(self.numbers[lang].__getitem__, tokens(text)), 0]
+            self.numbers[lang] = _Numbers(len(self.names), self.langs, self.words)
+            self.names.append(lang)
+        found = tokens(text)
+        found.append(_BREAK)
+        return np.fromiter(map(self.numbers[lang].__getitem__, found), np.int32, len(found))
 
     def _learn(self) -> None:
-        new = self.words[len(self.hashes) :]
+        known = len(self.hashes)
+        new = self.words[known:]
         if not new:
             return
-        hashes = np.fromiter((word_hash(*w) for w in new), np.uint64, len(new))
+        names = [self.names[i] for i in self.langs[known:]]
+        hashes = np.fromiter(map(word_hash, names, new), np.uint64, len(new))
         self.hashes = np.concatenate([self.hashes, hashes])
         self.reached = np.concatenate([self.reached, _reached(hashes, self.steps)])
-        self.text = pa.concat_arrays([self.text, pa.array([w for _, w in new], pa.binary())])
-        self.langs = pa.concat_arrays([self.langs, pa.array([lang for lang, _ in new], pa.string())])
+        starts = [f"{n}\n".encode() for n in self.names]
+        firsts = [starts[i] + w for i, w in zip(self.langs[known:], new, strict=True)]
+        self.text = pa.concat_arrays([self.text, pa.array(new, pa.binary())])
+        self.keys = pa.concat_arrays([self.keys, pa.array(firsts, pa.binary())])
         self.seen = np.concatenate([self.seen, np.zeros(len(new), np.int64)])
 
     def _rows(self, columns: list[np.ndarray], last, counts: np.ndarray) -> pa.RecordBatch:
-        words = [self.text.take(pa.array(c)) for c in columns]
-        phrase = pc.binary_join_element_wise(*words, b" ") if len(words) > 1 else words[0]
-        arrays = [
-            self.langs.take(pa.array(columns[0])),
-            phrase.cast(pa.string()),
-            pa.array(np.full(len(counts), len(columns)), pa.int32()),
-            pa.array(last, pa.int32()),
-            pa.array(counts, pa.int64()),
-        ]
-        return pa.RecordBatch.from_arrays(arrays, ["lang", "phrase", "size", "last", "n"])
-
-    def count(self, numbers: list[int]):
+        words = [self.keys.take(pa.array(columns[0]))]
+        words += [self.text.take(pa.array(c)) for c in columns[1:]]
+        keys = pc.binary_join_element_wise(*words, b" ") if len(words) > 1 else words[0]
+        return pa.RecordBatch.from_arrays(
+            [keys, pa.array(last, pa.int32()), pa.array(counts, pa.int64())], ["key", "last", "n"]
+        )
+
+    def count(self, ids: np.ndarray):
         """Rows of the active phrases of two words and more; words are added up."""
-        ids = np.array(numbers, dtype=np.int64)
         self._learn()
         if self.step <= self.shards:
             self.seen += np.bincount(ids, minlength=len(self.seen))
         word, reached = self.hashes[ids], self.reached[ids]
-        hashes, names = word, ids
+        # Places where a phrase of the last length starts, by the step it reached the threshold.
+        at, hashes, names, table = np.arange(len(ids)), word, ids.astype(np.int64), None
         for size in range(2, self.longest + 1):
-            if len(reached) < 2:
+            # Both inner phrases stand side by side and have reached the threshold.
+            both = np.flatnonzero((at[1:] == at[:-1] + 1) & (np.maximum(reached[1:], reached[:-1]) < self.step))
+            if not len(both):
                 return
-            active = np.maximum(reached[:-1], reached[1:])
-            at = np.flatnonzero(active < self.step)
-            if not len(at):
+            active, place = np.maximum(reached[both], reached[both + 1]).astype(np.int64), at[both]
+            codes = (names[both] << 32) | ids[place + size - 1]
+            different, counts = np.unique(codes[active + self.shards >= self.step], return_counts=True)
+            if len(different):
+                yield self._counted(different, counts, table, size)
+            if size == self.longest:
                 return
-            begun = active[at].astype(np.int64)
-            # Numbers of the phrases at ``at``, so that two of them name the next length.
-            code = (names[at] << 32) | ids[at + size - 1]
-            _, first, inverse, counts = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-            now = np.flatnonzero(begun[first] + self.shards >= self.step)
-            if len(now):
-                place = at[first[now]]
-                yield self._rows([ids[place + i] for i in range(size)], begun[first[now]] + self.shards, counts[now])
-            longer = _joined(hashes[at], word[at + size - 1])
-            later = np.maximum(active[at], _reached(longer, self.steps))
-            names, hashes = np.zeros(len(active), np.int64), np.zeros(len(active), np.uint64)
-            reached = np.full(len(active), NEVER, np.uint8)
-            names[at], hashes[at], reached[at] = inverse, longer, later
+            hashes = _joined(hashes[both], word[place + size - 1])
+            later = np.maximum(active, _reached(hashes, self.steps))
+            # Only what has reached the threshold can be part of a longer phrase.
+            kept = np.flatnonzero(later < self.step)
+            at, hashes, reached = place[kept], hashes[kept], later[kept]
+            codes, names = np.unique(codes[kept], return_inverse=True)
+            table = self._words_of(codes, table)
+
+    def _words_of(self, codes: np.ndarray, table: np.ndarray | None) -> np.ndarray:
+        """The word numbers of phrases, one row for each, from their codes and those of the length before."""
+        before = (codes >> 32)[:, None] if table is None else table[codes >> 32]
+        return np.column_stack([before, codes & 0xFFFFFFFF])
+
+    def _counted(self, codes, counts, table, size) -> pa.RecordBatch:
+        words = self._words_of(codes, table)
+        # A phrase is active once all phrases within it have reached the threshold.
+        active = np.zeros(len(codes), dtype=np.int64)
+        for start in range(size):
+            hashes = self.hashes[words[:, start]]
+            active = np.maximum(active, self.reached[words[:, start]])
+            for end in range(start + 1, min(start + size - 1, size)):
+                hashes = _joined(hashes, self.hashes[words[:, end]])
+                active = np.maximum(active, _reached(hashes, self.steps))
+        return self._rows(list(words.T), active + self.shards, counts)
 
     def word_rows(self):
         used = np.flatnonzero(self.seen[1:]) + 1
         if not len(used):
             return
-        last = np.full(len(used), self.shards)
-        yield self._rows([used], last, self.seen[used])
+        yield self._rows([used], np.full(len(used), self.shards), self.seen[used])
         # All words of a language, as the phrase of no word.
-        langs = pc.dictionary_encode(self.langs.take(pa.array(used)))
-        totals = np.bincount(langs.indices.to_numpy(), weights=self.seen[used]).astype(np.int64)
-        n = len(totals)
-        arrays = [
-            langs.dictionary,
-            pa.array([""] * n),
-            pa.array([0] * n, pa.int32()),
-            pa.array([self.shards] * n, pa.int32()),
-            pa.array(totals),
-        ]
-        yield pa.RecordBatch.from_arrays(arrays, ["lang", "phrase", "size", "last", "n"])
+        langs = np.array(self.langs[: len(self.seen)])[used]
+        totals = np.bincount(langs, weights=self.seen[used]).astype(np.int64)
+        some = np.flatnonzero(totals)
+        keys = pa.array([f"{self.names[i]}\n".encode() for i in some], pa.binary())
+        last = pa.array([self.shards] * len(some), pa.int32())
+        yield pa.RecordBatch.from_arrays([keys, last, pa.array(totals[some])], ["key", "last", "n"])
 
 
 def _counted(texts: DataFrame, steps, step: int, shards: int, longest: int) -> DataFrame:
     def run(batches):
         counter = _Counter(steps.value, step, shards, longest)
+        parts, size = [], 0
         for batch in slices(batches, "text"):
-            numbers: list[int] = []
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
-                numbers += counter.number(lang, text_bytes(text))
-            yield from counter.count(numbers)
-            if len(counter.words) > MOST_WORDS:
-                yield from counter.word_rows()
-                counter.forget()
+                parts.append(counter.number(lang, text_bytes(text)))
+                size += len(parts[-1])
+                if size >= BATCH_WORDS or len(counter.words) > MOST_WORDS:
+                    yield from counter.count(np.concatenate(parts))
+                    parts, size = [], 0
+                    if len(counter.words) > MOST_WORDS:
+                        yield from counter.word_rows()
+                        counter.forget()
+        if parts:
+            yield from counter.count(np.concatenate(parts))
         yield from counter.word_rows()
 
     return texts.select("lang", F.encode("text", "UTF-8").alias("text")).mapInArrow(run, COUNTS)
 
 
 def _set_cells(rows: DataFrame, steps: np.ndarray, step: int) -> bool:
-    """Give the cells of the phrases in ``rows`` the step, where they have none; whether there was a phrase."""
+    """Give the cells of the phrases in ``rows`` the step, where they have none; whether one had none."""
     size = len(steps)
 
     def run(batches):
         for batch in batches:
             found = []
-            for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").to_pylist(), strict=True):
+            for key in batch.column("key").to_pylist():
+                lang, _, phrase = key.decode().rpartition("\n")
                 words = [np.array([word_hash(lang, w)], np.uint64) for w in phrase.encode().split(b" ")]
                 mixed = words[0]
                 for word in words[1:]:
@@ -221,16 +243,18 @@ def _set_cells(rows: DataFrame, steps: np.ndarray, step: int) -> bool:
                 found += [int(c[0]) + 1 for c in _cells(mixed, size)]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64())], ["cell"])
 
-    cells = rows.select("lang", "phrase").mapInArrow(run, "cell long")
+    cells = rows.select("key").mapInArrow(run, "cell long")
     maps = cells.groupBy(F.bitmap_bucket_number("cell").alias("part")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("cell")).alias("bits")
     )
-    found = maps.collect()  # at most a bit for a cell
-    for row in found:
+    changed = False
+    for row in maps.collect():  # at most a bit for a cell
         bits = np.unpackbits(np.frombuffer(row["bits"], np.uint8), bitorder="little")
         places = (row["part"] - 1) * len(bits) + np.flatnonzero(bits)
-        steps[places[steps[places] == NEVER]] = step
-    return bool(found)
+        new = places[steps[places] == NEVER]
+        steps[new] = step
+        changed = changed or len(new) > 0
+    return changed
 
 
 def mine(
@@ -260,11 +284,12 @@ def mine(
         step += 1
         told = spark.sparkContext.broadcast(steps)
         shard = texts.where(F.col("shard") == (step - 1) % shards)
-        counted = _counted(shard, told, step, shards, longest).withColumn("before", F.lit(0).cast("long"))
+        counted = _counted(shard, told, step, shards, longest)
         if carried is not None:
-            counted = counted.unionByName(carried.withColumn("before", F.col("n")))
-        totals = counted.groupBy("lang", "phrase", "size", "last").agg(F.sum("n").alias("n"), F.sum("before").alias("before"))
-        kept = totals.where((F.col("last") > step) | (F.col("n") >= least) | (F.col("size") == 0))
+            counted = counted.unionByName(carried)
+        totals = counted.groupBy("key", "last").agg(F.sum("n").alias("n"))
+        phrase = F.substring_index(F.col("key").cast("string"), "\n", -1)
+        kept = totals.where((F.col("last") > step) | (F.col("n") >= least) | (phrase == ""))
         folder = shared_dir(spark, "phrases")
         stored = kept.withColumn("state", F.when(F.col("last") > step, "carried").otherwise("complete"))
         stored.write.partitionBy("state").parquet(folder)
@@ -273,14 +298,18 @@ def mine(
         if old is not None:
             remove(spark, f"{old}/state=carried")
         old = folder
-        complete = state.where("state = 'complete'").select("lang", "phrase", "size", "n")
+        complete = state.where("state = 'complete'").select("key", "n")
         found = complete if found is None else found.unionByName(complete)
-        carried = state.where("state = 'carried'").select("lang", "phrase", "size", "last", "n")
-        reached = (F.col("n") >= least) & (F.col("before") < least)
-        if _set_cells(state.where(reached & F.col("size").between(1, longest - 1)), steps, step):
+        carried = state.where("state = 'carried'").select("key", "last", "n")
+        reached = state.where((F.col("n") >= least) & (phrase != "") & (F.size(F.split(phrase, " ")) < longest))
+        if _set_cells(reached, steps, step):
             newest = step
     remove(spark, path)
-    return found
+    key = F.col("key").cast("string")
+    phrase = F.substring_index(key, "\n", -1).alias("phrase")
+    lang = F.left(key, F.char_length(key) - F.char_length(phrase) - 1)
+    size = F.when(phrase == "", 0).otherwise(F.size(F.split(phrase, " ", -1))).alias("size")
+    return found.select(lang.alias("lang"), phrase, size, "n")
 
 
 def scored_cuts(frequent: DataFrame) -> DataFrame:
