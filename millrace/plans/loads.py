@@ -23,8 +23,9 @@ from millrace.operators.summaries import (
     load_stats,
     table_stats,
 )
-from millrace.session import shuffles_sized_for, staged
+from millrace.session import shuffles_sized_for
 from millrace.sinks import history as log
+from millrace.sinks.rejects import REJECTS, keep_rejects, screened
 from millrace.sinks.tables import TableSpec, create, read, replace_all, upsert_partitions
 from millrace.sources.position import with_row_number
 
@@ -169,17 +170,23 @@ def full_load(
     return _logged(spark, history, "full", batch_id, work)
 
 
-def _loaded(rows: DataFrame, table: TableSpec) -> tuple[str, int]:
-    """Upsert a batch; its outcome by the rule of ``history.outcome``.
+def _loaded(
+    spark: SparkSession, records: DataFrame, table: TableSpec, batch: str, rejects: TableSpec
+) -> tuple[str, int]:
+    """Upsert a batch and keep the rows the table refuses; its outcome by the rule of ``history.outcome``.
 
-    The newest date is known here. Every row of the window is valid, as a bad
-    number becomes NULL, and a row the table refuses fails the whole batch: of
-    the outcomes, "no valid data" and "partial" cannot happen in this load.
+    Rows are judged, counted and stored in one pass over the source. The newest date is
+    known here. One row stands for each key, as ``records`` has the last one.
     """
-    counts = rows.agg(F.max("noted_date").alias("newest"), F.count(F.lit(1)).alias("n"))
-    newest = F.coalesce(F.col("newest").cast("string"), F.lit("in no row"))
-    status = counts.select(log.outcome(newest, F.col("n"), F.col("n"), F.lit(0))).first()[0]
-    return status, upsert_partitions(rows, table)
+    with screened(records, table) as found:
+        if found.errors:
+            keep_rejects(spark, found.refused, "incremental", batch, table, rejects)
+        taken = found.rows - found.errors
+        counts = spark.range(1).select(
+            log.outcome(F.lit("known"), F.lit(found.rows), F.lit(taken), F.lit(found.errors))
+        )
+        loaded = upsert_partitions(found.taken, table, check_key=False) if taken else 0
+        return counts.first()[0], loaded
 
 
 def incremental_load(
@@ -194,10 +201,12 @@ def incremental_load(
     cap_days: int | None = None,
     run: Mapping | None = None,
     job: Mapping | None = None,
+    rejects: TableSpec = REJECTS,
 ) -> LoadResult:
     """Upsert the rows of the last days by (date, device).
 
-    Without ``days``, the parameters of the ``run`` and the ``job`` decide.
+    Rows the table refuses go to ``rejects`` with the reason, the others are loaded:
+    the outcome is then ``partial``, or ``no_valid_data`` when none is left. Without ``days``, the parameters of the ``run`` and the ``job`` decide.
 
     ``cap_days=PREPARED_DAYS`` adds the preparation step's own cut. The batch is
     written once to the shared folder; the row count, the touched days and the
@@ -222,8 +231,7 @@ def incremental_load(
             recent = last_n_days(numbered(dated), days, cap_days=cap_days, newest=newest)
         else:
             recent = recent.withColumn("_row", F.monotonically_increasing_id())
-        with staged(incremental_records(recent, batch), "batch") as rows:
-            return _loaded(rows, table)
+        return _loaded(spark, incremental_records(recent, batch), table, batch, rejects)
 
     return _logged(spark, history, "incremental", batch_id, work)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,26 +17,15 @@ from millrace.functions.coerce import (
     seconds_between,
 )
 from millrace.operators.dedupe import keep_first
-from millrace.session import shuffles_sized_for, staged
-from millrace.sinks.tables import TableSpec, create, read, upsert_partitions
+from millrace.session import own_session, shuffles_sized_for
+from millrace.sinks.arrivals import Merged, create, upsert
+from millrace.sinks.tables import TableSpec
 from millrace.sources.documents import read_collection
 
-# Raw tables are partitioned by a hash of their key: an upsert rewrites the
-# buckets its keys fall into. Choose it so that a bucket is some GB.
-BUCKETS = 32
-BUCKET = "key_bucket"
-
 STAMPS = "created_at TIMESTAMP, updated_at TIMESTAMP"
 NOW = {"created_at": "current_timestamp()", "updated_at": "current_timestamp()"}
 
 
-def bucketed(spec: TableSpec, buckets: int = BUCKETS) -> TableSpec:
-    """The table partitioned by a hash of its key."""
-    ddl = spec.ddl if BUCKET in spec.ddl else f"{spec.ddl}, {BUCKET} INT"
-    value = f"pmod(xxhash64({', '.join(spec.key)}), {buckets})"
-    return replace(spec, ddl=ddl, partition=BUCKET, partition_from=value)
-
-
 @dataclass(frozen=True)
 class Collection:
     """One document collection and the table it feeds.
@@ -54,10 +43,6 @@ class Collection:
     keep: tuple[str, ...] = ("created_at",)
     on_update: tuple[str, ...] = ("updated_at",)
 
-    def __post_init__(self) -> None:
-        if not self.table.partition:
-            object.__setattr__(self, "table", bucketed(self.table))
-
     @property
     def schema(self) -> StructType:
         return StructType.fromDDL(self.document)
@@ -175,10 +160,18 @@ MODERATION = Collection(
 COLLECTIONS = {c.name: c for c in (SESSIONS, EVENTS, TICKETS, RECOMMENDATIONS, MODERATION)}
 
 
+# Where a document stood, for tables that are filled file by file.
+PLACE = "_file STRING, _block BIGINT"
+
+
+def merged(collection: Collection, table: TableSpec | None = None, first_by: str = "") -> Merged:
+    return Merged(table or collection.table, collection.keep, collection.on_update, first_by)
+
+
 def transform(
     documents: DataFrame, collection: Collection, order: str = "_ord", place: bool = False
 ) -> DataFrame:
-    """Documents to typed rows, the first document of each key; ``place`` keeps its position.
+    """Documents to typed rows, the first document of each key; ``place`` keeps its file and block.
 
     Rows are typed before they are chosen: a date that cannot be parsed fails
     the job even in a document that a repeated key would drop. Every expression
@@ -196,9 +189,8 @@ def transform(
         F.col(order).alias("_place"),
     )
     if place:
-        typed = typed.withColumn("_order", F.col("_place"))
-    first = keep_first(typed, collection.table.key, "_place").drop("_place")
-    return first.withColumnRenamed("_order", "_place") if place else first
+        typed = typed.withColumns({"_file": F.col("_place.file"), "_block": F.col("_place.block")})
+    return keep_first(typed, collection.table.key, "_place").drop("_place")
 
 
 def replicate_documents(
@@ -208,44 +200,27 @@ def replicate_documents(
     table: TableSpec | None = None,
     order: str = "_ord",
 ) -> None:
-    table = table or collection.table
-    create(spark, table)
-    with shuffles_sized_for(documents), staged(transform(documents, collection, order), "batch") as rows:
-        upsert_partitions(rows, table, collection.keep, collection.on_update)
-
-
-def positions_of(table: TableSpec) -> TableSpec:
-    """Where the document of each key stood: beside a table that is filled file by file."""
-    types = table.schema
-    key = ", ".join(f"{k} {types[k].dataType.simpleString()}" for k in table.key)
-    spec = TableSpec(f"{table.name}_positions", f"{key}, file STRING, block BIGINT", table.key)
-    return replace(
-        bucketed(spec), partition=table.partition, partition_from=table.partition_from
-    )
+    """Upsert documents. Only the batch is written, whatever the size of the table."""
+    target = merged(collection, table)
+    create(spark, target)
+    with shuffles_sized_for(documents):
+        upsert(transform(documents, collection, order), target, check_key=False)
 
 
 def replicate_earlier(
     spark: SparkSession, documents: DataFrame, collection: Collection, table: TableSpec | None = None
 ) -> None:
-    """Upsert the documents that stand before what the table holds for their key.
+    """Upsert documents; of each key, the one that stands first is the table's row.
 
-    ``documents`` have a position ``_ord(file, block, row)``. However files are cut
-    into runs, the first document of each key in the order of path and place wins,
-    as in one run over all files. A run that stops between its two writes changes
-    nothing when it is repeated.
+    ``documents`` have a position ``_ord(file, block, row)``. The table keeps the file
+    and block of its rows. However files are cut into runs, the first document of each
+    key in the order of path and place wins, as in one run over all files. A batch that
+    is repeated adds nothing to what the table shows but the time of its change.
     """
-    table = table or collection.table
-    positions = positions_of(table)
-    create(spark, table)
-    create(spark, positions)
-    key = list(table.key)
-    found = transform(documents, collection, place=True)
-    held = read(spark, positions).select(*key, F.struct("file", "block").alias("_held"))
-    place = F.struct(F.col("_place.file").alias("file"), F.col("_place.block").alias("block"))
-    earlier = found.join(held, key, "left").where(F.col("_held").isNull() | (place <= F.col("_held")))
-    with shuffles_sized_for(documents), staged(earlier.drop("_held"), "batch") as rows:
-        upsert_partitions(rows.drop("_place"), table, collection.keep, collection.on_update)
-        upsert_partitions(rows.select(*key, "_place.file", "_place.block"), positions)
+    target = merged(collection, table, PLACE)
+    create(spark, target)
+    with shuffles_sized_for(documents):
+        upsert(transform(documents, collection, place=True), target, check_key=False)
 
 
 def replicate(
@@ -256,7 +231,15 @@ def replicate(
     replicate_documents(spark, documents, collection, table)
 
 
-def replicate_all(spark: SparkSession, root: str) -> None:
-    """Replicate the five collections; their jobs share the cluster at the same time."""
+def replicate_all(spark: SparkSession, root: str, database: str | None = None) -> None:
+    """Replicate the five collections; their jobs share the cluster at the same time.
+
+    Each has a session of its own, so that none meets the settings of another.
+    """
+
+    def one(collection: Collection) -> None:
+        table = collection.table.in_database(database) if database else None
+        replicate(own_session(spark), root, collection, table)
+
     with ThreadPoolExecutor(len(COLLECTIONS)) as pool:
-        list(pool.map(lambda c: replicate(spark, root, c), COLLECTIONS.values()))
+        list(pool.map(one, COLLECTIONS.values()))

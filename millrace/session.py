@@ -84,6 +84,15 @@ def pin_semantics(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def own_session(spark: SparkSession) -> SparkSession:
+    """Another session with the same settings, for a thread that may change them."""
+    other = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key) and other.conf.get(key, None) != value:
+            other.conf.set(key, value)
+    return other
+
+
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
@@ -109,18 +118,6 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-@contextmanager
-def staged(df: DataFrame, label: str) -> Iterator[DataFrame]:
-    """``df`` as a shared table for the block; the copy is removed afterwards, also on failure."""
-    spark = df.sparkSession
-    path = shared_dir(spark, label)
-    try:
-        df.write.parquet(path)
-        yield spark.read.schema(df.schema).parquet(path)
-    finally:
-        remove(spark, path)
-
-
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of this library in whatever store it is."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,4 +1,6 @@
 import datetime as dt
+import json
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +10,7 @@ from millrace.operators.sampling import seeded_sample
 from millrace.plans import loads
 from millrace.sinks import history as log
 from millrace.sinks import tables as tb
+from millrace.sinks.rejects import REJECTS, screened
 from millrace.sources.delimited import read_delimited
 from millrace.sources.position import with_row_number, with_source_position
 
@@ -218,3 +221,67 @@ def test_quotes_and_headers_of_csv_files(spark, tmp_path):
     (tmp_path / "b.csv").write_text("temp,id\nB,2\n")
     with pytest.raises(Exception):
         read_delimited(spark, str(tmp_path)).collect()
+
+
+# --- rows the table refuses --------------------------------------------------------------
+
+RULES = {"temperature below 30": "temperature < 30", "place is known": "location <> 'unknown'"}
+
+
+@pytest.fixture
+def ruled(specs, database):
+    _, table, history = specs
+    return replace(table, checks=RULES), history, REJECTS.in_database(database)
+
+
+def test_refused_rows_are_kept_and_the_others_loaded(spark, csv, ruled, rows):
+    table, history, rejects = ruled
+    result = loads.incremental_load(spark, csv(READINGS), 1, table, history, "inc_1", rejects=rejects)
+    assert (result.status, result.rows) == ("partial", 1)
+    assert rows(tb.read(spark, table), "device_id", "temperature") == [("row_1", None)]
+    kept = tb.read(spark, rejects).collect()
+    assert sorted((r.batch_id, r.table_name, r.reason) for r in kept) == [
+        ("inc_1", table.name.rsplit(".")[-1], "place is known"),
+        ("inc_1", table.name.rsplit(".")[-1], "temperature below 30"),
+    ]
+    record = next(json.loads(r.record) for r in kept if r.reason == "temperature below 30")
+    assert (record["device_id"], record["temperature"]) == ("dev_a", 31.0)
+    state = log.batches(spark, history).first()
+    assert (state.load_status, state.records_loaded) == ("partial", 1)
+
+
+def test_a_load_without_valid_rows(spark, csv, ruled):
+    table, history, rejects = ruled
+    never = replace(table, checks={"never": "device_id IS NULL"})
+    result = loads.incremental_load(spark, csv(READINGS), 1, never, history, "inc_1", rejects=rejects)
+    assert (result.status, result.rows) == ("no_valid_data", 0)
+    assert tb.read(spark, table).isEmpty() and tb.read(spark, rejects).count() == 3
+
+
+def test_judging_rows_reads_the_source_no_further_time(spark, csv, ruled):
+    table, history, rejects = ruled
+    plain = replace(table, checks={})
+    reads = []
+    for spec in (plain, table):
+        seen = spark.sparkContext.accumulator(0)
+
+        def counted(batches, seen=seen):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+
+        raw = csv(READINGS)
+        loads.incremental_load(spark, raw.mapInArrow(counted, raw.schema), 1, spec, history, rejects=rejects)
+        reads.append(seen.value)
+    assert reads[0] == reads[1]
+
+
+def test_values_of_a_wrong_type_are_a_reason(spark, database, rows):
+    spec = tb.TableSpec(f"{database}.w", "k INT, at DATE", ("k",))
+    df = spark.createDataFrame([("1", "2024-01-01"), ("x", None), (None, "2024-01-02"), ("4", "soon")], "k STRING, at STRING")
+    with screened(df, spec) as found:
+        assert (found.rows, found.errors) == (4, 3)
+        assert rows(found.taken) == [(1, dt.date(2024, 1, 1))]
+        assert rows(found.refused, "_reason") == [("at is not DATE",), ("k is not INT",), ("k must not be NULL",)]
+    with screened(df.limit(0), spec) as found:
+        assert (found.rows, found.errors, found.taken.count()) == (0, 0, 0)

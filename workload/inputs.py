@@ -246,6 +246,15 @@ def review_documents(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+COLLECTION_DOCUMENTS = {
+    "UserSessions": session_documents,
+    "EventLogs": event_documents,
+    "SupportTickets": ticket_documents,
+    "UserRecommendations": recommendation_documents,
+    "ModerationQueue": review_documents,
+}
+
+
 def pet_documents(spark: SparkSession, folder: str) -> DataFrame:
     """Events as JSON texts: errors hold no pets, purchases two, the others one."""
     k = props_key()

@@ -478,3 +478,34 @@ SQL["replicated_collections_upserted"] = " UNION ALL ".join(
         "ModerationQueue": "replicate_moderation_queue",
     }.items()
 )
+
+_TURN = "least(CAST(regexp_extract(event_id, '[0-9]+$') AS BIGINT) % 200, 19)"
+SQL["upserts_of_small_batches"] = f"""
+    SELECT * REPLACE (event_type || CASE WHEN CAST(regexp_extract(event_id, '[0-9]+$') AS BIGINT) % 200 <= 20
+                                         THEN '_' || {_TURN} ELSE '' END AS event_type)
+    FROM ({EVENT_LOGS})"""
+SQL["all_collections_replicated_twice"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS collection, count(*) + count(*) FILTER (third) AS rows, "
+    f"count(*) FILTER (third) AS new_rows, "
+    + ("CAST(NULL AS BIGINT) AS moved " if name == "SupportTickets" else "count(*) FILTER (third) AS moved ")
+    + f"FROM (SELECT CAST(regexp_extract({key}, '[0-9]+$') AS BIGINT) % 3 = 0 AS third FROM ({SQL[query]}))"
+    for name, key, query in (
+        ("UserSessions", "session_id", "replicate_user_sessions"),
+        ("EventLogs", "event_id", "replicate_event_logs"),
+        ("SupportTickets", "ticket_id", "replicate_support_tickets"),
+        ("UserRecommendations", "user_id", "replicate_user_recommendations"),
+        ("ModerationQueue", "review_id", "replicate_moderation_queue"),
+    )
+)
+_RUNS = f"WITH keyed AS ({KEYED}), {_incremental_batch('inc_1', 3, 0)}, {_incremental_batch('inc_2', 1, 0)}"
+_REASON = """CASE WHEN temperature >= 150 THEN 'temperature below 150'
+                  WHEN location = 'unknown' THEN 'place is known' END"""
+SQL["load_outcomes_of_runs"] = f"""{_RUNS}
+    SELECT 'inc_1' AS batch_id, count(*) FILTER ({_REASON} IS NULL) AS records_loaded, 'partial' AS load_status FROM inc_1
+    UNION ALL SELECT 'inc_2', 0, 'no_valid_data'
+    UNION ALL SELECT 'inc_3', count(*), 'success' FROM inc_1"""
+SQL["rejected_readings"] = f"""{_RUNS}
+    SELECT batch_id, 'temperature_incremental' AS table_name, reason, {_time('noted_date')} AS noted_date, device_id,
+           round(temperature, 6) AS temperature
+    FROM (SELECT *, {_REASON} AS reason FROM inc_1 UNION ALL SELECT *, 'nothing is taken' FROM inc_2)
+    WHERE reason IS NOT NULL"""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -48,6 +49,7 @@ from millrace.plans import marts as mart_plans
 from millrace.session import materialize, shared_dir
 from millrace.sinks import history as log
 from millrace.sinks import tables as tb
+from millrace.sinks.rejects import REJECTS
 from millrace.sinks.reports import summary_lines
 from millrace.sources.delimited import read_delimited, write_delimited
 from millrace.sources.documents import read_xml_elements, xml_value
@@ -483,22 +485,15 @@ def replicate_streamed_files(spark, folder):
     ordered.drop("_ord", "_later").write.json(f"{root}/{collection.name}")
     spec = collection.table.in_database(database)
     replicate_new(spark, root, collection, f"{root}/position", spec, max_files=1).awaitTermination()
-    return portable(tb.read(spark, spec).drop("created_at", "updated_at", replication.BUCKET))
+    return portable(tb.read(spark, spec).drop("created_at", "updated_at"))
 
 
 @query
 def replicated_collections_upserted(spark, folder):
     """All collections loaded twice: rows, and how many kept ``created_at`` and moved ``updated_at``."""
     database = inputs.scratch_database(spark)
-    sources = {
-        "UserSessions": inputs.session_documents,
-        "EventLogs": inputs.event_documents,
-        "SupportTickets": inputs.ticket_documents,
-        "UserRecommendations": inputs.recommendation_documents,
-        "ModerationQueue": inputs.review_documents,
-    }
     found = None
-    for name, documents in ((n, d(spark, folder)) for n, d in sources.items()):
+    for name, documents in ((n, d(spark, folder)) for n, d in inputs.COLLECTION_DOCUMENTS.items()):
         collection = replication.COLLECTIONS[name]
         spec = collection.table.in_database(database)
         replication.replicate_documents(spark, documents, collection, spec)
@@ -532,7 +527,51 @@ def replicate_from_json_files(spark, folder):
     spec = collection.table.in_database(database)
     for _ in range(2):
         replication.replicate(spark, root, collection, spec)
-    return portable(tb.read(spark, spec).drop("created_at", "updated_at", replication.BUCKET))
+    return portable(tb.read(spark, spec).drop("created_at", "updated_at"))
+
+
+@query
+def upserts_of_small_batches(spark, folder):
+    """A load of all event documents, then twenty batches of a hundredth of the keys, each changed."""
+    database = inputs.scratch_database(spark)
+    collection = replication.EVENTS
+    spec = collection.table.in_database(database)
+    documents = inputs.event_documents(spark, folder)
+    number = F.regexp_extract("event_id", r"\d+$", 0).cast("long") % 200
+    replication.replicate_documents(spark, documents, collection, spec)
+    for turn in range(20):
+        some = documents.where(number.isin(turn, turn + 1))
+        some = some.withColumn("event_type", F.concat("event_type", F.lit(f"_{turn}")))
+        replication.replicate_documents(spark, some, collection, spec)
+    return portable(tb.read(spark, spec).drop("created_at", "updated_at"))
+
+
+@query
+def all_collections_replicated_twice(spark, folder):
+    """Five collections at the same time; then a third of their documents again, and copies with new keys."""
+    database, root = inputs.scratch_database(spark), shared_dir(spark, "collections")
+    found = None
+    for turn in ("first", "second"):
+        for name, documents in inputs.COLLECTION_DOCUMENTS.items():
+            collection, rows = replication.COLLECTIONS[name], documents(spark, folder)
+            key = collection.table.key[0]
+            if turn == "second":
+                third = F.regexp_extract(key, r"\d+$", 0).cast("long") % 3 == 0
+                rows = rows.where(third)
+                rows = rows.unionByName(rows.withColumn(key, F.concat(key, F.lit("_new"))))
+            rows.drop("_ord").write.json(f"{root}/{turn}/{name}")
+        replication.replicate_all(spark, f"{root}/{turn}", database)
+    for name, collection in replication.COLLECTIONS.items():
+        rows = tb.read(spark, collection.table.in_database(database))
+        moved = F.count_if(F.col("updated_at") > F.col("created_at"))
+        state = rows.agg(
+            F.lit(name).alias("collection"),
+            F.count("*").alias("rows"),
+            F.count_if(F.col(collection.table.key[0]).endswith("_new")).alias("new_rows"),
+            (moved if collection.keep else F.lit(None).cast("bigint")).alias("moved"),
+        )
+        found = state if found is None else found.unionByName(state)
+    return found
 
 
 # --- loads and tables --------------------------------------------------------------
@@ -605,6 +644,37 @@ def load_history_of_runs(spark, folder):
     return newest.select("load_type", "batch_id", "records_loaded", "load_status")
 
 
+RULES = {"temperature below 150": "temperature < 150", "place is known": "location <> 'unknown'"}
+
+
+def _runs_with_rejects(spark, folder):
+    """Loads under rules that refuse some rows, all rows and none."""
+    database, _, table_, history = _load_specs(spark)
+    rejects = REJECTS.in_database(database)
+    rows = inputs.keyed_readings(spark, folder)
+    never = {"nothing is taken": "batch_id IS NULL"}
+    for batch, rules, days in (("inc_1", RULES, 3), ("inc_2", never, 1), ("inc_3", {}, 3)):
+        spec = replace(table_, checks=rules)
+        job, run = {"last_n_days": 30}, {"last_n_days": days}
+        loads.incremental_load(spark, rows, None, spec, history, batch, run=run, job=job, rejects=rejects)
+    return history, rejects
+
+
+@query
+def load_outcomes_of_runs(spark, folder):
+    history, _ = _runs_with_rejects(spark, folder)
+    return log.batches(spark, history).select("batch_id", "records_loaded", "load_status")
+
+
+@query
+def rejected_readings(spark, folder):
+    _, rejects = _runs_with_rejects(spark, folder)
+    record = F.from_json("record", "noted_date TIMESTAMP_NTZ, device_id STRING, temperature DOUBLE")
+    rows = tb.read(spark, rejects).select("batch_id", "table_name", "reason", record.alias("r"))
+    rows = rows.select("batch_id", "table_name", "reason", "r.*")
+    return portable(rounded(rows, "temperature"))
+
+
 def _daily_batches(spark, folder):
     """One batch per day, with a started and a finished state."""
     day = F.to_date("ts")
