@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType, VariantType
 
 from millrace.functions.coerce import (
     iso_to_utc,
@@ -33,7 +33,8 @@ class Collection:
     ``document`` is the DDL of a document as stored (dates are ISO text).
     ``columns`` gives table columns that are computed; others are taken as they
     are. ``keep`` and ``on_update`` are the columns an update leaves alone or
-    sets to the current time.
+    sets to the current time. ``shapes`` are the fields usually found in a VARIANT
+    column, which keeps whatever a document has.
     """
 
     name: str
@@ -42,6 +43,7 @@ class Collection:
     columns: Mapping[str, Callable[[], Column]]
     keep: tuple[str, ...] = ("created_at",)
     on_update: tuple[str, ...] = ("updated_at",)
+    shapes: Mapping[str, str] = field(default_factory=dict)
 
     @property
     def schema(self) -> StructType:
@@ -52,15 +54,13 @@ SESSIONS = Collection(
     name="UserSessions",
     document=(
         "session_id STRING, user_id STRING, start_time STRING, end_time STRING, "
-        "pages_visited ARRAY<STRING>, "
-        "device STRUCT<type: STRING, os: STRING, browser: STRING>, actions ARRAY<STRING>"
+        "pages_visited ARRAY<STRING>, device VARIANT, actions ARRAY<STRING>"
     ),
     table=TableSpec(
         name="raw.user_sessions",
         ddl=(
             "session_id STRING, user_id STRING, start_time TIMESTAMP, end_time TIMESTAMP, "
-            "session_duration_seconds INT, pages_visited ARRAY<STRING>, "
-            "device STRUCT<type: STRING, os: STRING, browser: STRING>, "
+            "session_duration_seconds INT, pages_visited ARRAY<STRING>, device VARIANT, "
             f"actions ARRAY<STRING>, {STAMPS}"
         ),
         key=("session_id",),
@@ -75,6 +75,7 @@ SESSIONS = Collection(
             iso_to_utc("start_time"), iso_to_utc("end_time")
         ),
     },
+    shapes={"device": "STRUCT<type: STRING, os: STRING, browser: STRING>"},
 )
 
 EVENTS = Collection(
@@ -95,15 +96,13 @@ TICKETS = Collection(
     name="SupportTickets",
     document=(
         "ticket_id STRING, user_id STRING, status STRING, issue_type STRING, "
-        "messages ARRAY<STRUCT<sender: STRING, message: STRING, timestamp: STRING>>, "
-        "created_at STRING, updated_at STRING"
+        "messages VARIANT, created_at STRING, updated_at STRING"
     ),
     table=TableSpec(
         name="raw.support_tickets",
         ddl=(
             "ticket_id STRING, user_id STRING, status STRING, issue_type STRING, "
-            "messages ARRAY<STRUCT<sender: STRING, message: STRING, timestamp: STRING>>, "
-            f"{STAMPS}, resolution_time_seconds INT, messages_count INT"
+            f"messages VARIANT, {STAMPS}, resolution_time_seconds INT, messages_count INT"
         ),
         key=("ticket_id",),
         required=("user_id", "status", "issue_type", "created_at", "updated_at"),
@@ -115,9 +114,10 @@ TICKETS = Collection(
         "resolution_time_seconds": lambda: resolution_seconds(
             "status", iso_to_utc("created_at"), iso_to_utc("updated_at")
         ),
-        "messages_count": lambda: length_or_zero("messages"),
+        "messages_count": lambda: length_or_zero(F.try_variant_get("messages", "$", "ARRAY<VARIANT>")),
     },
     keep=(),
+    shapes={"messages": "ARRAY<STRUCT<sender: STRING, message: STRING, timestamp: STRING>>"},
 )
 
 RECOMMENDATIONS = Collection(
@@ -168,6 +168,23 @@ def merged(collection: Collection, table: TableSpec | None = None, first_by: str
     return Merged(table or collection.table, collection.keep, collection.on_update, first_by)
 
 
+def _whole(documents: DataFrame, name: str) -> Column:
+    """A column as VARIANT, from a VARIANT, JSON text or nested value; JSON ``null`` is NULL."""
+    kind = documents.schema[name].dataType
+    if isinstance(kind, VariantType):
+        value = F.col(name)
+    elif isinstance(kind, StringType):
+        value = F.parse_json(name)
+    else:
+        value = F.to_variant_object(name)
+    return F.when(~F.is_variant_null(value), value)
+
+
+def typed(rows: DataFrame, collection: Collection) -> DataFrame:
+    """VARIANT columns as their usual shape: other fields are left out, what does not fit is NULL."""
+    return rows.withColumns({c: F.try_variant_get(c, "$", shape) for c, shape in collection.shapes.items()})
+
+
 def transform(
     documents: DataFrame, collection: Collection, order: str = "_ord", place: bool = False
 ) -> DataFrame:
@@ -178,8 +195,10 @@ def transform(
     reads the source row, so a computed column never sees another one.
     """
     types = collection.table.schema
+    whole = {n: _whole(documents, n) for n in collection.shapes if n in documents.columns}
+    documents = documents.withColumns(whole) if whole else documents
     names = [n for n in types.names if n in documents.columns or n in collection.columns]
-    typed = documents.select(
+    rows = documents.select(
         *[
             (collection.columns[n]() if n in collection.columns else F.col(n))
             .cast(types[n].dataType)
@@ -189,8 +208,8 @@ def transform(
         F.col(order).alias("_place"),
     )
     if place:
-        typed = typed.withColumns({"_file": F.col("_place.file"), "_block": F.col("_place.block")})
-    return keep_first(typed, collection.table.key, "_place").drop("_place")
+        rows = rows.withColumns({"_file": F.col("_place.file"), "_block": F.col("_place.block")})
+    return keep_first(rows, collection.table.key, "_place").drop("_place")
 
 
 def replicate_documents(

@@ -49,7 +49,8 @@ def store(tmp_path):
 
 def loaded(spark, store, collection, *documents):
     root = store(collection.name, *documents)
-    return transform(read_collection(spark, f"{root}/{collection.name}", collection.schema), collection)
+    rows = transform(read_collection(spark, f"{root}/{collection.name}", collection.schema), collection)
+    return replication.typed(rows, collection)
 
 
 @pytest.mark.parametrize("name", list(COLLECTIONS))
@@ -213,3 +214,25 @@ def test_all_collections_and_marts(spark, store):
     assert [(r.status, r.tickets_count, float(r.avg_resolution_time_hours)) for r in support] == [
         ("resolved", 1, 2.0)
     ]
+
+
+def test_fields_the_ddl_does_not_name_survive(spark, database, store):
+    deep = {"type": "tv", "screen": {"w": 3, "sizes": [1, {"x": None}]}, "42": True}
+    odd = [{"sender": "user", "note": "n", "score": 1.5}, "plain text"]
+    store("UserSessions", {**SESSION, "device": deep}, {**SESSION, "session_id": "s2", "device": "none"},
+          {**SESSION, "session_id": "s3", "device": None}, {k: v for k, v in SESSION.items() if k != "device"} | {"session_id": "s4"})
+    root = store("SupportTickets", {**TICKET, "messages": odd}, {**TICKET, "ticket_id": "t2", "messages": {"a": 1}},
+                 {**TICKET, "ticket_id": "t3", "messages": None})
+    found = {}
+    for name, column in (("UserSessions", "device"), ("SupportTickets", "messages")):
+        collection = COLLECTIONS[name]
+        spec = collection.table.in_database(database)
+        for _ in range(2):
+            replicate(spark, root, collection, spec)
+        for r in tb.read(spark, spec).selectExpr(collection.table.key[0], f"to_json({column}) AS whole").collect():
+            found[r[0]] = json.loads(r.whole) if r.whole else None
+    assert found == {"s1": deep, "s2": "none", "s3": None, "s4": None, "t1": odd, "t2": {"a": 1}, "t3": None}
+    tickets = tb.read(spark, COLLECTIONS["SupportTickets"].table.in_database(database))
+    assert {r.ticket_id: r.messages_count for r in tickets.collect()} == {"t1": 2, "t2": 0, "t3": 0}
+    sessions = replication.typed(tb.read(spark, COLLECTIONS["UserSessions"].table.in_database(database)), COLLECTIONS["UserSessions"])
+    assert {r.session_id: r.device and r.device.type for r in sessions.collect()} == {"s1": "tv", "s2": None, "s3": None, "s4": None}

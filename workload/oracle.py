@@ -509,3 +509,17 @@ SQL["rejected_readings"] = f"""{_RUNS}
            round(temperature, 6) AS temperature
     FROM (SELECT *, {_REASON} AS reason FROM inc_1 UNION ALL SELECT *, 'nothing is taken' FROM inc_2)
     WHERE reason IS NOT NULL"""
+
+_OPEN = f"""SELECT event_id // 3 AS session, event_type, {K} AS k FROM events
+            QUALIFY row_number() OVER (PARTITION BY event_id // 3 ORDER BY event_id) = 1"""
+SQL["open_documents_replicated"] = f"""
+    SELECT 'sess_' || session AS session_id,
+           '{{"os":"Linux",' || CASE WHEN k % 2 = 0
+                THEN '"screen":{{"sizes":[' || k || ',' || (k + 1) || '],"w":' || k || '}},' ELSE '' END
+           || '"type":"' || event_type || '"}}' AS device,
+           CASE WHEN k % 2 = 0 THEN k + 1 END AS second_size
+    FROM ({_OPEN})"""
+SQL["document_shapes"] = f"""
+    SELECT event_type, 'OBJECT<browser: VOID, os: STRING, screen: ' || CASE WHEN bool_or(k % 2 = 0)
+           THEN 'OBJECT<sizes: ARRAY<BIGINT>, w: BIGINT>' ELSE 'VOID' END || ', type: STRING>' AS shape
+    FROM ({_OPEN}) GROUP BY event_type"""

@@ -444,6 +444,7 @@ def _nested_as_text(df, *names):
 @query
 def replicate_user_sessions(spark, folder):
     rows = replication.transform(inputs.session_documents(spark, folder), replication.SESSIONS)
+    rows = replication.typed(rows, replication.SESSIONS)
     return portable(_nested_as_text(rows, "pages_visited", "device", "actions"))
 
 
@@ -455,6 +456,7 @@ def replicate_event_logs(spark, folder):
 @query
 def replicate_support_tickets(spark, folder):
     rows = replication.transform(inputs.ticket_documents(spark, folder), replication.TICKETS)
+    rows = replication.typed(rows, replication.TICKETS)
     rows = rows.withColumn("resolution_time_seconds", F.col("resolution_time_seconds").cast("double"))
     return portable(_nested_as_text(rows, "messages"))
 
@@ -530,6 +532,38 @@ def replicate_from_json_files(spark, folder):
     return portable(tb.read(spark, spec).drop("created_at", "updated_at"))
 
 
+def _open_sessions(spark, folder):
+    """Session documents whose devices have fields the collection does not name."""
+    k = inputs.props_key()
+    events = inputs.table(spark, folder, "events").select("event_id", k.alias("k"))
+    screen = F.struct(F.col("k").alias("w"), F.array("k", F.col("k") + 1).alias("sizes"))
+    documents = inputs.session_documents(spark, folder).join(events, F.col("_ord") == F.col("event_id"))
+    more = F.when(F.col("k") % 2 == 0, screen)
+    return documents.withColumn("device", F.col("device").withField("screen", more)).drop("event_id", "k")
+
+
+@query
+def open_documents_replicated(spark, folder):
+    """Sessions read as JSON lines and loaded twice: the whole device as text, and a field of it."""
+    database, root = inputs.scratch_database(spark), shared_dir(spark, "collections")
+    collection = replication.SESSIONS
+    ordered = _open_sessions(spark, folder).repartitionByRange("_ord").sortWithinPartitions("_ord")
+    ordered.drop("_ord").write.json(f"{root}/{collection.name}")
+    spec = collection.table.in_database(database)
+    for _ in range(2):
+        replication.replicate(spark, root, collection, spec)
+    width = F.try_variant_get("device", "$.screen.sizes[1]", "BIGINT").alias("second_size")
+    return tb.read(spark, spec).select("session_id", F.to_json("device").alias("device"), width)
+
+
+@query
+def document_shapes(spark, folder):
+    """The fields and types that the devices of each type of event have."""
+    rows = replication.transform(_open_sessions(spark, folder), replication.SESSIONS)
+    kind = F.try_variant_get("device", "$.type", "STRING").alias("event_type")
+    return rows.groupBy(kind).agg(F.schema_of_variant_agg("device").alias("shape"))
+
+
 @query
 def upserts_of_small_batches(spark, folder):
     """A load of all event documents, then twenty batches of a hundredth of the keys, each changed."""
