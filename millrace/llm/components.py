@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import materialize
+from millrace.llm.common import shared_dir
+from millrace.session import remove
 
 MAX_ROUNDS = 200
 
@@ -16,13 +17,22 @@ def connected_components(edges: DataFrame) -> DataFrame:
     Alternating stars: the large star hangs the larger neighbours of a node
     under its smallest neighbour, the small star does so with the smaller ones.
     The edges of a node are only ever reduced to a minimum, so a node with very
-    many edges needs no large group. Each round is written to the shared folder;
-    the rounds grow with the logarithm of the longest path.
+    many edges needs no large group. Each round is written to the shared folder in
+    place of the one before; the rounds grow with the logarithm of the longest path.
     """
-    links = materialize(_distinct(edges.select("a", "b").where("a <> b")), "links")
+    spark = edges.sparkSession
+
+    def stored(df: DataFrame) -> tuple[DataFrame, str]:
+        path = shared_dir(spark, "stars")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path), path
+
+    links, path = stored(_distinct(edges.select("a", "b").where("a <> b")))
     last = None
     for _ in range(MAX_ROUNDS):
-        links = materialize(_small_star(_large_star(links)), "stars")
+        before = path
+        links, path = stored(_small_star(_large_star(links)))
+        remove(spark, before)
         state = links.agg(
             F.count(F.lit(1)),
             F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")),

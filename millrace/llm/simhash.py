@@ -302,12 +302,7 @@ def reported(found: DataFrame) -> DataFrame:
 
 def one_of_each(df: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """The first row of every component; of rows that repeat it, one."""
-    first = components(df, text, doc_id).where("is_first").select("row_name").distinct()
-    place = F.row_number().over(Window.partitionBy("row_name").orderBy("row_name"))
-    return (
-        df.withColumn("row_name", row_name(text, doc_id))
-        .join(first, "row_name", "left_semi")
-        .withColumn("__place", place)
-        .where(F.col("__place") == 1)
-        .select(*[F.col(f"`{c}`") for c in df.columns])
-    )
+    first = components(df, text, doc_id).where("is_first").select(F.col("row_name").alias("name")).distinct()
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    named = df.select(row_name(text, doc_id).alias("name"), whole).join(first, "name", "left_semi")
+    return named.groupBy("name").agg(F.first("row").alias("row")).select("row.*")
