@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -117,44 +117,115 @@ def _deep_columns(xml: Column, strict: bool) -> dict[str, Column]:
     return columns
 
 
-# A food element with its content, and the start of an element that is a field.
+# A food element with its content, the start of a food, and the start of an element that is a field.
 _FOOD = r"(?s)<food(?:\s[^>]*)?(?:/>|(?<!/)>.*?</food\s*>)"
+_FOOD_START = r"<food(?=[\s/>])"
 _NAMES = [*FOOD_TEXT.values(), "calories", "vitamins", "minerals"]
 _FIELD = rf"<(?:{'|'.join(_NAMES)})(?=[\s/>])"
+_FIELD_ELEMENT = rf"(?s)<({'|'.join(_NAMES)})(?=[\s/>])[^>]*?(?:/>|(?<!/)>.*?</\1\s*>)"
+# What an XML text is made of: comments, character data, tags, and text between them.
+_TOKEN = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<[^>]*>|[^<]+"
+
+
+def _nested_foods(documents: DataFrame, text: str, strict: bool) -> DataFrame:
+    """The text of every food element, also of foods in foods, by a scan of tags with a running depth.
+
+    A start and the next end on its level make an element. Tags of a document are
+    rows, told apart by a digest of the document; equal documents are scanned once.
+    """
+    whole = documents.groupBy(F.md5(text).alias("doc")).agg(
+        F.first(text).alias("text"), F.count(F.lit(1)).alias("copies")
+    )
+    if strict:  # a malformed text fails here
+        whole = whole.where(F.xpath_int("text", F.lit("count(//food)")) >= 0)
+
+    def kind(token: Column) -> Column:
+        return (
+            F.when(token.rlike(r"^<food[\s/>]"), F.when(token.endswith("/>"), F.lit("whole")).otherwise("start"))
+            .when(token.rlike(r"^</food[\s>]"), F.lit("end"))
+            .otherwise("")
+        )
+
+    pieces = F.transform(
+        F.regexp_extract_all("text", F.lit(_TOKEN), F.lit(0)),
+        lambda t: F.struct(kind(t).alias("kind"), F.char_length(t).alias("length")),
+    )
+    tokens = whole.select("doc", F.posexplode(pieces).alias("place", "token")).select("doc", "place", "token.*")
+    so_far = Window.partitionBy("doc").orderBy("place")
+    step = F.when(F.col("kind") == "start", 1).when(F.col("kind") == "end", -1).otherwise(0)
+    tags = tokens.select(
+        "*", F.sum("length").over(so_far).alias("until"), F.sum(step).over(so_far).alias("depth")
+    ).where("kind <> ''")
+    level = F.col("depth") + F.when(F.col("kind") == "start", 0).otherwise(1)
+    on_level = Window.partitionBy("doc", "level").orderBy("place")
+    closed = tags.withColumn("level", level).select(
+        "*", F.lead("kind").over(on_level).alias("then"), F.lead("until").over(on_level).alias("closed")
+    )
+    elements = closed.where("kind = 'whole' OR kind = 'start' AND then = 'end'").select(
+        "doc",
+        (F.col("until") - F.col("length") + 1).cast("int").alias("first"),
+        F.when(F.col("kind") == "whole", F.col("until")).otherwise(F.col("closed")).cast("int").alias("last"),
+    )
+    cut = F.col("text").substr(F.col("first"), F.col("last") - F.col("first") + 1)
+    found = elements.join(whole, "doc").select(cut.alias("food_xml"), "copies")
+    return found.select(F.explode(F.array_repeat("food_xml", F.col("copies").cast("int"))).alias("food_xml"))
 
 
 def food_elements(
     documents: DataFrame, column: str = "xml_data", strict: bool = True
 ) -> DataFrame:
-    """One row per ``food`` element of each XML document, at any depth: its text ``food_xml``.
+    """One row per ``food`` element of each XML document, at any depth, foods in foods too: ``food_xml``.
 
-    Documents in which that many elements cannot be cut out of the text, such as
-    foods inside foods, and malformed ones fail, unless ``strict`` is off.
+    One pattern cuts the foods of ordinary documents. Documents with foods in foods,
+    comments or character data are scanned tag by tag. Documents whose tags do not pair
+    up fail, unless ``strict`` is off.
     """
-    text = F.col(column)
-    foods = F.regexp_extract_all(text, F.lit(_FOOD), F.lit(0))
+    rows = documents.select(F.col(column).cast("string").alias("text")).where("text IS NOT NULL")
+    foods = F.regexp_extract_all("text", F.lit(_FOOD), F.lit(0))
+    plain = (F.regexp_count("text", F.lit(_FOOD_START)) == F.size(foods)) & ~F.contains("text", F.lit("<!"))
+    cut = foods
     if strict:
-        message = F.lit(f"{column}: not every food element could be read")
-        missed = F.size(foods) != F.xpath_int(text, F.lit("count(//food)"))
-        foods = F.when(missed, F.raise_error(message).cast("array<string>")).otherwise(foods)
-    return documents.select(F.explode(foods).alias("food_xml"))
+        ends = F.regexp_count("text", F.lit("</|/>"))
+        unpaired = F.regexp_count("text", F.lit("<[A-Za-z_:]")) != ends
+        message = F.lit(f"{column}: start and end tags do not pair up")
+        cut = F.when(unpaired, F.raise_error(message).cast("array<string>")).otherwise(foods)
+    ordinary = rows.where(plain).select(F.explode(cut).alias("food_xml"))
+    return ordinary.unionByName(_nested_foods(rows.where(~plain), "text", strict))
 
 
 def flatten_foods(documents: DataFrame, column: str = "xml_data", strict: bool = True) -> DataFrame:
     """Flat rows of the food elements in a text column of XML documents.
 
     Foods and their fields are found at any depth. A food whose fields all stand
-    directly in it is parsed once; only others are searched by XPath, field by field.
+    directly in it is parsed once. Else the fields are cut out and parsed side by side;
+    only fields within fields, comments and character data are left to XPath, field by
+    field.
 
     For files use ``read_xml_elements(..., "food", FOOD_FIELDS)`` and ``flat_foods``.
     """
     schema = StructType.fromDDL(FOOD_FIELDS)
+
+    def direct(food: str) -> Column:
+        sizes = [F.coalesce(F.size(F.col(f"{food}.`{f.name}`")), F.lit(0)) for f in schema.fields]
+        return sum((F.greatest(s, F.lit(0)) for s in sizes), F.lit(0))
+
     foods = food_elements(documents, column, strict).select(
-        "food_xml", xml_value("food_xml", schema, strict).alias("food")
+        "food_xml",
+        xml_value("food_xml", schema, strict).alias("food"),
+        F.regexp_count("food_xml", F.lit(_FIELD)).alias("fields"),
     )
-    sizes = [F.coalesce(F.size(F.col(f"food.`{f.name}`")), F.lit(0)) for f in schema.fields]
-    direct = sum((F.greatest(s, F.lit(0)) for s in sizes), F.lit(0))
-    plain = F.regexp_count("food_xml", F.lit(_FIELD)) == direct
+    foods = foods.select("*", (F.col("fields") == direct("food")).alias("plain"))
+    cut = F.regexp_extract_all("food_xml", F.lit(_FIELD_ELEMENT), F.lit(0))
+    beside = F.concat(F.lit("<food>"), F.array_join(cut, ""), F.lit("</food>"))
+    lifted = F.when(~F.col("plain") & ~F.contains("food_xml", F.lit("<!")), xml_value(beside, schema, strict))
+    foods = foods.select("*", lifted.alias("lifted"))
     one = _direct_columns(lambda name: F.col(f"food.`{name}`"), strict)
-    two = _deep_columns(F.col("food_xml"), strict)
-    return foods.select(*[F.when(plain, one[c]).otherwise(two[c]).alias(c) for c in FOOD_COLUMNS])
+    two = _direct_columns(lambda name: F.col(f"lifted.`{name}`"), strict)
+    three = _deep_columns(F.col("food_xml"), strict)
+    whole = F.col("lifted").isNotNull() & (F.col("fields") == direct("lifted"))
+    return foods.select(
+        *[
+            F.when(F.col("plain"), one[c]).when(whole, two[c]).otherwise(three[c]).alias(c)
+            for c in FOOD_COLUMNS
+        ]
+    )

@@ -1,13 +1,24 @@
 import json
+from xml.etree import ElementTree
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from millrace.operators.flatten import FOOD_COLUMNS, FOOD_FIELDS, flat_foods, flatten_foods, flatten_pets
+from millrace.operators.flatten import (
+    FOOD_COLUMNS,
+    FOOD_FIELDS,
+    flat_foods,
+    flatten_foods,
+    flatten_pets,
+    food_elements,
+)
 from millrace.plans import flattening
 from millrace.sinks import tables as tb
 from millrace.sources.documents import read_xml_elements
 
+# The sample pets and foods whose flat rows are known.
 PHOTO = "https://learnwebcode.github.io/json-example/images/"
 PETS = {
     "pets": [
@@ -124,10 +135,45 @@ def test_fields_at_any_depth(spark):
     assert (deep.manufacturer, deep.vitamin_a, deep.calories_total, deep.calories_fat) == ("direct", "3", 7, 2)
 
 
-def test_foods_that_cannot_be_cut_out_fail(spark):
-    inside = "<n><food><name>a</name><food><name>b</name></food></food></n>"
-    with pytest.raises(Exception):
-        flatten_foods(documents(spark, inside)).collect()
+NESTED = (
+    "<n><food id='1'><x><food><name>in</name><mfr>m</mfr><food/></food></x><name>out</name>"
+    "<calories total='9' fat='1'/></food><!-- <food><name>no</name></food> --><food\n><name>é <![CDATA[<food>]]></name></food ></n>"
+)
+
+
+def by_tree(text):
+    """Names and makers of all foods in document order, by a parsed tree."""
+    found = []
+    for food in ElementTree.fromstring(text).iter("food"):
+        texts = [next((e.text for e in food.iter(n) if e.text), None) for n in ("name", "mfr")]
+        found.append((*texts, next((int(e.get("total")) for e in food.iter("calories")), None)))
+    return found
+
+
+def test_foods_in_foods(spark, rows):
+    wanted = by_tree(NESTED)
+    assert len(wanted) == 4
+    flat = flatten_foods(documents(spark, NESTED, DOCUMENT, NESTED))
+    got = [r for r in rows(flat, "food_name", "manufacturer", "calories_total") if r[0] not in {e[0] for e in EXPECTED}]
+    assert got == sorted(wanted * 2, key=repr)
+    assert flat.count() == 8 + len(EXPECTED)
+
+
+@given(st.recursive(st.sampled_from(["<name>a</name>", "<mfr>b</mfr>", "<food/>", "t", "<!--<food>-->"]),
+                    lambda inner: st.tuples(st.sampled_from(["food", "x", "foods"]), st.lists(inner, max_size=4)).map(
+                        lambda p: f"<{p[0]}>{''.join(p[1])}</{p[0]}>"), max_leaves=25))
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_any_nesting(spark, body):
+    text = f"<n>{body}</n>"
+    found = food_elements(documents(spark, text)).collect()
+    trees = [ElementTree.canonicalize(ElementTree.tostring(f, encoding="unicode").strip()) for f in trees_of(text)]
+    assert sorted(ElementTree.canonicalize(r.food_xml) for r in found) == sorted(trees)
+
+
+def trees_of(text):
+    for food in ElementTree.fromstring(text).iter("food"):
+        food.tail = None
+        yield food
 
 
 def test_foods_at_any_depth_in_files(spark, tmp_path):

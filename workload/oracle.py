@@ -523,3 +523,14 @@ SQL["document_shapes"] = f"""
     SELECT event_type, 'OBJECT<browser: VOID, os: STRING, screen: ' || CASE WHEN bool_or(k % 2 = 0)
            THEN 'OBJECT<sizes: ARRAY<BIGINT>, w: BIGINT>' ELSE 'VOID' END || ', type: STRING>' AS shape
     FROM ({_OPEN}) GROUP BY event_type"""
+SQL["foods_in_foods_loaded"] = f"""{FOODS}
+UNION ALL
+SELECT 'inner', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, '0', '0', '0', '0' FROM part"""
+SQL["column_types"] = " UNION ALL ".join(
+    f"SELECT '{name}' AS column_name, '{kind}' AS data_type, count(*) AS row_count, "
+    f"count(*) - count({name}) AS null_count FROM orders"
+    for name, kind in (
+        ("o_orderkey", "bigint"), ("o_orderdate", "timestamp_ntz"), ("o_totalprice", "double"), ("o_orderstatus", "string"),
+    )
+)
+SQL["first_rows_by_key"] = "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 7"

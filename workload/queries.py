@@ -28,7 +28,7 @@ from millrace.operators.flatten import (
     food_elements,
 )
 from millrace.operators.merge import insert_ignore, known_keys, new_keys, upsert
-from millrace.operators.profile import load_quality, null_profile
+from millrace.operators.profile import first_rows, load_quality, null_profile
 from millrace.operators.quantiles import between, percentile_trim, quantiles, trim_report
 from millrace.operators.ranking import extremes_of_type, temperature_extremes, top_days
 from millrace.operators.recent import last_n_days
@@ -198,6 +198,17 @@ def null_column_profile(spark, folder):
     return null_profile(rows).drop("data_type")
 
 
+@query
+def column_types(spark, folder):
+    """Name, type, rows and missing values of each column of the orders."""
+    return null_profile(table(spark, folder, "orders").select("o_orderkey", "o_orderdate", "o_totalprice", "o_orderstatus"))
+
+
+@query
+def first_rows_by_key(spark, folder):
+    return first_rows(table(spark, folder, "customer").select("c_custkey", "c_name").orderBy("c_custkey"), 7)
+
+
 @query
 def standardised_headers(spark, folder):
     """Lowercased, cleaned names, seen through the columns they label."""
@@ -423,6 +434,16 @@ def flatten_xml_nested(spark, folder):
     return flatten_foods(documents.withColumn("xml_data", F.when(even, inside).otherwise(text)))
 
 
+@query
+def foods_in_foods_loaded(spark, folder):
+    """Foods with a food deep inside them, appended to the flat table."""
+    spec = flattening.FOODS.in_database(inputs.scratch_database(spark))
+    inner = "</minerals><group><food><name>inner</name></food></group></food>"
+    text = F.replace("xml_data", F.lit("</minerals></food>"), F.lit(inner))
+    flattening.load_foods(spark, inputs.food_documents(spark, folder).withColumn("xml_data", text), spec)
+    return tb.read(spark, spec).drop("processed_at")
+
+
 @query
 def json_text_columns(spark, folder):
     rows = inputs.sessions(spark, folder)
