@@ -29,11 +29,14 @@ batch, not with the table: a task forgets its words beyond ``MOST_WORDS``.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest
 
 from millrace.llm.common import clean_text, shared_dir, slices, text_bytes
 from millrace.session import remove
@@ -42,7 +45,7 @@ LEAST = 30
 LONGEST = 4
 SHARDS = 2
 CELLS = 1 << 25
-BATCH_WORDS = 3_000_000
+BATCH_WORDS = 2_000_000
 MOST_WORDS = 1 << 19
 NO_LANGUAGE = "und"
 SCALE = 2_000_000
@@ -59,9 +62,10 @@ _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT, _HALF = np.uint64(29), np.uint64(32)
 
 
-def tokens(text: bytes) -> list[bytes]:
-    """The words of a text, with ``_BREAK`` where a piece ends."""
-    return text.translate(_PLAIN).replace(b"\n", b" . ").split()
+def tokens(texts: Iterable[bytes]) -> pa.DictionaryArray:
+    """The words of texts, with ``_BREAK`` where a piece ends; runs of spaces leave empty ones."""
+    line = b"\n".join([*texts, b""]).translate(_PLAIN).replace(b"\n", b" . ")
+    return pc.split_pattern(pa.array([line], pa.large_binary()), pattern=b" ").flatten().dictionary_encode()
 
 
 def _joined(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
@@ -70,10 +74,9 @@ def _joined(hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
     return mixed ^ (mixed >> _SHIFT)
 
 
-def word_hash(lang: str, word: bytes) -> int:
-    from xxhash import xxh64_intdigest
-
-    return xxh64_intdigest(word, xxh64_intdigest(lang.encode()))
+def seed_of(lang: str) -> int:
+    """Words of a language are hashed with its seed."""
+    return xxh64_intdigest(lang.encode())
 
 
 def _cells(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -91,7 +94,7 @@ class _Numbers(dict):
     """Words of one language to numbers, given out in order over all languages."""
 
     def __init__(self, lang: int, langs: list[int], words: list[bytes]):
-        super().__init__({_BREAK: 0})
+        super().__init__({_BREAK: 0, b"": -1})
         self.lang, self.langs, self.words = lang, langs, words
 
     def __missing__(self, word: bytes) -> int:
@@ -115,22 +118,25 @@ class _Counter:
         self.text, self.keys = pa.array([b""], pa.binary()), pa.array([b""], pa.binary())
         self.seen = np.zeros(1, np.int64)
 
-    def number(self, lang: str, text: bytes) -> np.ndarray:
-        """Word numbers of a text, 0 where a piece ends."""
+    def number(self, lang: str, texts: Iterable[bytes]) -> np.ndarray:
+        """Word numbers of texts of one language, 0 where a piece ends."""
         if lang not in self.numbers:
             self.numbers[lang] = _Numbers(len(self.names), self.langs, self.words)
             self.names.append(lang)
-        found = tokens(text)
-        found.append(_BREAK)
-        return np.fromiter(map(self.numbers[lang].__getitem__, found), np.int32, len(found))
+        found = tokens(texts)
+        own = map(self.numbers[lang].__getitem__, found.dictionary.to_pylist())
+        numbers = np.fromiter(own, np.int32, len(found.dictionary))
+        ids = numbers[found.indices.to_numpy()]
+        return ids[ids >= 0]
 
     def _learn(self) -> None:
         known = len(self.hashes)
         new = self.words[known:]
         if not new:
             return
-        names = [self.names[i] for i in self.langs[known:]]
-        hashes = np.fromiter(map(word_hash, names, new), np.uint64, len(new))
+        seeds = [seed_of(name) for name in self.names]
+        own = map(seeds.__getitem__, self.langs[known:])
+        hashes = np.fromiter(map(xxh64_intdigest, new, own), np.uint64, len(new))
         self.hashes = np.concatenate([self.hashes, hashes])
         self.reached = np.concatenate([self.reached, _reached(hashes, self.steps)])
         starts = [f"{n}\n".encode() for n in self.names]
@@ -211,15 +217,18 @@ def _counted(texts: DataFrame, steps, step: int, shards: int, longest: int) -> D
         counter = _Counter(steps.value, step, shards, longest)
         parts, size = [], 0
         for batch in slices(batches, "text"):
+            texts: dict[str, list[bytes]] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
-                parts.append(counter.number(lang, text_bytes(text)))
+                texts.setdefault(lang, []).append(text_bytes(text))
+            for lang, own in texts.items():
+                parts.append(counter.number(lang, own))
                 size += len(parts[-1])
-                if size >= BATCH_WORDS or len(counter.words) > MOST_WORDS:
-                    yield from counter.count(np.concatenate(parts))
-                    parts, size = [], 0
-                    if len(counter.words) > MOST_WORDS:
-                        yield from counter.word_rows()
-                        counter.forget()
+            if size >= BATCH_WORDS or len(counter.words) > MOST_WORDS:
+                yield from counter.count(np.concatenate(parts))
+                parts, size = [], 0
+                if len(counter.words) > MOST_WORDS:
+                    yield from counter.word_rows()
+                    counter.forget()
         if parts:
             yield from counter.count(np.concatenate(parts))
         yield from counter.word_rows()
@@ -236,7 +245,8 @@ def _set_cells(rows: DataFrame, steps: np.ndarray, step: int) -> bool:
             found = []
             for key in batch.column("key").to_pylist():
                 lang, _, phrase = key.decode().rpartition("\n")
-                words = [np.array([word_hash(lang, w)], np.uint64) for w in phrase.encode().split(b" ")]
+                seed = seed_of(lang)
+                words = [np.array([xxh64_intdigest(w, seed)], np.uint64) for w in phrase.encode().split(b" ")]
                 mixed = words[0]
                 for word in words[1:]:
                     mixed = _joined(mixed, word)

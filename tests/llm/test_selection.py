@@ -228,8 +228,9 @@ def test_forgotten_words_lose_no_count(spark, monkeypatch):
     counter = _Counter(steps, 1, 1, 4)
     seen = Counter()
     for _ in range(3):
-        for row in [*counter.count(counter.number("x", b"a b. c")), *counter.word_rows()]:
+        for row in [*counter.count(counter.number("x", [b"a b.", b"c "])), *counter.word_rows()]:
             for r in row.to_pylist():
                 seen[r["key"].decode().rpartition("\n")[2]] += r["n"]
         counter.forget()
     assert seen == {"a": 3, "b": 3, "c": 3, "a b": 3, "": 9}
+    assert counter.number("x", [b" \tA  b,", b"", b"b"]).tolist() == [1, 2, 0, 0, 0, 2, 0]
