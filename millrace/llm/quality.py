@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.common import appended, clean_text, materialize
+from millrace.llm.common import appended, clean_text
 
 TRAIN_ROWS = 20_000
 TRAIN_TASKS = 8
@@ -248,8 +248,10 @@ def fit(df: DataFrame, posterior: dict, text: str = "text", train_rows: int = TR
     return mean[:-1], float(mean[-1])
 
 
-def classify(df: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS) -> DataFrame:
-    """Add ``votes``, ``weak_label`` (posterior), ``score`` and ``keep``."""
+def classify(
+    df: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS, without: tuple[str, ...] = ()
+) -> DataFrame:
+    """Add ``votes``, ``weak_label`` (posterior), ``score`` and ``keep``; leave out columns ``without``."""
     context = df.sparkSession.sparkContext
     field = T.StructField("votes", T.ArrayType(T.IntegerType()))
     texts = df.select(F.col(f"`{text}`").alias("text"))
@@ -275,12 +277,12 @@ def classify(df: DataFrame, text: str = "text", train_rows: int = TRAIN_ROWS) ->
         T.StructField("weak_label", T.DoubleType()),
         T.StructField("score", T.DoubleType()),
     ]
-    return appended(df, text, added, work).withColumn("keep", F.col("score") >= KEEP_FROM)
+    return appended(df, text, added, work, without).withColumn("keep", F.col("score") >= KEEP_FROM)
 
 
 def good_rows(df: DataFrame, text: str = "text") -> DataFrame:
     """The rows whose text the scorer accepts."""
     named = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
     named = named.withColumn("content", F.col(f"row.`{text}`"))
-    found = classify(named, "content").where("keep")
+    found = classify(named, "content", without=("content",)).where("keep")
     return found.select(*[F.col(f"row.`{c}`").alias(c) for c in df.columns])
