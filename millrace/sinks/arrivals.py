@@ -117,8 +117,9 @@ def create(spark: SparkSession, table: Merged) -> None:
             f"CREATE TABLE IF NOT EXISTS {table.stored.name} ({columns}, {RUN} BIGINT) USING parquet "
             f"PARTITIONED BY ({RUN}) LOCATION '{place.rstrip('/')}/{name}'"
         )
-    if not spark.catalog.tableExists(table.spec.name):
-        spark.sql(f"CREATE VIEW IF NOT EXISTS {table.spec.name} AS {merged_sql(table)}")
+    added = tb.reconcile(spark, table.stored.name, table.stored.schema, besides=(RUN,))
+    if added or not spark.catalog.tableExists(table.spec.name):
+        spark.sql(f"CREATE OR REPLACE VIEW {table.spec.name} AS {merged_sql(table)}")
 
 
 def run_numbers(spark: SparkSession, table: Merged) -> list[int]:

@@ -33,6 +33,10 @@ class KeyViolation(ValueError):
     """A table key would be held by more than one row."""
 
 
+class SchemaDrift(ValueError):
+    """A table in the catalog cannot hold what its spec declares."""
+
+
 @dataclass(frozen=True)
 class TableSpec:
     """What a table holds.
@@ -87,6 +91,31 @@ def create(spark: SparkSession, spec: TableSpec, location: str | None = None) ->
     if location:
         statement += f" LOCATION '{location}'"
     spark.sql(statement)
+    reconcile(spark, spec.name, spec.schema)
+
+
+def reconcile(spark: SparkSession, name: str, declared: StructType, besides: Sequence[str] = ()) -> list[str]:
+    """Give an older table the columns its spec has by now; the names of those added.
+
+    Rows written before have NULL there. A table with a column that is not declared,
+    or of another type, is refused: its rows would be cut or could not be read.
+    ``besides`` are columns the table has apart from its spec.
+    """
+    held = {f.name.lower(): f for f in spark.table(name).schema.fields}
+    wanted = {f.name.lower(): f for f in declared.fields}
+    gone = [f.name for key, f in held.items() if key not in wanted and f.name not in besides]
+    if gone:
+        raise SchemaDrift(f"{name} has columns that are not declared: {', '.join(gone)}")
+    for key, f in wanted.items():
+        if key in held and held[key].dataType.simpleString() != f.dataType.simpleString():
+            raise SchemaDrift(
+                f"{name}.{f.name} is {held[key].dataType.simpleString()}, declared as {f.dataType.simpleString()}"
+            )
+    new = [f for key, f in wanted.items() if key not in held]
+    if new:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+    return [f.name for f in new]
 
 
 def read(spark: SparkSession, spec: TableSpec) -> DataFrame:
@@ -191,8 +220,9 @@ def replace_all(df: DataFrame, spec: TableSpec, check_key: bool = True) -> None:
 
 def append(df: DataFrame, spec: TableSpec) -> None:
     """Add rows without looking at keys; a repeated run adds them again."""
-    df.sparkSession.catalog.refreshTable(spec.name)
-    conform(df, spec).write.mode("append").insertInto(spec.name)
+    # Columns a table got later stand behind the others there.
+    held = read(df.sparkSession, spec).columns
+    conform(df, spec).select(*held).write.mode("append").insertInto(spec.name)
 
 
 def partition_location(spark: SparkSession, spec: TableSpec, value) -> str | None:

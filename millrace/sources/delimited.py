@@ -1,4 +1,4 @@
-"""Delimited files. Every column is read as text and coerced afterwards."""
+"""Delimited files. Columns are read as text and coerced afterwards, or typed by their cells."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.functions.infer import inferred_types, with_types
 from millrace.sources.position import source_position
 
 # Cell texts that mean "missing" (the pandas reader's defaults).
@@ -22,12 +23,14 @@ def read_delimited(
     path: str,
     missing: Iterable[str] = MISSING,
     order: str | None = None,
+    infer: bool = False,
     **options,
 ) -> DataFrame:
     """All ``*.csv`` files at or below ``path`` as text columns.
 
     Without ``inferSchema`` Spark types every header column as STRING, so the
-    schema never depends on the data. ``order`` adds the source position.
+    schema never depends on the data. ``infer`` reads all cells first and gives each
+    column the least type that holds them. ``order`` adds the source position.
 
     A quote inside a quoted cell is written twice. Columns are taken in the order
     of the first file's header; a file with another header fails the job rather
@@ -46,7 +49,8 @@ def read_delimited(
     )
     missing = list(missing)
     cells = [F.when(~F.col(f"`{c}`").isin(missing), F.col(f"`{c}`")).alias(c) for c in raw.columns]
-    return raw.select(*cells, *([source_position().alias(order)] if order else []))
+    read = raw.select(*cells, *([source_position().alias(order)] if order else []))
+    return with_types(read, inferred_types(read, raw.columns)) if infer else read
 
 
 def write_delimited(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

@@ -534,3 +534,14 @@ SQL["column_types"] = " UNION ALL ".join(
     )
 )
 SQL["first_rows_by_key"] = "SELECT c_custkey, c_name FROM customer ORDER BY c_custkey LIMIT 7"
+SQL["table_of_an_older_spec"] = """
+    SELECT event_id, CASE WHEN event_id % 3 = 1 OR event_id % 6 < 2 THEN event_type END AS kind,
+           CASE WHEN event_id % 6 < 2 THEN -value ELSE value END AS value,
+           CASE WHEN event_id % 3 = 1 OR event_id % 6 < 2 THEN user_id END AS user_id
+    FROM events WHERE event_id % 3 < 2"""
+SQL["csv_inferred_types"] = f"""
+    WITH counts AS (SELECT count(*) AS n, count(*) FILTER ({K} % 7 = 0 OR {K} IS NULL OR user_id IS NULL) AS users FROM events)
+    SELECT column_name, data_type, n AS row_count,
+           CASE column_name WHEN 'user_id' THEN users WHEN 'nothing' THEN n ELSE 0 END AS null_count
+    FROM counts, (VALUES ('event_id', 'bigint'), ('user_id', 'bigint'), ('value', 'double'), ('is_error', 'boolean'),
+                         ('mixed', 'string'), ('widened', 'double'), ('nothing', 'double')) AS t(column_name, data_type)"""

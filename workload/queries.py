@@ -851,6 +851,43 @@ def inserted_first_of_repeated_keys(spark, folder):
     return portable(tb.read(spark, spec))
 
 
+@query
+def table_of_an_older_spec(spark, folder):
+    """A table made and filled by a spec of two columns, then used by one of four."""
+    name = f"{inputs.scratch_database(spark)}.events"
+    older = tb.TableSpec(name, "event_id BIGINT, value DOUBLE", key=("event_id",))
+    newer = replace(older, ddl="event_id BIGINT, kind STRING, value DOUBLE, user_id BIGINT")
+    rows = table(spark, folder, "events").withColumn("kind", F.col("event_type"))
+    tb.create(spark, older)
+    tb.append(rows.where("event_id % 3 = 0"), older)
+    tb.create(spark, newer)
+    tb.append(rows.where("event_id % 3 = 1"), newer)
+    changed = rows.where("event_id % 6 < 2").withColumn("value", -F.col("value"))
+    tb.upsert_all(changed, newer)
+    return tb.read(spark, newer).select("event_id", "kind", "value", "user_id")
+
+
+@query
+def csv_inferred_types(spark, folder):
+    """Events written as CSV and typed by their cells; one late cell makes a column text."""
+    path = shared_dir(spark, "typed-csv")
+    k = inputs.props_key()
+    rows = table(spark, folder, "events")
+    last = F.col("event_id") == rows.agg(F.max("event_id")).scalar()
+    rows = rows.select(
+        "event_id",
+        F.when(k % 7 != 0, F.col("user_id")).alias("user_id"),
+        "value",
+        (F.col("event_type") == "error").alias("is_error"),
+        F.when(last, F.lit("n.a.")).otherwise(F.col("value").cast("string")).alias("mixed"),
+        F.when(last, F.lit("1e3")).otherwise(F.col("event_id").cast("string")).alias("widened"),
+        F.lit(None).cast("string").alias("nothing"),
+    )
+    write_delimited(rows, path)
+    typed = read_delimited(spark, path, infer=True)
+    return null_profile(typed)
+
+
 @query
 def csv_quoted_cells(spark, folder):
     """Cells with separators and doubled quotes, written and read back."""
