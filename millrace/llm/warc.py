@@ -344,11 +344,16 @@ def _parsed(batches):
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Records of archives: type, page, URL, page referred to, size, digest and payload."""
+    """Records of archives: type, page, URL, page referred to, size, digest and payload.
+
+    The archives are scanned twice. Should the second scan cut files into other blocks
+    than the first, as after a change of the cluster's size, it fails; run it again.
+    """
     found = materialize(pieces(spark, path, False), "archive-pieces")
     bases, special = boundaries(found)
-    content = pieces(spark, path, True).join(bases, ["file", "block"]).select(
-        "file", (F.col("at") + F.col("base")).alias("at"), "content"
+    unknown = F.raise_error(F.lit("an archive was cut into other blocks than before")).cast("long")
+    content = pieces(spark, path, True).join(bases, ["file", "block"], "left").select(
+        "file", (F.col("at") + F.coalesce("base", unknown)).alias("at"), "content"
     )
     single = content.join(special, ["file", "at"], "left_anti").select("content")
     ordered = F.array_sort(F.collect_list(F.struct("at", "content")))

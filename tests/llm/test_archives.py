@@ -69,3 +69,17 @@ def test_a_file_that_does_not_start_with_a_record_has_none(spark):
 
 def test_empty_table(spark):
     assert warc.round_trip(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_other_blocks_in_the_second_scan_fail(spark, monkeypatch):
+    pages = spark.createDataFrame([(i, "u", "x" * i) for i in range(5)], "page_id long, url string, html string")
+    plain = warc.pieces
+
+    def moved(session, path, content):
+        found = plain(session, path, content)
+        return found.withColumn("block", F.col("block") + 1) if content else found
+
+    assert warc.round_trip(pages).count() == 5
+    monkeypatch.setattr(warc, "pieces", moved)
+    with pytest.raises(Exception, match="other blocks"):
+        warc.round_trip(pages).count()
