@@ -63,6 +63,7 @@ REGISTRY: dict[str, Query] = {}
 
 SPLIT_DAY = dt.date(2024, 1, 15)
 TARGET_END = dt.date(2024, 1, 21)
+FOODS_PER_FILE = 100_000  # about 50 MB
 
 
 def query(function: Query) -> Query:
@@ -417,9 +418,10 @@ def flatten_xml_files(spark, folder):
     """The same foods written as XML files and read back element by element."""
     path = shared_dir(spark, "foods-xml")
     foods = food_elements(inputs.food_documents(spark, folder))
-    foods.select(xml_value("food_xml", FOOD_FIELDS).alias("food")).select("food.*").write.option(
-        "rootTag", "nutrition"
-    ).option("rowTag", "food").xml(path)
+    # A file is read by one task.
+    writer = foods.select(xml_value("food_xml", FOOD_FIELDS).alias("food")).select("food.*").write
+    writer = writer.option("maxRecordsPerFile", FOODS_PER_FILE)
+    writer.option("rootTag", "nutrition").option("rowTag", "food").xml(path)
     return flat_foods(read_xml_elements(spark, path, "food", FOOD_FIELDS))
 
 
