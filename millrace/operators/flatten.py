@@ -123,8 +123,9 @@ _FOOD_START = r"<food(?=[\s/>])"
 _NAMES = [*FOOD_TEXT.values(), "calories", "vitamins", "minerals"]
 _FIELD = rf"<(?:{'|'.join(_NAMES)})(?=[\s/>])"
 _FIELD_ELEMENT = rf"(?s)<({'|'.join(_NAMES)})(?=[\s/>])[^>]*?(?:/>|(?<!/)>.*?</\1\s*>)"
-# What an XML text is made of: comments, character data, tags, and text between them.
-_TOKEN = r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<[^>]*>|[^<]+"
+# What an XML text is made of: tags of foods, and all between two of them as one piece
+# (comments, character data, other tags, text).
+_TOKEN = r"(?s)(?:<!--.*?-->|<!\[CDATA\[.*?\]\]>|<(?!/?food[\s/>])[^>]*>|[^<]+)++|<[^>]*>"
 
 
 def _nested_foods(documents: DataFrame, text: str, strict: bool) -> DataFrame:
@@ -178,9 +179,10 @@ def food_elements(
 
     One pattern cuts the foods of ordinary documents. Documents with foods in foods,
     comments or character data are scanned tag by tag. Documents whose tags do not pair
-    up fail, unless ``strict`` is off.
+    up fail, unless ``strict`` is off. Documents are dealt over tasks first: a few MB of
+    stored columns, read by one task, can be a great many texts.
     """
-    rows = documents.select(F.col(column).cast("string").alias("text")).where("text IS NOT NULL")
+    rows = documents.select(F.col(column).cast("string").alias("text")).where("text IS NOT NULL").hint("rebalance")
     foods = F.regexp_extract_all("text", F.lit(_FOOD), F.lit(0))
     plain = (F.regexp_count("text", F.lit(_FOOD_START)) == F.size(foods)) & ~F.contains("text", F.lit("<!"))
     cut = foods
@@ -189,8 +191,10 @@ def food_elements(
         unpaired = F.regexp_count("text", F.lit("<[A-Za-z_:]")) != ends
         message = F.lit(f"{column}: start and end tags do not pair up")
         cut = F.when(unpaired, F.raise_error(message).cast("array<string>")).otherwise(foods)
-    ordinary = rows.where(plain).select(F.explode(cut).alias("food_xml"))
-    return ordinary.unionByName(_nested_foods(rows.where(~plain), "text", strict))
+    # Explodes, since filters would be moved before the dealing, to the few tasks of the scan.
+    ordinary = rows.select(F.explode(F.when(plain, cut)).alias("food_xml"))
+    others = rows.select(F.explode(F.when(~plain, F.array("text"))).alias("text"))
+    return ordinary.unionByName(_nested_foods(others, "text", strict))
 
 
 def flatten_foods(documents: DataFrame, column: str = "xml_data", strict: bool = True) -> DataFrame:

@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from millrace.operators import flatten
 from millrace.operators.flatten import (
     FOOD_COLUMNS,
     FOOD_FIELDS,
@@ -17,6 +18,7 @@ from millrace.operators.flatten import (
 from millrace.plans import flattening
 from millrace.sinks import tables as tb
 from millrace.sources.documents import read_xml_elements
+from workload import inputs, queries
 
 # The sample pets and foods whose flat rows are known.
 PHOTO = "https://learnwebcode.github.io/json-example/images/"
@@ -207,3 +209,46 @@ def test_tables_append_or_overwrite(spark, database):
     assert tb.read(spark, foods).count() == 10
     with pytest.raises(ValueError):
         flattening.load_pets(spark, source, pets, mode="ignore")
+
+
+def test_documents_are_dealt_before_they_are_searched(spark):
+    """A scan of few tasks must not do the work on all texts."""
+    documents = inputs.food_documents(spark, "/root/testdata/sf0.001")
+    plan = food_elements(documents)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    dealt = [i for i, line in enumerate(plan) if "RebalancePartitions" in line]
+    assert len(dealt) >= 2
+    for i in dealt:
+        depth = plan[i].index("Rebalance")
+        below = []
+        for line in plan[i + 1 :]:
+            if len(line) - len(line.lstrip(" :+-")) <= depth:
+                break
+            below.append(line)
+        assert below and not any("regexp" in line for line in below)
+
+
+def test_xml_files_are_small(spark, monkeypatch):
+    """One task reads a file, so none may grow with the table."""
+    read = {}
+
+    def reading(spark, path, *rest):
+        read["files"] = spark.read.text(path, wholetext=True).collect()
+        return read_xml_elements(spark, path, *rest)
+
+    monkeypatch.setattr(queries, "read_xml_elements", reading)
+    monkeypatch.setattr(queries, "FOODS_PER_FILE", 20)
+    foods = queries.flatten_xml_files(spark, "/root/testdata/sf0.001").count()
+    counts = [r[0].count("<food>") for r in read["files"]]
+    assert sum(counts) == foods and max(counts) <= 20
+
+
+def test_tags_of_foods_alone_are_scanned_one_by_one(spark):
+    """What stands between two of them is one piece, however much it is."""
+    filler = "".join(f"<!-- <food> {i} --><x{i}>t</x{i}><![CDATA[</food>]]>" for i in range(3000))
+    text = f"<n>{filler}<food><name>a</name>{filler}<food/><foods/><food ><name>b</name></food >{filler}</food></n>"
+    docs = spark.createDataFrame([(text,)], "xml_data string")
+    found = sorted((r["food_xml"] for r in food_elements(docs).collect()), key=len)
+    assert found[:2] == ["<food/>", "<food ><name>b</name></food >"]
+    assert found[2].startswith("<food><name>a</name><!--") and found[2].endswith("</food>") and len(found) == 3
+    pieces = docs.select(F.size(F.regexp_extract_all("xml_data", F.lit(flatten._TOKEN), F.lit(0)))).first()[0]
+    assert pieces <= 11
