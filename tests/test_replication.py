@@ -236,3 +236,22 @@ def test_fields_the_ddl_does_not_name_survive(spark, database, store):
     assert {r.ticket_id: r.messages_count for r in tickets.collect()} == {"t1": 2, "t2": 0, "t3": 0}
     sessions = replication.typed(tb.read(spark, COLLECTIONS["UserSessions"].table.in_database(database)), COLLECTIONS["UserSessions"])
     assert {r.session_id: r.device and r.device.type for r in sessions.collect()} == {"s1": "tv", "s2": None, "s3": None, "s4": None}
+
+
+def test_written_collections_are_compressed_and_cut(spark, monkeypatch):
+    """What a job writes for its own reading is no multiple of its input, and no file grows with it."""
+    from workload import queries
+
+    class Seen(Exception):
+        pass
+
+    def look(spark, root, database):
+        files = spark.read.text(f"{root}/*").select("_metadata.file_path").groupBy("file_path").count().collect()
+        raise Seen([(r["file_path"], r["count"]) for r in files])
+
+    monkeypatch.setattr(queries.replication, "replicate_all", look)
+    monkeypatch.setattr(queries, "DOCUMENTS_PER_FILE", 30)
+    with pytest.raises(Seen) as seen:
+        queries.all_collections_replicated_twice(spark, "/root/testdata/sf0.001")
+    files = seen.value.args[0]
+    assert len(files) > 5 and all(name.endswith(".json.gz") and n <= 30 for name, n in files)

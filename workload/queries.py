@@ -64,6 +64,7 @@ REGISTRY: dict[str, Query] = {}
 SPLIT_DAY = dt.date(2024, 1, 15)
 TARGET_END = dt.date(2024, 1, 21)
 FOODS_PER_FILE = 100_000  # about 50 MB
+DOCUMENTS_PER_FILE = 500_000  # of a compressed file, which one task reads
 
 
 def query(function: Query) -> Query:
@@ -616,7 +617,9 @@ def all_collections_replicated_twice(spark, folder):
                 third = F.regexp_extract(key, r"\d+$", 0).cast("long") % 3 == 0
                 rows = rows.where(third)
                 rows = rows.unionByName(rows.withColumn(key, F.concat(key, F.lit("_new"))))
-            rows.drop("_ord").write.json(f"{root}/{turn}/{name}")
+            # Documents repeat their field names: compressed they are a fraction of their size.
+            writer = rows.drop("_ord").write.option("compression", "gzip")
+            writer.option("maxRecordsPerFile", DOCUMENTS_PER_FILE).json(f"{root}/{turn}/{name}")
         replication.replicate_all(spark, f"{root}/{turn}", database)
     for name, collection in replication.COLLECTIONS.items():
         rows = tb.read(spark, collection.table.in_database(database))
