@@ -16,11 +16,13 @@ What shares one is compared in two passes, each checking the shingles exactly:
 * bands that are not connected by that make clusters with a hub each, the text in most
   of their bands. ``D`` is what a text's set and the hub's have apart. Two sets at
   similarity s have at most c = (1 - s) / (1 + s) of their sizes apart, and that is what
-  their ``D`` have apart. So texts that are alike have elements of ``D`` in common, and
-  one of them is among the first ``c (1 + 1 / s) / 2`` of the size, plus one, in the
-  smaller ``D``, in any order of elements. Elements that only texts connected already
-  hold come first in that order, then rare ones: an index of these few elements, met by
-  all elements of the larger ``D``, names the pairs to compare. No other can be alike.
+  their ``D`` have apart. So texts that are alike have ``o`` elements of ``D`` in common, half
+  of what the two ``D`` hold beyond that. In any order of elements, the first they have in
+  common is among the first ``c (1 + 1 / s) / 2`` of the size, plus one, in the smaller
+  ``D``, among the first ``c (1 + 1 / s)`` of the size, plus one, in the larger, and has
+  ``o - 1`` elements or more behind it in both. Elements that only texts connected already
+  hold come first in that order, then rare ones: pairs that meet in such an element are
+  compared. No other can be alike.
 
 A large group of near copies costs one comparison for a text and band, and texts that
 are each a bit too far from all others meet only where they share what is rare. No
@@ -206,18 +208,21 @@ def _rest(apart: DataFrame, similarity: float, scratch: _Scratch) -> DataFrame:
     )
     # Elements that only one group holds name no pair; they come first in a node's order.
     mixed = held.join(counts.where("x <> y").select("cluster", "element", "holders"), ["cluster", "element"])
-    mixed = scratch.keep(mixed, "near-mixed")
-    share = (1 - similarity) / (1 + similarity) * (1 + 1 / similarity) / 2
-    prefix = F.floor(F.col("size") * share + 1e-9) + 1
+    c = (1 - similarity) / (1 + similarity)
+    reach = F.col("size") * (c * (1 + 1 / similarity))
     all_mixed = Window.partitionBy("cluster", "node")
-    place = F.row_number().over(all_mixed.orderBy("holders", "element"))
-    index = mixed.withColumns({"place": place, "n_mixed": F.count(F.lit(1)).over(all_mixed)})
-    index = index.where(F.col("place") + F.col("n_apart") - F.col("n_mixed") <= prefix)
+    behind = F.count(F.lit(1)).over(all_mixed) - F.row_number().over(all_mixed.orderBy("holders", "element"))
+    mixed = mixed.withColumn("place", F.col("n_apart") - behind).drop("holders")
+    mixed = scratch.keep(mixed.where(F.col("place") <= F.floor(reach + 1e-9) + 1), "near-mixed")
+    index = mixed.where(F.col("place") <= F.floor(reach / 2 + 1e-9) + 1)
     near = F.least("size", "other.size") / F.greatest("size", "other.size") >= similarity
     smaller = F.struct("n_apart", "node") < F.struct("other.n_apart", "other.node")
-    other = index.select("cluster", "element", F.struct("node", "size", "own", "n_apart").alias("other"))
+    shared = (F.col("n_apart") + F.col("other.n_apart") - c * (F.col("size") + F.col("other.size"))) / 2
+    after = F.least(F.col("n_apart") - F.col("place"), F.col("other.n_apart") - F.col("other.place"))
+    other = index.select("cluster", "element", F.struct("node", "size", "own", "n_apart", "place").alias("other"))
     # The index side is the smaller one, so it stands for ``other`` once turned round.
-    met = mixed.join(other, ["cluster", "element"]).where((F.col("own") != F.col("other.own")) & near & ~smaller)
+    may_be = (F.col("own") != F.col("other.own")) & near & ~smaller & (after + 1 >= shared - 1e-9)
+    met = mixed.join(other, ["cluster", "element"]).where(may_be)
     return met.select(F.least("node", "other.node").alias("a"), F.greatest("node", "other.node").alias("b")).where("a <> b").distinct()
 
 

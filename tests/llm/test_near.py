@@ -122,3 +122,21 @@ def test_no_table_between_the_steps_is_left(spark):
     near.one_of_each(docs).count()
     new = (set(glob.glob(f"{folder}/near-*")) | set(glob.glob(f"{folder}/stars-*"))) - before
     assert len([n for n in new if "near-signatures" not in n]) <= 3  # results of components that others still read
+
+
+def test_candidates_of_groups_just_below_the_similarity(spark, monkeypatch):
+    """Texts that share few words of their differences with the hub are not compared."""
+    texts = fringe_texts(n=400)
+    met = []
+    plain = near._rest
+
+    def counted(apart, similarity, scratch):
+        found = plain(apart, similarity, scratch)
+        met.append(found.count())
+        return found
+
+    monkeypatch.setattr(near, "_rest", counted)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    kept = sorted(r["doc_id"] for r in near.one_of_each(docs).collect())
+    assert kept == brute_first(texts)
+    assert sum(met) < 8 * len(texts)
