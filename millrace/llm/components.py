@@ -11,7 +11,7 @@ from millrace.session import remove
 MAX_ROUNDS = 200
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, left: list | None = None) -> DataFrame:
     """``node, root`` for every node of ``edges(a, b)``; ``root`` is the smallest node reached.
 
     Alternating stars: the large star hangs the larger neighbours of a node
@@ -19,6 +19,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     The edges of a node are only ever reduced to a minimum, so a node with very
     many edges needs no large group. Each round is written to the shared folder in
     place of the one before; the rounds grow with the logarithm of the longest path.
+    ``left`` gets the session and path of the last, for a caller that is done with it.
     """
     spark = edges.sparkSession
 
@@ -38,6 +39,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
             F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")),
         ).first()
         if state == last:
+            if left is not None:
+                left.append((spark, path))
             return _rooted(links)
         last = state
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")

@@ -1,16 +1,20 @@
-"""Near copies: texts that share ``SIMILARITY`` of their shingles, found by MinHash, checked exactly.
+"""Near copies: texts that share ``SIMILARITY`` of their shingles, found by SimHash and MinHash, checked exactly.
 
 Two texts are alike when the Jaccard similarity of their sets of ``WORDS``-word
 shingles is ``SIMILARITY`` or more; a text of fewer words is one shingle. Near
 copies are the connected components of that relation.
 
-A SimHash radius does not find them: texts at 0.8 differ by about 7 of 64 bits,
-and by over 10 often. Blocks for such a radius have five bits or fewer, so
-each shard would be a large part of the table.
+The method is that of ``simhash``: fingerprints (of ``WORDS``-word shingles), links within
+its radius by BK-trees, connected components. Its links are checked exactly on the shingles;
+texts with one fingerprint are checked against the first of them.
 
-A text has ``BANDS`` bands of ``ROWS`` minima over its shingles' hashes. Two texts at
+That radius leaves copies apart: texts at 0.8 differ by about 7 of 64 bits, and by over 10
+often, and blocks for such a radius have five bits or fewer, so each shard would be a
+large part of the table. So what BK-trees have not connected is searched further, by
+MinHash. A text has ``BANDS`` bands of ``ROWS`` minima over its shingles' hashes. Two texts at
 0.8 share no band with a chance of (1 - 0.8 ** 4) ** 32, under one in ten million.
-What shares one is compared in two passes, each checking the shingles exactly:
+Bands with texts that are not connected yet are compared in two passes, each checking the
+shingles exactly:
 
 * every text with the hub of each of its bands, one comparison for a band;
 * bands that are not connected by that make clusters with a hub each, the text in most
@@ -41,6 +45,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.llm import simhash
 from millrace.llm.common import appended, clean_text, materialize, shared_dir, slices, text_bytes
 from millrace.llm.components import connected_components
 from millrace.llm.simhash import row_name
@@ -56,19 +61,12 @@ _CHUNK = 1 << 10  # shingles whose minima are taken at a time
 
 def shingle_hashes(text: bytes, words: int = WORDS) -> np.ndarray:
     """Different hashes of a text's shingles, sorted."""
-    from xxhash import xxh64_intdigest
+    return _different(simhash.shingle_hashes(text, words))
+
 
-    tokens = text.lower().split()
-    line = b" ".join(tokens)
-    if len(tokens) <= words:
-        return np.array([xxh64_intdigest(line, SEED)], dtype=np.uint64)
-    starts, at = [], 0
-    for token in tokens:
-        starts.append(at)
-        at += len(token) + 1
-    ends = [*starts[words:], at]
-    hashes = [xxh64_intdigest(line[i : j - 1], SEED) for i, j in zip(starts, ends, strict=False)]
-    return np.unique(np.array(hashes, dtype=np.uint64))
+def _different(hashes: np.ndarray) -> np.ndarray:
+    """Sorted, each once; a text without words is one shingle too."""
+    return np.unique(hashes) if len(hashes) else np.zeros(1, dtype=np.uint64)
 
 
 def _bands():
@@ -93,18 +91,24 @@ def _bands():
 
 
 def _signed(rows: DataFrame, words: int) -> DataFrame:
-    """Number of shingles and bands in place of the text."""
+    """Number of shingles, fingerprint and bands in place of the text."""
 
     def work():
         of = _bands()
 
         def act(texts):
-            found = [shingle_hashes(t, words) for t in texts]
-            return [len(h) for h in found], [of(h) for h in found]
+            every = [simhash.shingle_hashes(t, words) for t in texts]
+            found = [_different(h) for h in every]
+            prints = np.array([simhash.majority(h) for h in every], dtype=np.uint64).astype(np.int64)
+            return [len(h) for h in found], prints, [of(h) for h in found]
 
         return act
 
-    added = [T.StructField("size", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))]
+    added = [
+        T.StructField("size", T.LongType()),
+        T.StructField("simhash", T.LongType()),
+        T.StructField("bands", T.ArrayType(T.LongType())),
+    ]
     return appended(rows, "text", added, work, without=["text"])
 
 
@@ -166,9 +170,9 @@ class _Scratch:
         self.paths.clear()
 
 
-def _connected(nodes: DataFrame, links: DataFrame) -> DataFrame:
+def _connected(nodes: DataFrame, links: DataFrame, scratch: _Scratch) -> DataFrame:
     """``nodes`` with the ``root`` that the links give them, else their own name."""
-    roots = connected_components(links)
+    roots = connected_components(links, scratch.paths)
     return nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
@@ -226,24 +230,47 @@ def _rest(apart: DataFrame, similarity: float, scratch: _Scratch) -> DataFrame:
     return met.select(F.least("node", "other.node").alias("a"), F.greatest("node", "other.node").alias("b")).where("a <> b").distinct()
 
 
+def _by_fingerprint(signed: DataFrame, similarity: float, scratch: _Scratch) -> DataFrame:
+    """Pairs to check: links of BK-trees, and texts with the first text of their fingerprint."""
+    nodes = scratch.keep(signed.select("node", "size", "simhash").distinct(), "near-prints")
+    first = scratch.keep(nodes.groupBy("simhash").agg(F.min(F.struct("node", "size")).alias("first")), "near-firsts")
+    same = nodes.join(first, "simhash").select(F.struct("node", "size").alias("x"), F.col("first").alias("y"))
+    close = simhash.links(first.select("simhash"), keep=scratch.keep)
+    for side, name in (("a", "x"), ("b", "y")):
+        close = close.join(first.select(F.col("simhash").alias(side), F.col("first").alias(name)), side)
+    both = same.unionByName(close.select("x", "y")).where("x.node <> y.node")
+    fits = F.least("x.size", "y.size") / F.greatest("x.size", "y.size") >= similarity
+    pairs = both.where(fits).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    return scratch.keep(pairs, "near-fingerprints")
+
+
 def roots(rows: DataFrame, signed: DataFrame, similarity: float = SIMILARITY, words: int = WORDS) -> DataFrame:
     """``node, root`` of every node with a near copy; ``rows`` has the texts of ``signed``."""
     scratch = _Scratch()
+    within = _by_fingerprint(signed, similarity, scratch)
     wide = signed.select("node", "size", F.explode("bands").alias("band")).distinct()
     hubs = wide.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "size")).alias("hub"))
     members = scratch.keep(wide.join(hubs.where("n > 1").select("band", "hub"), "band"), "near-members")
-    texts = rows.select("node", "text").join(members.select("node").distinct(), "node", "left_semi")
+    ends = within.select(F.explode(F.array("a", "b")).alias("node"))
+    texts = rows.select("node", "text").join(members.select("node").union(ends).distinct(), "node", "left_semi")
     sets = scratch.keep(_as_sets(texts.dropDuplicates(["node"]), words), "near-sets")
 
+    printed = scratch.keep(_alike(within, sets, similarity), "near-printed")
+    known = scratch.keep(_connected(members, printed, scratch), "near-known")
+    hub_root = F.max(F.when(F.col("node") == F.col("hub.node"), F.col("root"))).alias("hub_root")
+    state = known.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"), hub_root)
+    open_bands = scratch.keep(known.join(state.where("x <> y").select("band", "hub_root"), "band"), "near-open-bands")
+    members = open_bands.drop("root", "hub_root")
+
     close = F.least("size", "hub.size") / F.greatest("size", "hub.size") >= similarity
-    met = members.where((F.col("node") != F.col("hub.node")) & close)
+    met = open_bands.where((F.col("root") != F.col("hub_root")) & close)
     pairs = met.select(F.col("node").alias("a"), F.col("hub.node").alias("b")).distinct()
-    links = scratch.keep(_alike(pairs, sets, similarity), "near-links")
+    links = scratch.keep(_alike(pairs, sets, similarity).unionByName(printed), "near-links")
 
-    rooted = scratch.keep(_connected(members, links), "near-rooted")
+    rooted = scratch.keep(_connected(members, links, scratch), "near-rooted")
     state = rooted.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y"))
     left = scratch.keep(rooted.join(state.where("x <> y").select("band"), "band", "left_semi"), "near-left")
-    clusters = connected_components(left.select(F.col("node").alias("a"), F.col("hub.node").alias("b")))
+    clusters = connected_components(left.select(F.col("node").alias("a"), F.col("hub.node").alias("b")), scratch.paths)
     weight = left.groupBy("node").agg(F.count(F.lit(1)).alias("bands"), F.first("root").alias("root"))
     weight = scratch.keep(weight.join(clusters.withColumnRenamed("root", "cluster"), "node"), "near-clusters")
     chosen = weight.groupBy("cluster").agg(F.max(F.struct("bands", "node")).alias("hub"))

@@ -22,6 +22,8 @@ NULL, or NULL when there is none.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,31 +41,38 @@ SHARD_SIZE = 512
 _CHUNK = 1 << 16  # shingles whose bits are counted at a time
 
 
-def fingerprint(text: bytes, words: int = WORDS) -> int:
-    """64 bits: each is 1 if it is set in over half the shingle hashes of the text."""
+def shingle_hashes(text: bytes, words: int = WORDS) -> np.ndarray:
+    """The hash of every shingle, repeats included; none without words."""
     from xxhash import xxh64_intdigest
 
     tokens = text.lower().split()
-    if not tokens:
-        return 0
+    line = b" ".join(tokens)
     if len(tokens) <= words:
-        hashes = [xxh64_intdigest(b" ".join(tokens), SEED)]
-    else:
-        line = b" ".join(tokens)
-        starts, at = [], 0
-        for token in tokens:
-            starts.append(at)
-            at += len(token) + 1
-        ends = [*starts[words:], at]
-        hashes = [xxh64_intdigest(line[i : j - 1], SEED) for i, j in zip(starts, ends, strict=False)]
+        return np.array([xxh64_intdigest(line, SEED)] if tokens else [], dtype=np.uint64)
+    starts, at = [], 0
+    for token in tokens:
+        starts.append(at)
+        at += len(token) + 1
+    ends = [*starts[words:], at]
+    hashes = [xxh64_intdigest(line[i : j - 1], SEED) for i, j in zip(starts, ends, strict=False)]
+    return np.array(hashes, dtype=np.uint64)
+
+
+def majority(hashes: np.ndarray) -> int:
+    """64 bits: each is 1 if it is set in over half the hashes."""
     counts = np.zeros(BITS, dtype=np.int64)
-    packed = np.array(hashes, dtype=">u8")
+    packed = hashes.astype(">u8")
     for i in range(0, len(packed), _CHUNK):
         part = packed[i : i + _CHUNK].view(np.uint8).reshape(-1, 8)
         counts += np.unpackbits(part, axis=1).sum(axis=0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * counts > len(packed)).tobytes(), "big")
 
 
+def fingerprint(text: bytes, words: int = WORDS) -> int:
+    """64 bits: each is 1 if it is set in over half the shingle hashes of the text."""
+    return majority(shingle_hashes(text, words))
+
+
 def fingerprints(df: DataFrame, text: str = "text", words: int = WORDS) -> DataFrame:
     """Add ``simhash``, the fingerprint as a signed 64-bit integer."""
 
@@ -189,10 +198,12 @@ def _tree_tasks(radius: int):
     return run
 
 
-def links(prints: DataFrame, radius: int = RADIUS, shard_size: int = SHARD_SIZE) -> DataFrame:
+def links(
+    prints: DataFrame, radius: int = RADIUS, shard_size: int = SHARD_SIZE, keep: Callable = materialize
+) -> DataFrame:
     """``a, b``: links that connect all fingerprints within ``radius`` of each other.
 
-    ``prints`` has one column ``simhash`` of different values.
+    ``prints`` has one column ``simhash`` of different values. ``keep`` stores a table under a label.
     """
     found = None
     # (bits still free, rows, text that names the shard so far)
@@ -219,7 +230,7 @@ def links(prints: DataFrame, radius: int = RADIUS, shard_size: int = SHARD_SIZE)
             ).select("simhash", "at.block", "at.part")
             counts = wide.groupBy("block", "part").agg(F.count(F.lit(1)).alias("n"))
             shared = counts.where("n > 1")
-            sized = materialize(wide.join(shared, ["block", "part"]), "shards")
+            sized = keep(wide.join(shared, ["block", "part"]), "shards")
             small = (
                 sized.where(F.col("n") <= shard_size)
                 .repartition("block", "part")

@@ -124,6 +124,34 @@ def test_no_table_between_the_steps_is_left(spark):
     assert len([n for n in new if "near-signatures" not in n]) <= 3  # results of components that others still read
 
 
+def test_fingerprints_and_trees_link_what_shares_no_band(spark, monkeypatch):
+    """The stage's links within two bits come from ``simhash``, checked on the shingles."""
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(9000)}" for _ in range(3000)]
+    texts = [" ".join(base), " ".join([*base, "end"]), " ".join(["start", *base]), "one two", "three four"]
+    seen = []
+    plain = near.simhash.links
+
+    def counted(prints, *args, **named):
+        seen.append(prints.count())
+        return plain(prints, *args, **named)
+
+    def alone():
+        numbers = iter(range(10**6))
+        return lambda hashes: [hash((next(numbers), hashes.tobytes())) >> 1]
+
+    monkeypatch.setattr(near.simhash, "links", counted)
+    monkeypatch.setattr(near, "_bands", alone)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    prints = [near.simhash.fingerprint(t.encode(), 5) for t in texts]
+    assert max((prints[0] ^ p).bit_count() for p in prints[1:3]) <= 2
+    assert sorted(r["doc_id"] for r in corpus_pipeline.unlike(spark, docs, "").collect()) == [0, 3, 4]
+    assert len(seen) == 1 and seen[0] >= 3
+    # One fingerprint for all: none is taken for a copy unless its shingles say so.
+    monkeypatch.setattr(near.simhash, "majority", lambda hashes: 5)
+    assert sorted(r["doc_id"] for r in corpus_pipeline.unlike(spark, docs, "").collect()) == [0, 3, 4]
+
+
 def test_candidates_of_groups_just_below_the_similarity(spark, monkeypatch):
     """Texts that share few words of their differences with the hub are not compared."""
     texts = fringe_texts(n=400)
