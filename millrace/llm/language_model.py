@@ -1,17 +1,30 @@
 """Hierarchical Pitman-Yor language model: training, Gibbs seating and scoring.
 
 Tokens are words (ASCII letters in lower case, cut at ASCII white space) and one
-end for each text. The restaurant of a token is named by what comes before it:
-the last three bytes of the previous word, hashed to ``CONTEXTS`` names. It
-shares a parent with all restaurants of the same last byte (``PARENTS`` of
-them), those share the restaurant of all tokens, and that one serves every known
-word and "unknown" alike. No count is cut off: rare words and contexts take part.
-
-Words are spread over parts by their hash. Everything a part needs about its
-words is in it: how often each follows each context (at most ``CONTEXTS`` rows a
-word, however common it is), its tables on all three levels, and the places it
-is asked for. Only the number of tables and customers of each restaurant is
-common to all parts, a fixed small table that is summed by Spark after a sweep.
+end for each text. The restaurant of a token is the whole word before it (the end of
+the text before stands before a text's first word). Its parents have ever shorter
+endings of that word: all words with the same last three bytes, hashed to ``CONTEXTS``
+names, then those with the same last byte (``PARENTS``), then all tokens; that one
+serves every known word and "unknown" alike. No count is cut off: rare words and
+contexts take part, and there are as many restaurants as there are words.
+
+Pairs of a word and the one before it are spread over parts by the hash of the word. A
+part has the pairs' counts and tables, those of its words on all levels above, and the
+places it is asked for. A word with more than a part's share of all tokens is hot: its
+pairs are dealt over further parts, slices, by the word before, and its upper levels
+stay in its own part. So no part grows with a word. Which words are hot is told by
+``SAMPLE_BYTES`` of text and all long texts; it changes where pairs are, nothing else.
+
+What parts need of each other they are told once a sweep, in letters that Spark shuffles:
+
+* Customers and tables of a word's restaurant come from all parts. Parts send their
+  sums to books, each of which has a share of the words, and a book tells every part that
+  has the word the sums. Who has which words is stored once, in the order of the letters.
+  Customers are told once.
+* Slices send their tables by ending to the word's own part, and get its upper levels.
+* Totals of endings, parents and all tokens, a small table of fixed size, go through the driver.
+
+Parts and books are stored in buckets, so that joins move the letters only.
 
 In a sweep all customers of one dish in one restaurant leave and sit down again
 one by one: at a new table with probability in proportion to
@@ -19,14 +32,9 @@ one by one: at a new table with probability in proportion to
 dish's tables in proportion to ``customers - discount * tables``. Customers
 behind the first 64 of a dish come in groups of a sixteenth of those seated, as
 one binomial draw. New tables send customers to the parent, which seats them
-next. The restaurants' totals are those of the sweep before, so that parts are
-independent. Draws are seeded by part and sweep: a task that runs again, or a
-later sweep that repeats the earlier ones, finds the same seats.
-
-A word that makes up more than a part's share of a batch is hot in it. Its own
-part gets the batch's counts of the word in every context; its places go to
-another part, chosen by word and batch, and find their probabilities in a table
-of hot words by context once the model is there. So no part grows with a word.
+next. The restaurants' totals, and what slices and own parts know of each other, are
+those of the sweep before, so that parts are independent. Seats are stored after each
+sweep. Draws are seeded by part and sweep: a task that runs again finds the same seats.
 
 A text's score is the sum of the logarithms of probabilities averaged over the
 sweeps after ``BURN_IN``. Discounts follow from the numbers of dishes with one
@@ -40,8 +48,10 @@ nothing to learn from, every token is unknown and has probability one.
 from __future__ import annotations
 
 import math
+import uuid
 import zlib
-from dataclasses import dataclass
+from collections import Counter
+from dataclasses import dataclass, field, replace
 
 import numpy as np
 import pandas as pd
@@ -49,40 +59,92 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import clean_text, materialize, slices, text_bytes
+from millrace.llm.common import clean_text, materialize, shared_dir, slices, text_bytes
+from millrace.session import remove
 
 CONTEXTS = 4096
 PARENTS = 32
 _CHILDREN = CONTEXTS // PARENTS
-SWEEPS = 3
+SWEEPS = 4
 BURN_IN = 1
-STRENGTH = (1.0, 1.0, 1.0)  # all tokens, parents, contexts
+STRENGTH = (1.0, 1.0, 1.0, 1.0)  # all tokens, parents, endings, words
 BATCH_TOKENS = 1_000_000
 BATCH_TEXTS = 60_000
 PART_BYTES = 4_000_000  # text for each part of the vocabulary
+PARTS_A_BOOK = 8
+PARTS_A_SUM = 64
+SAMPLE_BYTES = 16_000_000  # text that tells which words are hot
+LONG_TEXT = 1_000_000  # bytes from which a text always is in that sample
 HELD_BYTES = 32_000_000  # sums a task holds before it passes them on
 ONE_BY_ONE = 64
 SEED = 42
+_HASH_BITS = 52  # of a context's name; above them is the ending's
 
 _REQUEST = (
-    "part int, hot long, batch long, n_texts int, n_train int, words binary, spread binary, "
-    "context binary, place binary, n binary, ids binary, tokens binary"
+    "part int, hot long, home int, first int, batch long, n_texts int, n_train int, words binary, "
+    "spread binary, guests binary, uses binary, place binary, n binary, ids binary, tokens binary"
+)
+_STATIC = (
+    "part int, home int, first int, n_words long, spread binary, pairs binary, customers binary, "
+    "guests binary, hot_places binary, hot_routes binary"
 )
 _PART = (
-    "part int, hot long, n_words long, spread binary, context binary, customers binary, "
-    "hot_words binary, hot_places binary, "
-    "requests array<struct<batch:bigint,n_texts:int,words:binary,spread:binary,"
-    "context:binary,place:binary,n:binary,ids:binary,tokens:binary>>"
+    f"{_STATIC}, hot long, requests array<struct<batch:bigint,n_texts:int,pairs:binary,"
+    "uses:binary,place:binary,n:binary,ids:binary,tokens:binary>>"
 )
-_HOT = "hot long, is_known boolean, log_base double, chances binary"
+_LETTER = "part int, kind string, key long, payload binary"
 _PARTIAL = "batch long, ids binary, tokens binary, known binary, base binary, score binary"
 
 
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _packed(numbers) -> bytes:
+    """Whole numbers from zero on in as few bytes as the largest needs, byte by byte."""
+    values = np.asarray(numbers).astype("<i8")
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + values.view("u1").reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _numbers(value: bytes) -> np.ndarray:
+    planes = np.frombuffer(value, "u1", offset=1).reshape(value[0], -1)
+    found = np.zeros((planes.shape[1], 8), "u1")
+    found[:, : value[0]] = planes.T
+    return found.view("<i8").ravel()
+
+
+def _all(arrays) -> bytes:
+    """Several arrays, packed one by one."""
+    made = [_packed(x) for x in arrays]
+    return b"".join(len(x).to_bytes(8, "little") + x for x in made)
+
+
+def _each(value: bytes) -> list[np.ndarray]:
+    found, at = [], 0
+    while at < len(value):
+        size = int.from_bytes(value[at : at + 8], "little")
+        found.append(_numbers(value[at + 8 : at + 8 + size]))
+        at += 8 + size
+    return found
+
+
 def context_of(word: bytes) -> int:
-    """The restaurant's name behind a word; the parent's is ``name // _CHILDREN``."""
+    """The name of a word's ending; that of the parent is ``name // _CHILDREN``."""
     return (zlib.crc32(word[-1:]) % PARENTS) * _CHILDREN + zlib.crc32(word[-3:]) % _CHILDREN
 
 
+def _cuts(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values start."""
+    return np.flatnonzero(np.concatenate([np.ones(min(len(values), 1), bool), values[1:] != values[:-1]]))
+
+
+def _hash(word: bytes) -> int:
+    from xxhash import xxh64_intdigest
+
+    return xxh64_intdigest(word, SEED)
+
+
 class _Batch:
     """Texts of one task whose tokens travel together."""
 
@@ -103,72 +165,79 @@ class _Batch:
     def full(self) -> bool:
         return self.size >= BATCH_TOKENS or len(self.texts) >= BATCH_TEXTS
 
-    def requests(self, name: int, parts: int):
-        """For each part, its words and where they stand: contexts and texts."""
-        from xxhash import xxh64_intdigest
+    def requests(self, name: int, parts: int, hot: dict[int, tuple[int, int]]):
+        """For each part, its pairs of words and the texts they stand in.
 
+        ``hot`` has the first part and the number of slices by hash.
+        """
         texts = sorted(self.texts, key=lambda t: t[0])  # training texts first
         n_train = sum(not held for held, _, _ in texts)
-        hashes = np.array([xxh64_intdigest(w, SEED) for w in self.number], dtype=np.uint64)
-        contexts = np.array([context_of(w) for w in self.number], dtype=np.uint64)
+        hashes = np.array([_hash(w) for w in self.number], dtype=np.uint64)
+        endings = np.array([context_of(w) for w in self.number], dtype=np.uint64)
+        names = (endings << np.uint64(_HASH_BITS)) | (hashes >> np.uint64(64 - _HASH_BITS))
         line = np.concatenate([codes for _, _, codes in texts])
-        part = (hashes % np.uint64(parts)).astype(np.int64)
-        often = np.bincount(line, minlength=len(hashes)) > len(line) / parts
-        own_part = part.copy()
-        for i in np.flatnonzero(often):
-            part[i] = parts + (int(hashes[i]) + name) % parts
-        # Within a part, a hot word is a row of its own.
-        order = np.lexsort((hashes, part))
-        rank = np.empty(len(order), dtype=np.uint64)
-        rank[order] = np.arange(len(order), dtype=np.uint64)
+        home = (hashes % np.uint64(parts)).astype(np.int64)
+        often = np.flatnonzero(np.isin(hashes, np.array(list(hot), np.uint64)))
+        lot = home.copy()
+        lot[often] = parts + np.arange(len(often))  # hot words stand alone, behind the parts
+        order = np.lexsort((hashes, lot))
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
         before = np.concatenate([[0], line[:-1]])
-        place = np.repeat(np.arange(len(texts), dtype=np.uint64), [len(c) for _, _, c in texts])
-        key = (rank[line] << np.uint64(32)) | (contexts[before] << np.uint64(16)) | place
-        key, n = np.unique(key, return_counts=True)
-        ranks = (key >> np.uint64(32)).astype(np.int64)
-        context = ((key >> np.uint64(16)) & np.uint64(0xFFFF)).astype("<u2")
-        place = (key & np.uint64(0xFFFF)).astype("<u2")
-        first_of = np.flatnonzero(
-            np.concatenate([[True], (part[order][1:] != part[order][:-1]) | often[order][1:]])
-        )
+        place = np.repeat(np.arange(len(texts), dtype=np.int32), [len(c) for _, _, c in texts])
+        pair, place, n = _counted(rank[line] * len(order) + before, place, len(texts))
+        del line, before
+        starts = _cuts(pair)
+        uses = np.diff(np.append(starts, len(pair)))
+        word, guest = pair[starts] // len(order), names[pair[starts] % len(order)]
         ids = np.array([0 if i is None else i for _, i, _ in texts], "<i8")
         nulls = np.array([i is None for _, i, _ in texts], "u1")
         named = (ids.tobytes() + nulls.tobytes(), np.array([len(c) for _, _, c in texts], "<i8").tobytes())
-        for low, high in zip(first_of, [*first_of[1:], len(order)], strict=True):
-            a, b = np.searchsorted(ranks, [low, high])
-            if a == b:
-                continue
-            words = hashes[order[low:high]].astype("<u8")
-            is_hot = bool(often[order[low]])
-            _, spread = np.unique(ranks[a:b], return_counts=True)
-            yield (
-                int(part[order[low]]),
-                int(words.view("<i8")[0]) if is_hot else None,
-                name,
-                len(texts),
-                n_train,
-                words.tobytes(),
-                spread.astype("<u4").tobytes(),
-                context[a:b].tobytes(),
-                place[a:b].tobytes(),
-                n[a:b].astype("<u4").tobytes(),
-                *named,
-            )
-            named = (b"", b"")  # one row of each batch carries what names its texts
-            if is_hot:
-                train = place[a:b] < n_train
-                counts = np.bincount(context[a:b][train], n[a:b][train], CONTEXTS).astype("<i8")
-                seen = np.flatnonzero(counts)
-                counted = (np.array([len(seen)], "<u4"), seen.astype("<u2"), b"", counts[seen], b"", b"")
+        lots = lot[order][word]
+        firsts = _cuts(lots)
+        for low, high in zip(firsts, np.append(firsts[1:], len(word)), strict=True):
+            dealt = [(int(lots[low]), None, -1, -1, np.arange(low, high))]
+            if lots[low] >= parts:
+                at = order[word[low]]
+                first, count = hot[int(hashes[at])]
+                which = (guest[low:high] % np.uint64(count)).astype(np.int64)
+                by_slice = np.argsort(which, kind="stable")
+                cuts = _cuts(which[by_slice])
+                own = (int(hashes[at : at + 1].view(np.int64)[0]), int(home[at]), first)
+                dealt = [(first + int(which[s[0]]), *own, low + s) for s in np.split(by_slice, cuts[1:])]
+            for part, hash_of, own_part, first, chosen in dealt:
+                own_uses = uses[chosen]
+                ends = np.cumsum(own_uses)
+                entries = np.arange(ends[-1]) + np.repeat(starts[chosen] - ends + own_uses, own_uses)
+                own_words = word[chosen]
+                spread = np.diff(np.append(_cuts(own_words), len(own_words)))
                 yield (
-                    int(own_part[order[low]]),
-                    None,
+                    part,
+                    hash_of,
+                    own_part,
+                    first,
                     name,
-                    -1,
-                    0,
-                    words.tobytes(),
-                    *[x if isinstance(x, bytes) else x.tobytes() for x in counted],
+                    len(texts),
+                    n_train,
+                    hashes[order[own_words[_cuts(own_words)]]].astype("<u8").tobytes(),
+                    _packed(spread),
+                    guest[chosen].astype("<u8").tobytes(),
+                    _packed(own_uses),
+                    place[entries].astype("<u2").tobytes(),
+                    _packed(n[entries]),
+                    *named,
                 )
+                named = (b"", b"")  # one row of each batch carries what names its texts
+
+
+def _counted(pair: np.ndarray, place: np.ndarray, n_texts: int):
+    """Different pairs and places, sorted, and how often each occurs."""
+    pairs = None
+    if int(pair.max()) >= (1 << 62) // n_texts:
+        pairs, pair = np.unique(pair, return_inverse=True)
+    key, n = np.unique(pair * n_texts + place, return_counts=True)
+    found, place = np.divmod(key, n_texts)
+    return (found if pairs is None else pairs[found]), place.astype(np.int32), n.astype(np.int32)
 
 
 def _each_batch(batches):
@@ -187,67 +256,89 @@ def _each_batch(batches):
         yield name, batch
 
 
-def _requests(parts: int):
+def _requests(parts: int, hot: dict[int, tuple[int, int]]):
     def run(batches):
-        kinds = [pa.int32(), pa.int64(), pa.int64(), *[pa.int32()] * 2, *[pa.binary()] * 7]
-        names = [c.split()[0] for c in _REQUEST.split(", ")]
+        kinds = [pa.int32(), pa.int64(), *[pa.int32()] * 2, pa.int64(), *[pa.int32()] * 2, *[pa.binary()] * 8]
         for name, batch in _each_batch(batches):
-            columns = list(zip(*batch.requests(name, parts), strict=True))
+            columns = list(zip(*batch.requests(name, parts, hot), strict=True))
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays(arrays, names)
+            yield pa.RecordBatch.from_arrays(arrays, _names(_REQUEST))
 
     return run
 
 
-def _merged(frame: pd.DataFrame) -> pd.DataFrame:
-    """One part: how often its words follow each context, and where they are asked for."""
-    frame = frame.sort_values(["batch", "n_texts"])
-    made = []
-    for hot, own in frame.groupby("hot", dropna=False):
-        made.append(_merged_words(list(own.itertuples(index=False)), None if pd.isna(hot) else own["hot"].iloc[0]))
-    return pd.DataFrame(made)
+def _hot_words(rows: DataFrame, size: int, parts: int) -> dict[int, tuple[int, int]]:
+    """First part and number of slices of each word with more than a part's share of the tokens."""
+    every = max(1, math.ceil(size / SAMPLE_BYTES))
+    long = F.octet_length("content") > LONG_TEXT
+    chosen = rows.where(long | (F.pmod(F.xxhash64("doc_id", "content"), F.lit(every)) == 0))
+
+    def run(batches):
+        count = Counter()
+        for batch in slices(batches, "content"):
+            for value in batch.column("content"):
+                text = text_bytes(value)
+                weight = 1 if len(text) > LONG_TEXT else every
+                for word, n in Counter(text.lower().split()).items():
+                    count[word] += n * weight
+                count[b""] += weight
+        hashes = np.array([_hash(w) for w in count], dtype=np.uint64).view(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(list(count.values()), pa.int64())], ["word", "n"])
+
+    counts = materialize(chosen.select("content").mapInArrow(run, "word long, n long"), "lm-often")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    often = counts.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") * parts > total).collect()
+    found, first = {}, parts
+    for row in sorted(often):
+        count = math.ceil(row["n"] * parts / total)
+        found[row["word"] % (1 << 64)] = (first, count)
+        first += count
+    return found
 
 
-def _merged_words(rows: list, hot: int | None) -> dict:
-    words = np.unique(np.concatenate([np.frombuffer(r.words, "<u8") for r in rows]))
-    keys, counts, requests, hot_words = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], []
+def _merged(frame: pd.DataFrame) -> pd.DataFrame:
+    """One part: its pairs, how often they occur in training texts, and where they are asked for."""
+    rows = list(frame.sort_values(["batch", "n_texts"]).itertuples(index=False))
+    owned, rows = [r for r in rows if r.n_texts < 0], [r for r in rows if r.n_texts >= 0]
+    none = np.zeros(0, "<u8")
+    words = np.unique(np.concatenate([none, *[np.frombuffer(r.words, "<u8") for r in rows + owned]]))
+    guests = np.unique(np.concatenate([none, *[np.frombuffer(r.guests, "<u8") for r in rows]]))
+    keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for row in rows:
-        own = np.frombuffer(row.words, "<u8")
-        index = np.searchsorted(words, own).astype("<u4")
-        context, spread = np.frombuffer(row.context, "<u2"), np.frombuffer(row.spread, "<u4")
-        key = (np.repeat(index, spread).astype(np.int64) << 16) | context
-        if row.n_texts < 0:  # a batch's counts of a hot word
-            keys.append(key)
-            counts.append(np.frombuffer(row.n, "<i8"))
-            hot_words.append(own)
-            continue
-        if hot is None:
-            train = np.frombuffer(row.place, "<u2") < row.n_train
-            keys.append(key[train])
-            counts.append(np.frombuffer(row.n, "<u4")[train])
-        kept = {k: getattr(row, k) for k in ("spread", "context", "place", "n", "ids", "tokens")}
-        requests.append(
-            {"batch": row.batch, "n_texts": row.n_texts, "words": index.tobytes(), **kept}
-        )
+        word = np.repeat(np.searchsorted(words, np.frombuffer(row.words, "<u8")), _numbers(row.spread))
+        keys.append((word << 32) | np.searchsorted(guests, np.frombuffer(row.guests, "<u8")))
+        train = np.where(np.frombuffer(row.place, "<u2") < row.n_train, _numbers(row.n), 0)
+        uses = _numbers(row.uses)
+        counts.append(np.add.reduceat(train, np.cumsum(uses) - uses))
     key, which = np.unique(np.concatenate(keys), return_inverse=True)
-    customers = np.bincount(which, np.concatenate(counts), len(key))
-    hot_words = np.unique(np.concatenate([np.zeros(0, "<u8"), *hot_words]))
-    return {
-        "part": rows[0].part,
-        "hot": hot,
+    requests, at = [], 0
+    for row, own in zip(rows, keys[1:], strict=True):
+        kept = {k: getattr(row, k) for k in ("batch", "n_texts", "uses", "place", "n", "ids", "tokens")}
+        requests.append({"pairs": _packed(which[at : at + len(own)]), **kept})
+        at += len(own)
+    places = [int(np.searchsorted(words, np.frombuffer(r.words, "<u8"))[0]) for r in owned]
+    routes = {p: r.n for p, r in zip(places, owned, strict=True)}
+    one = rows[0] if rows else owned[0]
+    made = {
+        "part": one.part,
+        "home": one.home,
+        "first": one.first,
         "n_words": len(words),
-        "spread": np.bincount(key >> 16, minlength=len(words)).astype("<u4").tobytes(),
-        "context": (key & 0xFFFF).astype("<u2").tobytes(),
-        "customers": customers.astype("<i8").tobytes(),
-        "hot_words": hot_words.astype("<u8").tobytes(),
-        "hot_places": np.searchsorted(words, hot_words).astype("<u4").tobytes(),
+        "spread": _packed(np.bincount(key >> 32, minlength=len(words))),
+        "pairs": _packed(key & 0xFFFFFFFF),
+        "customers": _packed(np.bincount(which, np.concatenate(counts), len(key))),
+        "guests": guests.astype("<u8").tobytes(),
+        "hot_places": _packed(sorted(routes)),
+        "hot_routes": _packed([x for p in sorted(routes) for x in _numbers(routes[p])]),
+        "hot": None if one.home < 0 else int(one.hot),
         "requests": requests,
     }
+    return pd.DataFrame([made])
 
 
 @dataclass
 class Totals:
-    """Customers and tables of every restaurant, by level: all tokens, parents, contexts."""
+    """Customers and tables of every restaurant, by level: all tokens, parents, endings."""
 
     customers: tuple[np.ndarray, np.ndarray, np.ndarray]
     tables: tuple[np.ndarray, np.ndarray, np.ndarray]
@@ -255,12 +346,24 @@ class Totals:
 
 @dataclass
 class Model:
-    """What all parts share: sizes, discounts and the totals after each sweep."""
+    """What all parts share: sizes, discounts and the totals after each sweep.
+
+    ``held`` has the customers of words' restaurants for each part, ``stored`` the letters after
+    each sweep; both stay in Spark.
+    """
 
-    tokens: int
-    known_words: int
-    discount: tuple[float, float, float]
-    totals: list[Totals]
+    books: int
+    tokens: int = 0
+    known_words: int = 0
+    discount: tuple[float, ...] = (0.5,) * 4
+    totals: list[Totals] = field(default_factory=list)
+    held: DataFrame | None = None
+    stored: list[DataFrame] = field(default_factory=list)
+
+    def shared(self):
+        """A broadcast of what tasks need."""
+        context = self.held.sparkSession.sparkContext
+        return context.broadcast(replace(self, held=None, stored=[]))
 
 
 def seat(customers: np.ndarray, weight, parent: np.ndarray, rest, discount: float, rng):
@@ -292,19 +395,49 @@ def seat(customers: np.ndarray, weight, parent: np.ndarray, rest, discount: floa
 
 
 class Seats:
-    """The tables of one part's words on all levels."""
+    """The tables of one part's words on all levels.
+
+    In a slice there is one word; its upper levels are as its own part has told.
+    """
 
     def __init__(self, row) -> None:
-        self.part, self.n_words = int(row.part), int(row.n_words)
-        spread = np.frombuffer(row.spread, "<u4")
-        self.word = np.repeat(np.arange(self.n_words), spread)
-        self.context = np.frombuffer(row.context, "<u2").astype(np.int64)
-        self.cell = self.word * PARENTS + self.context // _CHILDREN
-        self.customers = np.frombuffer(row.customers, "<i8").astype(np.int64)
+        self.part, self.home, self.first = int(row.part), int(row.home), int(row.first)
+        self.is_slice, self.n_words = self.home >= 0, int(row.n_words)
+        self.word = np.repeat(np.arange(self.n_words), _numbers(row.spread))
+        self.guests, self.guest = np.frombuffer(row.guests, "<u8"), _numbers(row.pairs)
+        self.ending = (self.guests >> np.uint64(_HASH_BITS)).astype(np.int64)[self.guest]
+        self.pair_customers = _numbers(row.customers)
+        self.pair_tables = np.minimum(self.pair_customers, 1)
+        self.told = np.zeros((2, len(self.guests)))  # customers and tables of the words' restaurants
+        self.counts = np.bincount(self.word, self.pair_customers, self.n_words)
+        self.hot_places, routes = _numbers(row.hot_places), _numbers(row.hot_routes).reshape(-1, 2)
+        self.routes = {int(first): (i, int(count)) for i, (first, count) in enumerate(routes)}
+        hot = self.hot_places if not self.is_slice else np.zeros(1, np.int64)
+        dense = (hot[:, None] * CONTEXTS + np.arange(CONTEXTS)).ravel()
+        key = self.word * CONTEXTS + self.ending  # sorted, as names start with the ending
+        # Hot words have no pairs here but a cell for each ending, a slice has just these.
+        cells = dense if self.is_slice else np.sort(np.concatenate([key[_cuts(key)], dense]))
+        self.pair_cell = np.searchsorted(cells, key)
+        self.hot_cells = np.searchsorted(cells, dense)
+        self.hot_customers = np.zeros(len(dense), np.int64)
+        self.context = cells % CONTEXTS
+        self.cell = cells // CONTEXTS * PARENTS + self.context // _CHILDREN
+        self._first_tables()
+
+    def _first_tables(self) -> None:
+        self.customers = self._sent_up()
         self.tables = np.minimum(self.customers, 1)
-        self._upwards(None, None, None)
+        self._upwards(None, None)
 
-    def _upwards(self, seat_parents, seat_all, _):
+    def _sent_up(self) -> np.ndarray:
+        """Tables of words' restaurants as customers of endings."""
+        if self.is_slice:
+            return np.zeros(CONTEXTS, np.int64)
+        found = np.bincount(self.pair_cell, self.pair_tables, len(self.context)).astype(np.int64)
+        found[self.hot_cells] = self.hot_customers
+        return found
+
+    def _upwards(self, seat_parents, seat_all) -> None:
         """Tables become customers one level up; without a seating rule each dish has one table."""
         size = self.n_words * PARENTS
         self.parent_customers = np.bincount(self.cell, self.tables, size).astype(np.int64)
@@ -314,30 +447,100 @@ class Seats:
         known = np.minimum(self.word_customers, 1)
         self.word_tables = known if seat_all is None else seat_all(self.word_customers)
 
+    def take(self, *boxes) -> Seats:
+        """Continue with the letters written after a sweep, and those on customers."""
+        seats = None
+        for letter in (x for box in boxes if box is not None for x in box):
+            kind, key = letter["kind"], letter["key"]
+            if kind in ("held", "told"):  # customers, tables
+                self.told[int(kind == "told"), self._book(key)] = _numbers(letter["payload"])
+                continue
+            if kind == "seats":
+                seats = letter["payload"]
+                continue
+            found = _numbers(letter["payload"])
+            if kind == "slice":
+                at = self.routes[key][0]
+                self.hot_customers[at * CONTEXTS : (at + 1) * CONTEXTS] += found[:-1]
+                self.counts[self.hot_places[at]] += found[-1]
+            elif kind == "upper":
+                cuts = np.cumsum([1, 1, 1, PARENTS, PARENTS, CONTEXTS])
+                upper = np.split(found, cuts)
+                self.counts = upper[0].astype(float)
+                self.word_customers, self.word_tables = upper[1:3]
+                self.parent_customers, self.parent_tables, self.customers, self.tables = upper[3:]
+        if seats is None:
+            if not self.is_slice:
+                self._first_tables()
+            return self
+        self._seat_again(_each(seats))
+        return self
+
+    def _written(self) -> bytes:
+        """Tables of all dishes with two customers or more; others follow from the customers."""
+        levels = [(self.pair_tables, self.pair_customers)]
+        if not self.is_slice:
+            levels += [(self.tables, self.customers), (self.parent_tables, self.parent_customers)]
+            levels += [(self.word_tables, self.word_customers)]
+        hot = [] if self.is_slice else [self.customers[self.hot_cells]]
+        return _all([*hot, *[tables[customers > 1] for tables, customers in levels]])
+
+    def _seat_again(self, written: list[np.ndarray]) -> None:
+        def seated(tables):
+            def again(customers):
+                out = np.minimum(customers, 1)
+                out[customers > 1] = tables
+                return out
+
+            return again
+
+        hot = written.pop(0) if not self.is_slice else None
+        self.pair_tables = seated(written[0])(self.pair_customers)
+        if not self.is_slice:
+            self.customers = np.bincount(self.pair_cell, self.pair_tables, len(self.context)).astype(np.int64)
+            self.customers[self.hot_cells] = hot
+            self.tables = seated(written[1])(self.customers)
+            self._upwards(seated(written[2]), seated(written[3]))
+
+    def _book(self, number: int) -> np.ndarray:
+        """The part's words in a book, in the order of their letters."""
+        return self._books[1][self._books[0][number] : self._books[0][number + 1]]
+
+    def by_book(self, count: int) -> Seats:
+        self._books = _books(self.guests, count)
+        return self
+
     def sweep(self, model: Model, number: int) -> None:
         """Sweep ``number`` uses the totals after the one before."""
         rng = np.random.default_rng([SEED, self.part, number])
         totals, d = model.totals[number - 1], model.discount
         flat = 1 / (model.known_words + 1)
         of_word, of_cell = self.word_parents(model, totals)
-        rest = totals.tables[2][self.context] - self.tables
-        self.tables = seat(self.customers, STRENGTH[2], of_cell.ravel()[self.cell], rest, d[2], rng)
-        group = np.tile(np.arange(PARENTS), self.n_words)
-        old_parents, old_all = self.parent_tables, self.word_tables
-
-        def seat_parents(customers):
-            busy = np.flatnonzero(customers)
-            rest = (totals.tables[1][group] - old_parents)[busy]
-            parent = np.repeat(of_word, PARENTS)[busy]
-            out = np.zeros_like(customers)
-            out[busy] = seat(customers[busy], STRENGTH[1], parent, np.maximum(rest, 0), d[1], rng)
-            return out
-
-        def seat_all(customers):
-            rest = np.maximum(totals.tables[0][0] - old_all, 0)
-            return seat(customers, STRENGTH[0], np.full(self.n_words, flat), rest, d[0], rng)
-
-        self._upwards(seat_parents, seat_all, None)
+        of_cell = of_cell.ravel()[self.cell]
+        of_ending = self.of_endings(model, totals, of_cell)
+
+        def by_word(many):
+            rest = self.told[1][self.guest[many]] - self.pair_tables[many]
+            return of_ending[self.pair_cell[many]], rest
+
+        def by_ending(many):
+            return of_cell[many], totals.tables[2][self.context[many]] - self.tables[many]
+
+        def by_parent(many):
+            return of_word[many // PARENTS], totals.tables[1][many % PARENTS] - old_parents[many]
+
+        def by_all(many):
+            return np.full(len(many), flat), totals.tables[0][0] - old_all[many]
+
+        self.pair_tables = _seated(self.pair_customers, STRENGTH[3], by_word, d[3], rng)
+        if self.is_slice:
+            return
+        self.customers, old_parents, old_all = self._sent_up(), self.parent_tables, self.word_tables
+        self.tables = _seated(self.customers, STRENGTH[2], by_ending, d[2], rng)
+        self._upwards(
+            lambda customers: _seated(customers, STRENGTH[1], by_parent, d[1], rng),
+            lambda customers: _seated(customers, STRENGTH[0], by_all, d[0], rng),
+        )
 
     def word_parents(self, model: Model, totals: Totals) -> tuple[np.ndarray, np.ndarray]:
         """Probabilities in the restaurant of all tokens, and in every parent."""
@@ -350,92 +553,247 @@ class Seats:
         of_cell = of_cell + (STRENGTH[1] + d[1] * t[1]) * of_word[:, None]
         return of_word, of_cell / (STRENGTH[1] + c[1])
 
+    def of_endings(self, model: Model, totals: Totals, parent: np.ndarray | None = None) -> np.ndarray:
+        """Probabilities in the endings' restaurants, for each cell; ``parent`` has their parents'."""
+        d, c, t = model.discount[2], totals.customers[2][self.context], totals.tables[2][self.context]
+        if parent is None:
+            parent = self.word_parents(model, totals)[1].ravel()[self.cell]
+        return (self.customers - d * self.tables + (STRENGTH[2] + d * t) * parent) / (STRENGTH[2] + c)
+
+    def of_pairs(self, model: Model, totals: Totals) -> np.ndarray:
+        """Probabilities of the pairs' words behind the words before them."""
+        d, (c, t) = model.discount[3], self.told[:, self.guest]
+        parent = self.of_endings(model, totals)[self.pair_cell]
+        own = self.pair_customers - d * self.pair_tables
+        return (own + (STRENGTH[3] + d * t) * parent) / (STRENGTH[3] + c)
+
+    def letters(self, first: bool) -> list[tuple]:
+        """What other parts, and this one in the next sweep, have to know; ``_LETTER`` rows."""
+        found = [(self.part, "seats", 0, self._written()), (-1, "total", 0, _packed(self.totals()))]
+        if self.is_slice:
+            found.append(self.from_slice())
+        for start, (at, count) in self.routes.items():
+            payload = _packed(np.concatenate(self._upper(at)))
+            found += [(start + i, "upper", 0, payload) for i in range(count)]
+        for kind, values in (("customers", self.pair_customers), ("tables", self.pair_tables)):
+            if kind == "tables" or first:
+                sums = np.bincount(self.guest, values, len(self.guests))
+                own = [(i, self._book(i)) for i in range(len(self._books[0]) - 1)]
+                found += [(self.part, kind, i, _packed(sums[x])) for i, x in own if len(x)]
+        return found
+
+    def _upper(self, at: int) -> list[np.ndarray]:
+        place = int(self.hot_places[at])
+        cells = self.hot_cells[at * CONTEXTS : (at + 1) * CONTEXTS]
+        parents = slice(place * PARENTS, (place + 1) * PARENTS)
+        one = np.array([self.counts[place], self.word_customers[place], self.word_tables[place]])
+        return [one, self.parent_customers[parents], self.parent_tables[parents], self.customers[cells], self.tables[cells]]
+
+    def from_slice(self) -> tuple:
+        """A slice's tables by ending and number of tokens, for its word's own part."""
+        up = np.bincount(self.ending, self.pair_tables, CONTEXTS)
+        return (self.home, "slice", self.first, _packed(np.append(up, self.pair_customers.sum())))
+
     def totals(self) -> np.ndarray:
-        """Rows of restaurant, customers, tables: contexts, then parents, then all tokens."""
-        group = np.tile(np.arange(PARENTS), self.n_words)
-        name = np.arange(CONTEXTS + PARENTS + 1)
-        customers = np.concatenate(
-            [
-                np.bincount(self.context, self.customers, CONTEXTS),
-                np.bincount(group, self.parent_customers, PARENTS),
-                [self.word_customers.sum()],
-            ]
-        )
-        tables = np.concatenate(
-            [
-                np.bincount(self.context, self.tables, CONTEXTS),
-                np.bincount(group, self.parent_tables, PARENTS),
-                [self.word_tables.sum()],
-            ]
-        )
-        return np.stack([name, customers, tables], axis=1).astype(np.int64)
+        """Customers, then tables, of endings, parents and all tokens; behind each, sizes.
+
+        These are known words and tokens, then the numbers of dishes with one and with two
+        customers on each level.
+        """
+        levels = (self.word_customers, self.parent_customers, self.customers, self.pair_customers)
+        known = int((self.word_customers > 0).sum())
+        if self.is_slice:
+            levels, known = (np.zeros(0),) * 3 + (self.pair_customers,), 0
+        found = []
+        for size, of_all, of_parents, of_endings in (
+            (1, self.word_customers, self.parent_customers, self.customers),
+            (2, self.word_tables, self.parent_tables, self.tables),
+        ):
+            sums = np.zeros(CONTEXTS + PARENTS + 1)
+            if not self.is_slice:
+                sums[:CONTEXTS] = np.bincount(self.context, of_endings, CONTEXTS)
+                sums[CONTEXTS:-1] = of_parents.reshape(-1, PARENTS).sum(axis=0)
+                sums[-1] = of_all.sum()
+            more = [known if size == 1 else self.pair_customers.sum(), *[(x == size).sum() for x in levels]]
+            found += [sums, more]
+        return np.concatenate(found).astype(np.int64)
+
+
+def _seated(customers: np.ndarray, strength: float, above, discount: float, rng):
+    """Tables of all dishes; only those with two customers or more are left to chance.
+
+    ``above`` has their parents' probabilities and the restaurants' other tables.
+    """
+    tables = np.minimum(customers, 1)
+    many = np.flatnonzero(customers > 1)
+    parent, rest = above(many)
+    tables[many] = seat(customers[many], strength, parent, np.maximum(rest, 0), discount, rng)
+    return tables
+
 
-    def dishes(self, level: int, size: int) -> int:
-        """Dishes with so many customers, by level from all tokens to contexts."""
-        counts = (self.word_customers, self.parent_customers, self.customers)[level]
-        return int((counts == size).sum())
+def _books(guests: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where each book's words start, and their order."""
+    book = (guests % np.uint64(count)).astype(np.int64)
+    order = np.argsort(book, kind="stable")
+    return np.searchsorted(book[order], np.arange(count + 1)), order
 
 
-def _after(row, model: Model, sweeps: int) -> Seats:
-    seats = Seats(row)
-    for number in range(1, sweeps + 1):
-        seats.sweep(model, number)
-    return seats
+def _bucketed(df: DataFrame, label: str, count: int, key: str) -> DataFrame:
+    """``df`` stored in buckets, so that a join by ``key`` leaves it where it is."""
+    spark, name = df.sparkSession, f"{label.replace('-', '_')}_{uuid.uuid4().hex}"
+    df.write.bucketBy(count, key).option("path", shared_dir(spark, label)).saveAsTable(name)
+    found = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+    return found
 
 
-_TOTALS = "restaurant long, customers long, tables long"
-_PAIRS = ("part", "n_words", "spread", "context", "customers")
+def _stored(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    path = shared_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-def _summed(parts: DataFrame, of_part) -> dict[int, tuple[int, int]]:
-    """Totals over all parts; the rows to the driver are as many as there are restaurants."""
+def _book_index(frame: pd.DataFrame) -> pd.DataFrame:
+    """Which restaurant each entry of the parts' letters to a book is about."""
+    frame = frame.sort_values("part")
+    names = [np.frombuffer(x, "<u8") for x in frame["names"]]
+    found, index = np.unique(np.concatenate(names), return_inverse=True)
+    sizes = [len(x) for x in names]
+    made = (int(frame["book"].iloc[0]), len(found), _packed(frame["part"]), _packed(sizes), _packed(index))
+    return pd.DataFrame([made], columns=["book", "n", "parts", "sizes", "entries"])
+
+
+def _guests(parts: DataFrame, count: int) -> DataFrame:
+    """A row for each book: who has which of its words."""
+
+    def run(frames):
+        for frame in frames:
+            for part, value in frame.itertuples(index=False):
+                guests = np.frombuffer(value, "<u8")
+                starts, order = _books(guests, count)
+                rows = [(b, part, guests[order[starts[b] : starts[b + 1]]].tobytes()) for b in range(count)]
+                yield pd.DataFrame(rows, columns=["book", "part", "names"])
+
+    rows = parts.select("part", "guests").mapInPandas(run, "book int, part int, names binary")
+    rows = rows.where(F.octet_length("names") > 0).repartition(count, "book")
+    index = rows.groupBy("book").applyInPandas(
+        _book_index, "book int, n long, parts binary, sizes binary, entries binary"
+    )
+    return _bucketed(index, "lm-books", count, "book")
+
+
+def _tell(guests: DataFrame, letters: DataFrame, kind: str, answer: str) -> DataFrame:
+    """Sums of every word's restaurant, to all parts that have the word."""
 
     def run(frames):
         for frame in frames:
             for row in frame.itertuples(index=False):
-                found = of_part(row)
-                yield pd.DataFrame(found, columns=["restaurant", "customers", "tables"])
-
-    rows = parts.where("hot IS NULL").select(*_PAIRS).mapInPandas(run, _TOTALS).groupBy("restaurant")
-    found = rows.agg(F.sum("customers").alias("c"), F.sum("tables").alias("t")).collect()
-    return {r["restaurant"]: (r["c"], r["t"]) for r in found}
-
-
-def _as_totals(found: dict[int, tuple[int, int]]) -> Totals:
-    line = np.array([found.get(i, (0, 0)) for i in range(CONTEXTS + PARENTS + 1)], dtype=float)
-    levels = (line[CONTEXTS + PARENTS :], line[CONTEXTS:-1], line[:CONTEXTS])
-    return Totals(tuple(x[:, 0] for x in levels), tuple(x[:, 1] for x in levels))
-
-
-def fit(parts: DataFrame, sweeps: int = SWEEPS) -> Model:
-    """Seat all training tokens; ``parts`` is what ``prepared`` returns."""
-    more = CONTEXTS + PARENTS + 1  # further rows: counts for sizes and discounts
-
-    def first(row):
-        seats = Seats(row)
-        counts = [(more, int((seats.word_customers > 0).sum()), int(seats.customers.sum()))]
-        counts += [(more + 1 + i, seats.dishes(i, 1), seats.dishes(i, 2)) for i in range(3)]
-        return np.concatenate([seats.totals(), np.array(counts)])
-
-    found = _summed(parts, first)
-    known, tokens = found.get(more, (0, 0))
-    pairs = [found.get(more + 1 + i, (0, 0)) for i in range(3)]
-    discount = tuple(min(max(a / (a + 2 * b), 0.1), 0.95) if a + b else 0.5 for a, b in pairs)
-    model = Model(tokens, known, discount, [_as_totals(found)])
-    context = parts.sparkSession.sparkContext
-    for number in range(1, sweeps + 1):
-        shared = context.broadcast(model)
-        totals = _summed(parts, lambda row, s=shared, k=number: _after(row, s.value, k).totals())
-        model.totals.append(_as_totals(totals))
+                sent = {m["part"]: m["payload"] for m in row.sent}
+                parts, entries = _numbers(row.parts).tolist(), _numbers(row.entries)
+                values = np.concatenate([_numbers(sent[p]) for p in parts])
+                sums = np.bincount(entries, values, row.n).astype(np.int64)[entries]
+                ends = np.cumsum(_numbers(row.sizes))
+                own = zip(parts, np.append(0, ends[:-1]), ends, strict=True)
+                rows = [(p, answer, row.book, _packed(sums[a:b])) for p, a, b in own]
+                yield pd.DataFrame(rows, columns=_names(_LETTER))
+
+    sent = letters.where(F.col("kind") == kind).groupBy(F.col("key").cast("int").alias("book"))
+    sent = sent.agg(F.collect_list(F.struct("part", "payload")).alias("sent"))
+    return guests.join(sent.hint("shuffle_hash"), "book").mapInPandas(run, _LETTER)
+
+
+_TO_PARTS = "kind NOT IN ('total', 'customers', 'tables')"
+
+
+def _with_letters(parts: DataFrame, *letters: DataFrame) -> DataFrame:
+    """Parts with the letters to them after one or several sweeps."""
+    found = None
+    for number, rows in enumerate(letters):
+        rows = rows.where(_TO_PARTS).select("part", F.lit(number).alias("sweep"), "kind", "key", "payload")
+        found = rows if found is None else found.unionByName(rows)
+    inbox = found.groupBy("part").agg(F.collect_list(F.struct("sweep", "kind", "key", "payload")).alias("inbox"))
+    return parts.join(inbox.hint("shuffle_hash"), "part", "left")
+
+
+def _summed(letters: DataFrame, parts: int) -> tuple[Totals, np.ndarray, np.ndarray]:
+    """Totals and sizes over all parts; the driver gets a row of fixed size for many parts."""
+
+    def run(frames):
+        total = None
+        for frame in frames:
+            for payload in frame["payload"]:
+                found = _numbers(payload)
+                total = found if total is None else total + found
+        if total is not None:
+            yield pd.DataFrame({"payload": [_packed(total)]})
+
+    rows = letters.where("kind = 'total'").select("payload")
+    rows = rows.repartition(math.ceil(parts / PARTS_A_SUM) or 1).mapInPandas(run, "payload binary").collect()
+    size = CONTEXTS + PARENTS + 1
+    line = np.zeros((2, size + 5))
+    for row in rows:
+        line += _numbers(row["payload"]).reshape(2, -1)
+    levels = (line[:, size - 1 : size], line[:, CONTEXTS : size - 1], line[:, :CONTEXTS])
+    totals = Totals(tuple(x[0] for x in levels), tuple(x[1] for x in levels))
+    return totals, line[0, size:].astype(np.int64), line[1, size:].astype(np.int64)
+
+
+def fit(parts: DataFrame, sweeps: int = SWEEPS, keep_from: int = 0) -> Model:
+    """Seat all training tokens; ``parts`` is what ``prepared`` returns.
+
+    What is stored after sweeps before ``keep_from`` is removed.
+    """
+    count = parts.count()
+    books = max(1, math.ceil(count / PARTS_A_BOOK))
+    model, static = Model(books, held=parts), parts.select(*_names(_STATIC))
+    guests = _guests(parts, books)
+
+    def slices_first(frames):
+        for frame in frames:
+            rows = [Seats(row).from_slice() for row in frame.itertuples(index=False)]
+            yield pd.DataFrame(rows, columns=_names(_LETTER))
+
+    letters, paths = static.where("home >= 0").mapInPandas(slices_first, _LETTER), []
+    for number in range(sweeps + 1):
+        shared = model.shared()
+
+        def step(frames, shared=shared, number=number):
+            model = shared.value
+            for frame in frames:
+                for row in frame.itertuples(index=False):
+                    seats = Seats(row).by_book(model.books).take(row.held if number else None, row.inbox)
+                    if number:
+                        seats.sweep(model, number)
+                    yield pd.DataFrame(seats.letters(not number), columns=_names(_LETTER))
+
+        after, path = _stored(_with_letters(static, letters).mapInPandas(step, _LETTER), "lm-letters")
+        told, also = _stored(_tell(guests, after, "tables", "told"), "lm-told")
+        totals, ones, twos = _summed(after, count)
+        model.totals.append(totals)
+        if not number:
+            model.known_words, model.tokens = int(ones[0]), int(twos[0])
+            pairs = zip(ones[1:].tolist(), twos[1:].tolist(), strict=True)
+            model.discount = tuple(
+                min(max(a / (a + 2 * b), 0.1), 0.95) if a + b else 0.5 for a, b in pairs
+            )
+            held = _tell(guests, after, "customers", "held").groupBy("part")
+            held = held.agg(F.collect_list(F.struct("kind", "key", "payload")).alias("held"))
+            model.held = _bucketed(held, "lm-held", max(1, count), "part")
+            static = static.join(model.held.hint("shuffle_hash"), "part", "left")
+        if 0 < number <= keep_from:
+            for old in paths.pop():
+                remove(parts.sparkSession, old)
+        letters = after.unionByName(told)
+        model.stored.append(letters)
+        paths.append((path, also))
     return model
 
 
-def _asked(row):
-    """Each request of a part with its entries: number of the word and context."""
-    for request in row.requests:
-        spread = np.frombuffer(request["spread"], "<u4")
-        word = np.repeat(np.frombuffer(request["words"], "<u4").astype(np.int32), spread)
-        yield request, word, np.frombuffer(request["context"], "<u2")
+def _after(row, model: Model, number: int) -> Seats:
+    """The seats of a part after a sweep."""
+    own = F.col("part") == int(row.part)
+    held = [m for r in model.held.where(own).collect() for m in r["held"]]
+    return Seats(row).by_book(model.books).take(held, model.stored[number].where(own).where(_TO_PARTS).collect())
 
 
 class Answers:
@@ -447,13 +805,13 @@ class Answers:
         self.size = 0
 
     def add(self, request, known, base, chance) -> None:
-        place, n = np.frombuffer(request["place"], "<u2"), np.frombuffer(request["n"], "<u4")
         size, batch = request["n_texts"], request["batch"]
         if request["tokens"]:
             self.names[batch] = (request["ids"], request["tokens"])
         if batch not in self.sums:
             self.sums[batch] = np.zeros((3, size))
             self.size += 24 * size
+        place, n = np.frombuffer(request["place"], "<u2"), _numbers(request["n"])
         sums = self.sums[batch]
         for i, values in enumerate((known, base, np.log10(chance))):
             sums[i] += np.bincount(place, n * values, size)
@@ -475,76 +833,19 @@ class Answers:
         return pd.DataFrame(rows, columns=[c.split()[0] for c in _PARTIAL.split(", ")])
 
 
-def _word_sums(seats: Seats, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each word is known, and its logarithm in the simple model."""
-    counts = np.bincount(seats.word, seats.customers, seats.n_words)
-    return counts > 0, np.log10((counts + 1) / (model.tokens + model.known_words + 1))
-
-
-def _answer(row, model: Model, sweeps: int, burn_in: int, answers: Answers) -> None:
+def _answer(row, model: Model, numbers: list[int], answers: Answers) -> None:
     """Log probabilities of everything a part is asked for, summed by text."""
-    seats = Seats(row)
-    pairs = (seats.word << 16) | seats.context
-    asked = []
-    for request, word, context in _asked(row):
-        key = (word.astype(np.int64) << 16) | context
-        at = np.minimum(np.searchsorted(pairs, key), max(len(pairs) - 1, 0)).astype(np.int32)
-        at[pairs[at] != key if len(pairs) else slice(None)] = -1
-        asked.append((request, word, context, at, np.zeros(len(word))))
-    for number in range(1, sweeps + 1):
-        seats.sweep(model, number)
-        if number <= burn_in:
-            continue
-        own, back, of_cell = _chances(seats, model, number)
-        for _, word, context, at, mean in asked:
-            mean += back[context] * of_cell[word, context // _CHILDREN]
-            hit = np.flatnonzero(at >= 0)
-            mean[hit] += own[at[hit]]
-    known, base = _word_sums(seats, model)
-    for request, word, _, _, mean in asked:
-        answers.add(request, known[word], base[word], mean / (sweeps - burn_in))
-
-
-def _chances(seats: Seats, model: Model, number: int):
-    """After a sweep: the restaurant's own share by pair, the parent's weight, its probabilities."""
-    totals, d = model.totals[number], model.discount[2]
-    guests = STRENGTH[2] + totals.customers[2]
-    own = (seats.customers - d * seats.tables) / guests[seats.context]
-    return own, (STRENGTH[2] + d * totals.tables[2]) / guests, seats.word_parents(model, totals)[1]
-
-
-def _hot_table(row, model: Model, sweeps: int, burn_in: int):
-    """Mean probability of a part's hot words in every context."""
-    seats = Seats(row)
-    places = np.frombuffer(row.hot_places, "<u4")
-    means = np.zeros((len(places), CONTEXTS))
-    group = np.arange(CONTEXTS) // _CHILDREN
-    for number in range(1, sweeps + 1):
-        seats.sweep(model, number)
-        if number <= burn_in:
-            continue
-        own, back, of_cell = _chances(seats, model, number)
-        means += back * of_cell[places][:, group]
-        for i, place in enumerate(places):
-            a, b = np.searchsorted(seats.word, [place, place + 1])
-            means[i, seats.context[a:b]] += own[a:b]
-    known, base = _word_sums(seats, model)
-    return pd.DataFrame(
-        {
-            "hot": np.frombuffer(row.hot_words, "<i8"),
-            "is_known": known[places],
-            "log_base": base[places],
-            "chances": [(m / (sweeps - burn_in)).astype("<f8").tobytes() for m in means],
-        }
-    )
-
-
-def _hot_answer(row, answers: Answers) -> None:
-    """Answers for a hot word's places, from its table."""
-    chances = np.frombuffer(row.chances, "<f8")
-    for request, word, context in _asked(row):
-        ones = np.ones(len(word))
-        answers.add(request, ones * row.is_known, ones * row.log_base, chances[context])
+    mean = 0.0
+    for i, number in enumerate(numbers):
+        inbox = [m for m in row.inbox if m["sweep"] == i]
+        seats = Seats(row).by_book(model.books).take(row.held, inbox)
+        mean = mean + seats.of_pairs(model, model.totals[number])
+    mean = mean / len(numbers)
+    known = (seats.counts > 0)[seats.word]
+    base = np.log10((seats.counts + 1) / (model.tokens + model.known_words + 1))[seats.word]
+    for request in row.requests:
+        pair = np.repeat(_numbers(request["pairs"]), _numbers(request["uses"]))
+        answers.add(request, known[pair], base[pair], mean[pair])
 
 
 def _texts(frame: pd.DataFrame) -> pd.DataFrame:
@@ -583,9 +884,17 @@ def prepared(df: DataFrame, held_out, text: str = "text", doc_id: str = "doc_id"
     )
     size = df.agg(F.sum(F.octet_length(value))).first()[0] or 0
     count = max(1, math.ceil(size / PART_BYTES))
-    asked = rows.mapInArrow(_requests(count), _REQUEST)
-    merged = asked.repartition(2 * count, "part").groupBy("part").applyInPandas(_merged, _PART)
-    return materialize(merged, "lm-parts")
+    hot = _hot_words(rows, size, count)
+    # A hot word's own part has to know of its slices.
+    told = [
+        (h % count, None, -1, -1, -1, -1, 0, h.to_bytes(8, "little"), *[b""] * 4, _packed(route), b"", b"")
+        for h, route in hot.items()
+    ]
+    asked = rows.mapInArrow(_requests(count, hot), _REQUEST)
+    asked = asked.unionByName(df.sparkSession.createDataFrame(told, _REQUEST)) if told else asked
+    total = count + sum(n for _, n in hot.values())
+    merged = asked.repartition(total, "part").groupBy("part").applyInPandas(_merged, _PART)
+    return _bucketed(merged, "lm-parts", total, "part")
 
 
 def held_out_rows(doc_id: str = "doc_id", folds: int = 7, fold: int = 2):
@@ -605,37 +914,22 @@ def score(
     ``perplexity`` is that of the text's tokens under the model.
     """
     parts = prepared(df, held_out_rows(doc_id), text, doc_id)
-    model = fit(parts, sweeps)
-    shared = df.sparkSession.sparkContext.broadcast(model)
-
-    def answering(act):
-        def run(frames):
-            answers = Answers()
-            for frame in frames:
-                for row in frame.itertuples(index=False):
-                    act(row, answers)
-                    if answers.size > HELD_BYTES:
-                        yield answers.taken()
-            yield answers.taken()
-
-        return run
-
-    def answer(row, answers):
-        _answer(row, shared.value, sweeps, burn_in, answers)
+    model = fit(parts, sweeps, burn_in + 1)
+    shared = model.shared()
+    numbers = list(range(burn_in + 1, sweeps + 1))
 
-    def hot_tables(frames):
+    def answering(frames):
+        answers = Answers()
         for frame in frames:
             for row in frame.itertuples(index=False):
-                yield _hot_table(row, shared.value, sweeps, burn_in)
-
-    own = parts.where("hot IS NULL")
-    partial = own.where(F.size("requests") > 0).mapInPandas(answering(answer), _PARTIAL)
-    hot = parts.where("hot IS NOT NULL").select("hot", "requests")
-    if not hot.isEmpty():
-        some = own.where(F.octet_length("hot_words") > 0).drop("requests")
-        table = materialize(some.mapInPandas(hot_tables, _HOT), "lm-hot-words")
-        asked = hot.join(table, "hot").mapInPandas(answering(_hot_answer), _PARTIAL)
-        partial = partial.unionByName(asked)
+                _answer(row, shared.value, numbers, answers)
+                if answers.size > HELD_BYTES:
+                    yield answers.taken()
+        yield answers.taken()
+
+    asked = parts.where(F.size("requests") > 0).drop("hot").join(model.held.hint("shuffle_hash"), "part", "left")
+    told = _with_letters(asked, *[model.stored[i] for i in numbers])
+    partial = told.mapInPandas(answering, _PARTIAL)
     texts = partial.groupBy("batch").applyInPandas(
         _texts, "doc_id long, n_tokens long, n_known long, base_score double, score double"
     )

@@ -217,3 +217,46 @@ def test_seating_follows_the_restaurant_process():
         expected += (strength + discount * expected) / (strength + n)
     assert abs(tables.mean() - expected) < 0.15
     assert lm.seat(np.array([0, 1, 5]), 1.0, np.full(3, 0.1), np.zeros(3), 0.5, rng).tolist()[:2] == [0, 1]
+
+
+def test_whole_words_name_the_contexts(spark):
+    """Words with one ending that different words follow."""
+    rows = [(i, " ".join(["walking alone", "talking aloud"][(i + k) % 2] for k in range(8))) for i in range(60)]
+    asked = ["walking alone " * 4, "walking aloud " * 4, "talking aloud " * 4, "talking alone " * 4]
+    assert lm.context_of(b"walking") == lm.context_of(b"talking")
+    names = [i for i in range(2000, 3000) if held_out(i)][:4]
+    rows += zip(names, asked)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    score = dict(lm.score(docs).select("doc_id", "score").collect())
+    right, wrong, also_right, also_wrong = (score[i] for i in names)
+    assert right > wrong + 2 and also_right > also_wrong + 2
+
+
+def test_totals_of_words_and_slices(spark, small_batches):
+    """Every part knows the sums of all parts; slices have their word's upper levels."""
+    docs = spark.createDataFrame(lm_rows(), "doc_id long, text string").coalesce(2)
+    parts = lm.prepared(docs, lm.held_out_rows())
+    model = lm.fit(parts, 2)
+    every = [lm._after(row, model, 2) for row in parts.toPandas().itertuples(index=False)]
+    sums, count = {}, Counter()
+    for seats in every:
+        for name, c, t in zip(seats.guests[seats.guest], seats.pair_customers, seats.pair_tables):
+            assert min(c, 1) <= t <= c
+            sums[name] = sums.get(name, np.zeros(2)) + (c, t)
+    for seats in every:
+        assert all((seats.told[:, i] == sums[name]).all() for i, name in enumerate(seats.guests))
+        assert (seats.of_pairs(model, model.totals[2]) > 0).all()
+    for i, text in lm_rows():
+        line = tokens_of(text)
+        if not held_out(i):
+            count.update(zip([None, *line], line))
+    wanted = sum(n for (_, w), n in count.items() if w == b"hot")
+    sliced = [s for s in every if s.is_slice]
+    own = [s for s in every if len(s.hot_places)]
+    assert len(sliced) > 1 and own
+    assert wanted in {int(s.counts[0]) for s in sliced}
+    for seats in sliced:
+        home = next(s for s in own if s.part == seats.home and seats.first in s.routes)
+        upper = home.of_endings(model, model.totals[2])[home.hot_cells].reshape(-1, lm.CONTEXTS)
+        assert np.allclose(seats.of_endings(model, model.totals[2]), upper[home.routes[seats.first][0]])
+    assert sum(int(s.pair_customers.sum()) for s in every) == sum(count.values()) == model.tokens
