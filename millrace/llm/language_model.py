@@ -421,7 +421,9 @@ class Seats:
         self.hot_cells = np.searchsorted(cells, dense)
         self.hot_customers = np.zeros(len(dense), np.int64)
         self.context = cells % CONTEXTS
-        self.cell = cells // CONTEXTS * PARENTS + self.context // _CHILDREN
+        parent = cells // _CHILDREN  # of a word: sorted as well
+        self.parents = parent[_cuts(parent)]
+        self.cell = np.searchsorted(self.parents, parent)
         self._first_tables()
 
     def _first_tables(self) -> None:
@@ -439,11 +441,11 @@ class Seats:
 
     def _upwards(self, seat_parents, seat_all) -> None:
         """Tables become customers one level up; without a seating rule each dish has one table."""
-        size = self.n_words * PARENTS
-        self.parent_customers = np.bincount(self.cell, self.tables, size).astype(np.int64)
+        self.parent_customers = np.bincount(self.cell, self.tables, len(self.parents)).astype(np.int64)
         known = np.minimum(self.parent_customers, 1)
         self.parent_tables = known if seat_parents is None else seat_parents(self.parent_customers)
-        self.word_customers = self.parent_tables.reshape(-1, PARENTS).sum(axis=1)
+        sums = np.bincount(self.parents // PARENTS, self.parent_tables, self.n_words)
+        self.word_customers = sums.astype(np.int64)
         known = np.minimum(self.word_customers, 1)
         self.word_tables = known if seat_all is None else seat_all(self.word_customers)
 
@@ -515,8 +517,8 @@ class Seats:
         rng = np.random.default_rng([SEED, self.part, number])
         totals, d = model.totals[number - 1], model.discount
         flat = 1 / (model.known_words + 1)
-        of_word, of_cell = self.word_parents(model, totals)
-        of_cell = of_cell.ravel()[self.cell]
+        of_word = self.of_words(model, totals)
+        of_cell = self.of_parents(model, totals, of_word)[self.cell]
         of_ending = self.of_endings(model, totals, of_cell)
 
         def by_word(many):
@@ -527,7 +529,8 @@ class Seats:
             return of_cell[many], totals.tables[2][self.context[many]] - self.tables[many]
 
         def by_parent(many):
-            return of_word[many // PARENTS], totals.tables[1][many % PARENTS] - old_parents[many]
+            word, group = np.divmod(self.parents[many], PARENTS)
+            return of_word[word], totals.tables[1][group] - old_parents[many]
 
         def by_all(many):
             return np.full(len(many), flat), totals.tables[0][0] - old_all[many]
@@ -542,22 +545,32 @@ class Seats:
             lambda customers: _seated(customers, STRENGTH[0], by_all, d[0], rng),
         )
 
+    def of_words(self, model: Model, totals: Totals) -> np.ndarray:
+        """Probabilities in the restaurant of all tokens."""
+        d, c, t = model.discount[0], totals.customers[0][0], totals.tables[0][0]
+        own = self.word_customers - d * self.word_tables
+        return (own + (STRENGTH[0] + d * t) / (model.known_words + 1)) / (STRENGTH[0] + c)
+
+    def of_parents(self, model: Model, totals: Totals, of_word: np.ndarray) -> np.ndarray:
+        """Probabilities in the parents that have the words."""
+        word, group = np.divmod(self.parents, PARENTS)
+        d, c, t = model.discount[1], totals.customers[1][group], totals.tables[1][group]
+        own = self.parent_customers - d * self.parent_tables
+        return (own + (STRENGTH[1] + d * t) * of_word[word]) / (STRENGTH[1] + c)
+
     def word_parents(self, model: Model, totals: Totals) -> tuple[np.ndarray, np.ndarray]:
         """Probabilities in the restaurant of all tokens, and in every parent."""
-        d, c, t = model.discount, totals.customers, totals.tables
-        flat = 1 / (model.known_words + 1)
-        of_word = self.word_customers - d[0] * self.word_tables
-        of_word = of_word + (STRENGTH[0] + d[0] * t[0][0]) * flat
-        of_word = of_word / (STRENGTH[0] + c[0][0])
-        of_cell = (self.parent_customers - d[1] * self.parent_tables).reshape(-1, PARENTS)
-        of_cell = of_cell + (STRENGTH[1] + d[1] * t[1]) * of_word[:, None]
-        return of_word, of_cell / (STRENGTH[1] + c[1])
+        d, c, t = model.discount[1], totals.customers[1], totals.tables[1]
+        of_word = self.of_words(model, totals)
+        found = np.outer(of_word, (STRENGTH[1] + d * t) / (STRENGTH[1] + c))
+        found.ravel()[self.parents] = self.of_parents(model, totals, of_word)
+        return of_word, found
 
     def of_endings(self, model: Model, totals: Totals, parent: np.ndarray | None = None) -> np.ndarray:
         """Probabilities in the endings' restaurants, for each cell; ``parent`` has their parents'."""
         d, c, t = model.discount[2], totals.customers[2][self.context], totals.tables[2][self.context]
         if parent is None:
-            parent = self.word_parents(model, totals)[1].ravel()[self.cell]
+            parent = self.of_parents(model, totals, self.of_words(model, totals))[self.cell]
         return (self.customers - d * self.tables + (STRENGTH[2] + d * t) * parent) / (STRENGTH[2] + c)
 
     def of_pairs(self, model: Model, totals: Totals) -> np.ndarray:
@@ -585,7 +598,7 @@ class Seats:
     def _upper(self, at: int) -> list[np.ndarray]:
         place = int(self.hot_places[at])
         cells = self.hot_cells[at * CONTEXTS : (at + 1) * CONTEXTS]
-        parents = slice(place * PARENTS, (place + 1) * PARENTS)
+        parents = slice(self.cell[cells[0]], self.cell[cells[0]] + PARENTS)
         one = np.array([self.counts[place], self.word_customers[place], self.word_tables[place]])
         return [one, self.parent_customers[parents], self.parent_tables[parents], self.customers[cells], self.tables[cells]]
 
@@ -612,7 +625,7 @@ class Seats:
             sums = np.zeros(CONTEXTS + PARENTS + 1)
             if not self.is_slice:
                 sums[:CONTEXTS] = np.bincount(self.context, of_endings, CONTEXTS)
-                sums[CONTEXTS:-1] = of_parents.reshape(-1, PARENTS).sum(axis=0)
+                sums[CONTEXTS:-1] = np.bincount(self.parents % PARENTS, of_parents, PARENTS)
                 sums[-1] = of_all.sum()
             more = [known if size == 1 else self.pair_customers.sum(), *[(x == size).sum() for x in levels]]
             found += [sums, more]
@@ -783,7 +796,7 @@ def fit(parts: DataFrame, sweeps: int = SWEEPS, keep_from: int = 0) -> Model:
         if 0 < number <= keep_from:
             for old in paths.pop():
                 remove(parts.sparkSession, old)
-        letters = after.unionByName(told)
+        letters = after.where(_TO_PARTS).unionByName(told)
         model.stored.append(letters)
         paths.append((path, also))
     return model
@@ -839,10 +852,11 @@ def _answer(row, model: Model, numbers: list[int], answers: Answers) -> None:
     for i, number in enumerate(numbers):
         inbox = [m for m in row.inbox if m["sweep"] == i]
         seats = Seats(row).by_book(model.books).take(row.held, inbox)
-        mean = mean + seats.of_pairs(model, model.totals[number])
-    mean = mean / len(numbers)
-    known = (seats.counts > 0)[seats.word]
-    base = np.log10((seats.counts + 1) / (model.tokens + model.known_words + 1))[seats.word]
+        mean = mean + seats.of_pairs(model, model.totals[number]) / len(numbers)
+        word, counts = seats.word, seats.counts
+        del seats, inbox
+    known = (counts > 0)[word]
+    base = np.log10((counts + 1) / (model.tokens + model.known_words + 1))[word]
     for request in row.requests:
         pair = np.repeat(_numbers(request["pairs"]), _numbers(request["uses"]))
         answers.add(request, known[pair], base[pair], mean[pair])
