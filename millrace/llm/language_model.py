@@ -846,8 +846,19 @@ class Answers:
         return pd.DataFrame(rows, columns=[c.split()[0] for c in _PARTIAL.split(", ")])
 
 
-def _answer(row, model: Model, numbers: list[int], answers: Answers) -> None:
-    """Log probabilities of everything a part is asked for, summed by text."""
+def _answered(frames, model: Model, numbers: list[int]):
+    """Answers of a task's parts; sums beyond ``HELD_BYTES`` and one batch are not held."""
+    answers = Answers()
+    for frame in frames:
+        for row in frame.itertuples(index=False):
+            for _ in _answer(row, model, numbers, answers):
+                if answers.size > HELD_BYTES:
+                    yield answers.taken()
+    yield answers.taken()
+
+
+def _answer(row, model: Model, numbers: list[int], answers: Answers):
+    """Log probabilities of everything a part is asked for, summed by text; a step for each batch."""
     mean = 0.0
     for i, number in enumerate(numbers):
         inbox = [m for m in row.inbox if m["sweep"] == i]
@@ -860,6 +871,7 @@ def _answer(row, model: Model, numbers: list[int], answers: Answers) -> None:
     for request in row.requests:
         pair = np.repeat(_numbers(request["pairs"]), _numbers(request["uses"]))
         answers.add(request, known[pair], base[pair], mean[pair])
+        yield
 
 
 def _texts(frame: pd.DataFrame) -> pd.DataFrame:
@@ -933,13 +945,7 @@ def score(
     numbers = list(range(burn_in + 1, sweeps + 1))
 
     def answering(frames):
-        answers = Answers()
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                _answer(row, shared.value, numbers, answers)
-                if answers.size > HELD_BYTES:
-                    yield answers.taken()
-        yield answers.taken()
+        return _answered(frames, shared.value, numbers)
 
     asked = parts.where(F.size("requests") > 0).drop("hot").join(model.held.hint("shuffle_hash"), "part", "left")
     told = _with_letters(asked, *[model.stored[i] for i in numbers])

@@ -260,3 +260,26 @@ def test_totals_of_words_and_slices(spark, small_batches):
         upper = home.of_endings(model, model.totals[2])[home.hot_cells].reshape(-1, lm.CONTEXTS)
         assert np.allclose(seats.of_endings(model, model.totals[2]), upper[home.routes[seats.first][0]])
     assert sum(int(s.pair_customers.sum()) for s in every) == sum(count.values()) == model.tokens
+
+
+def test_answers_are_passed_on_within_a_part(spark, small_batches, monkeypatch):
+    """A part that many batches ask does not hold sums for all their texts."""
+    docs = spark.createDataFrame(lm_rows(), "doc_id long, text string").repartition(6, "doc_id")
+    parts = lm.prepared(docs, lm.held_out_rows())
+    model = lm.fit(parts, 1)
+    rows = lm._with_letters(parts.drop("hot").join(model.held, "part", "left"), model.stored[1]).toPandas()
+
+    def sums(frames):
+        found, most = {}, 0
+        for frame in frames:
+            most = max(most, len(frame))
+            for batch, known, score in zip(frame["batch"], frame["known"], frame["score"]):
+                values = np.frombuffer(known, "<i4"), np.frombuffer(score, "<f8")
+                found[batch] = found.get(batch, 0) + np.stack(values)
+        return found, most
+
+    whole, most = sums(lm._answered([rows], model, [1]))
+    assert most == len(whole) > 3
+    monkeypatch.setattr(lm, "HELD_BYTES", 1)
+    dealt, most = sums(lm._answered([rows], model, [1]))
+    assert most == 1 and all(np.allclose(dealt[b], whole[b]) for b in whole)
