@@ -15,31 +15,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import bpe, decontaminate, exact, near, quality
-from millrace.llm.common import materialize, table
+from millrace.llm.common import materialize, small_batches, table
 from millrace.llm.queries import vocabulary
 
 ORACLE_SQL = None  # SQL expresses none of the trained, hashed and approximate stages
 
 
 def accepted(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    return quality.good_rows(docs)
+    return quality.good_rows(small_batches(docs))
 
 
 def different(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    return exact.without_copies(docs)
+    return exact.without_copies(small_batches(docs))
 
 
 def unlike(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    return near.one_of_each(docs)
+    return near.one_of_each(small_batches(docs))
 
 
 def untainted(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    return decontaminate.without_matches(docs, table(spark, folder, "benchmark"))
+    return decontaminate.without_matches(small_batches(docs), table(spark, folder, "benchmark"))
 
 
 def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Ids, number of tokens and decoded text of every document that is left."""
-    return bpe.round_trip(docs.select("doc_id", "text"), vocabulary())
+    return bpe.round_trip(small_batches(docs).select("doc_id", "text"), vocabulary())
 
 
 STAGES = [

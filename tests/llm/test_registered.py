@@ -1,9 +1,11 @@
 """The registered queries on the smallest tables."""
 
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as contract
 import corpus_pipeline
+from millrace.llm.common import BATCH_BYTES
 from millrace.llm.queries import REGISTRY, SQL
 from test_dedup import brute_components, plain_fingerprint
 from workload.check import _rows, connect
@@ -78,3 +80,19 @@ def test_pipeline_stages(spark):
         else:
             assert made.columns == columns
             before = corpus_pipeline.materialize(made, f"test-{name}")
+
+
+def test_stages_hand_small_batches_to_workers(spark):
+    """Workers get about BATCH_BYTES of text at a time, however many rows that is."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    session = spark.newSession()
+    texts = session.range(0, 400, 1, 1).selectExpr("id AS doc_id", "repeat(concat('word ', id, ' '), 10000) AS text")
+    held = lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches)
+    for _, stage in corpus_pipeline.STAGES:
+        session.conf.unset(name)
+        stage(session, session.read.parquet(f"{FOLDER}/documents.parquet").limit(20), FOLDER)
+        sizes = [r["n"] for r in texts.mapInArrow(held, "n long").collect()]
+        assert len(sizes) > 1 and max(sizes) < 1.1 * BATCH_BYTES
+    session.conf.set(name, "1m")
+    corpus_pipeline.accepted(session, texts, FOLDER)
+    assert session.conf.get(name) == "1m"
