@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -250,15 +251,21 @@ def replicate(
     replicate_documents(spark, documents, collection, table)
 
 
-def replicate_all(spark: SparkSession, root: str, database: str | None = None) -> None:
-    """Replicate the five collections; their jobs share the cluster at the same time.
+def at_once(spark: SparkSession, work: Callable[[SparkSession, Collection], Any]) -> dict[str, Any]:
+    """What ``work`` returns for each of the five collections; their jobs share the cluster at the same time.
 
     Each has a session of its own, so that none meets the settings of another.
     """
+    with ThreadPoolExecutor(len(COLLECTIONS)) as pool:
+        found = pool.map(lambda c: work(own_session(spark), c), COLLECTIONS.values())
+        return dict(zip(COLLECTIONS, found, strict=True))
+
 
-    def one(collection: Collection) -> None:
+def replicate_all(spark: SparkSession, root: str, database: str | None = None) -> None:
+    """Replicate the five collections, all at the same time."""
+
+    def one(session: SparkSession, collection: Collection) -> None:
         table = collection.table.in_database(database) if database else None
-        replicate(own_session(spark), root, collection, table)
+        replicate(session, root, collection, table)
 
-    with ThreadPoolExecutor(len(COLLECTIONS)) as pool:
-        list(pool.map(one, COLLECTIONS.values()))
+    at_once(spark, one)

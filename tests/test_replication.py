@@ -1,10 +1,12 @@
 import datetime as dt
 import glob
 import json
+import threading
 from dataclasses import replace
 
 import pytest
 
+import __spark_entry__ as contract
 from millrace.plans import replication
 from millrace.plans.marts import ACTIVITY, SUPPORT, build_marts
 from millrace.plans.replication import COLLECTIONS, replicate, transform
@@ -255,3 +257,17 @@ def test_written_collections_are_compressed_and_cut(spark, monkeypatch):
         queries.all_collections_replicated_twice(spark, "/root/testdata/sf0.001")
     files = seen.value.args[0]
     assert len(files) > 5 and all(name.endswith(".json.gz") and n <= 30 for name, n in files)
+
+
+def test_collections_upserted_share_the_cluster(spark, monkeypatch):
+    """No collection's loads wait for those of another one."""
+    together, load = threading.Barrier(5), replication.replicate_documents
+
+    def when_all_are_there(*args):
+        together.wait(60)
+        load(*args)
+
+    monkeypatch.setattr(replication, "replicate_documents", when_all_are_there)
+    found = contract.queries()["replicated_collections_upserted"](spark, "/root/testdata/sf0.001").collect()
+    assert len(found) == 5
+    assert all(r["rows"] == r["created_kept"] == r["updated_moved"] > 0 for r in found)

@@ -518,16 +518,22 @@ def replicate_streamed_files(spark, folder):
 def replicated_collections_upserted(spark, folder):
     """All collections loaded twice: rows, and how many kept ``created_at`` and moved ``updated_at``."""
     database = inputs.scratch_database(spark)
+
+    def loaded_twice(session, collection):
+        """The folder with key and times of each row after the first load."""
+        documents = inputs.COLLECTION_DOCUMENTS[collection.name](session, folder)
+        spec = collection.table.in_database(database)
+        replication.replicate_documents(session, documents, collection, spec)
+        path = shared_dir(session, "first-load")
+        tb.read(session, spec).select(*spec.key, "created_at", "updated_at").write.parquet(path)
+        replication.replicate_documents(session, documents, collection, spec)
+        return path
+
     found = None
-    for name, documents in ((n, d(spark, folder)) for n, d in inputs.COLLECTION_DOCUMENTS.items()):
+    for name, path in replication.at_once(spark, loaded_twice).items():
         collection = replication.COLLECTIONS[name]
         spec = collection.table.in_database(database)
-        replication.replicate_documents(spark, documents, collection, spec)
-        first = tb.read(spark, spec).select(
-            *spec.key, F.col("created_at").alias("_made"), F.col("updated_at").alias("_changed")
-        )
-        first = materialize(first, "first-load")
-        replication.replicate_documents(spark, documents, collection, spec)
+        first = spark.read.parquet(path).withColumnsRenamed({"created_at": "_made", "updated_at": "_changed"})
         state = tb.read(spark, spec).join(first, list(spec.key)).select(
             F.lit(collection.name).alias("collection"),
             (F.col("created_at") == F.col("_made")).alias("kept"),
