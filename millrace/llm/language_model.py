@@ -15,6 +15,11 @@ pairs are dealt over further parts, slices, by the word before, and its upper le
 stay in its own part. So no part grows with a word. Which words are hot is told by
 ``SAMPLE_BYTES`` of text and all long texts; it changes where pairs are, nothing else.
 
+The places of pairs in texts stay in one row for each batch of texts, beside the parts. A
+part answers a batch with the probability of each pair it was asked for, and the batch adds
+them up by text. So answers grow with the pairs of the batches, not with parts times texts.
+Their decimal logarithms are sent in steps of ``1 / LOG_STEPS``.
+
 What parts need of each other they are told once a sweep, in letters that Spark shuffles:
 
 * Customers and tables of a word's restaurant come from all parts. Parts send their
@@ -76,13 +81,14 @@ PARTS_A_SUM = 64
 SAMPLE_BYTES = 16_000_000  # text that tells which words are hot
 LONG_TEXT = 1_000_000  # bytes from which a text always is in that sample
 HELD_BYTES = 32_000_000  # sums a task holds before it passes them on
+LOG_STEPS = 1 << 28  # of a decimal logarithm that is sent
 ONE_BY_ONE = 64
 SEED = 42
 _HASH_BITS = 52  # of a context's name; above them is the ending's
 
 _REQUEST = (
-    "part int, hot long, home int, first int, batch long, n_texts int, n_train int, words binary, "
-    "spread binary, guests binary, uses binary, place binary, n binary, ids binary, tokens binary"
+    "part int, hot long, home int, first int, batch long, n_texts int, words binary, spread binary, "
+    "guests binary, train binary, uses binary, place binary, n binary, ids binary, tokens binary"
 )
 _STATIC = (
     "part int, home int, first int, n_words long, spread binary, pairs binary, customers binary, "
@@ -90,10 +96,13 @@ _STATIC = (
 )
 _PART = (
     f"{_STATIC}, hot long, requests array<struct<batch:bigint,n_texts:int,pairs:binary,"
+    "uses:binary,place:binary,n:binary,ids:binary,tokens:binary>>, "
+    "kept array<struct<batch:bigint,n_texts:int,parts:binary,spread:binary,"
     "uses:binary,place:binary,n:binary,ids:binary,tokens:binary>>"
 )
 _LETTER = "part int, kind string, key long, payload binary"
 _PARTIAL = "batch long, ids binary, tokens binary, known binary, base binary, score binary"
+_ANSWER = "part int, batch long, source int, counts binary, chances binary"
 
 
 def _names(schema: str) -> list[str]:
@@ -165,10 +174,11 @@ class _Batch:
     def full(self) -> bool:
         return self.size >= BATCH_TOKENS or len(self.texts) >= BATCH_TEXTS
 
-    def requests(self, name: int, parts: int, hot: dict[int, tuple[int, int]]):
+    def requests(self, name: int, parts: int, hot: dict[int, tuple[int, int]], apart: bool):
         """For each part, its pairs of words and the texts they stand in.
 
-        ``hot`` has the first part and the number of slices by hash.
+        ``hot`` has the first part and the number of slices by hash. ``apart``: where the
+        pairs stand is left to one further row, which is the batch's own.
         """
         texts = sorted(self.texts, key=lambda t: t[0])  # training texts first
         n_train = sum(not held for held, _, _ in texts)
@@ -189,12 +199,13 @@ class _Batch:
         del line, before
         starts = _cuts(pair)
         uses = np.diff(np.append(starts, len(pair)))
+        train = np.add.reduceat(np.where(place < n_train, n, 0), starts)
         word, guest = pair[starts] // len(order), names[pair[starts] % len(order)]
         ids = np.array([0 if i is None else i for _, i, _ in texts], "<i8")
         nulls = np.array([i is None for _, i, _ in texts], "u1")
         named = (ids.tobytes() + nulls.tobytes(), np.array([len(c) for _, _, c in texts], "<i8").tobytes())
         lots = lot[order][word]
-        firsts = _cuts(lots)
+        firsts, kept = _cuts(lots), []
         for low, high in zip(firsts, np.append(firsts[1:], len(word)), strict=True):
             dealt = [(int(lots[low]), None, -1, -1, np.arange(low, high))]
             if lots[low] >= parts:
@@ -211,6 +222,11 @@ class _Batch:
                 entries = np.arange(ends[-1]) + np.repeat(starts[chosen] - ends + own_uses, own_uses)
                 own_words = word[chosen]
                 spread = np.diff(np.append(_cuts(own_words), len(own_words)))
+                where = (_packed(own_uses), place[entries].astype("<u2").tobytes(), _packed(n[entries]), *named)
+                if apart:
+                    kept.append((part, spread, own_uses, entries))
+                    where = (b"",) * 5
+                named = (b"", b"") if not apart else named  # one row of each batch carries what names its texts
                 yield (
                     part,
                     hash_of,
@@ -218,16 +234,36 @@ class _Batch:
                     first,
                     name,
                     len(texts),
-                    n_train,
                     hashes[order[own_words[_cuts(own_words)]]].astype("<u8").tobytes(),
                     _packed(spread),
                     guest[chosen].astype("<u8").tobytes(),
-                    _packed(own_uses),
-                    place[entries].astype("<u2").tobytes(),
-                    _packed(n[entries]),
-                    *named,
+                    _packed(train[chosen]),
+                    *where,
                 )
-                named = (b"", b"")  # one row of each batch carries what names its texts
+        if apart:
+            asked, spread, uses, entries = zip(*kept, strict=True)
+            entries = np.concatenate(entries)
+            yield (
+                _home(name),
+                None,
+                -1,
+                -1,
+                name,
+                len(texts),
+                _packed(asked),
+                _packed(np.concatenate(spread)),
+                b"",
+                b"",
+                _packed(np.concatenate(uses)),
+                place[entries].astype("<u2").tobytes(),
+                _packed(n[entries]),
+                *named,
+            )
+
+
+def _home(batch: int) -> int:
+    """The number of the row that keeps a batch's places, where parts have theirs; below zero."""
+    return -1 - _hash(batch.to_bytes(8, "little")) % (1 << 31)
 
 
 def _counted(pair: np.ndarray, place: np.ndarray, n_texts: int):
@@ -256,11 +292,11 @@ def _each_batch(batches):
         yield name, batch
 
 
-def _requests(parts: int, hot: dict[int, tuple[int, int]]):
+def _requests(parts: int, hot: dict[int, tuple[int, int]], apart: bool):
     def run(batches):
-        kinds = [pa.int32(), pa.int64(), *[pa.int32()] * 2, pa.int64(), *[pa.int32()] * 2, *[pa.binary()] * 8]
+        kinds = [pa.int32(), pa.int64(), *[pa.int32()] * 2, pa.int64(), pa.int32(), *[pa.binary()] * 9]
         for name, batch in _each_batch(batches):
-            columns = list(zip(*batch.requests(name, parts, hot), strict=True))
+            columns = list(zip(*batch.requests(name, parts, hot, apart), strict=True))
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, _names(_REQUEST))
 
@@ -297,7 +333,12 @@ def _hot_words(rows: DataFrame, size: int, parts: int) -> dict[int, tuple[int, i
 
 
 def _merged(frame: pd.DataFrame) -> pd.DataFrame:
-    """One part: its pairs, how often they occur in training texts, and where they are asked for."""
+    """One part: its pairs, how often they occur in training texts, and where they are asked for.
+
+    Or what a batch keeps, as it came.
+    """
+    if frame["part"].iloc[0] < 0:
+        return _kept(frame)
     rows = list(frame.sort_values(["batch", "n_texts"]).itertuples(index=False))
     owned, rows = [r for r in rows if r.n_texts < 0], [r for r in rows if r.n_texts >= 0]
     none = np.zeros(0, "<u8")
@@ -307,9 +348,7 @@ def _merged(frame: pd.DataFrame) -> pd.DataFrame:
     for row in rows:
         word = np.repeat(np.searchsorted(words, np.frombuffer(row.words, "<u8")), _numbers(row.spread))
         keys.append((word << 32) | np.searchsorted(guests, np.frombuffer(row.guests, "<u8")))
-        train = np.where(np.frombuffer(row.place, "<u2") < row.n_train, _numbers(row.n), 0)
-        uses = _numbers(row.uses)
-        counts.append(np.add.reduceat(train, np.cumsum(uses) - uses))
+        counts.append(_numbers(row.train))
     key, which = np.unique(np.concatenate(keys), return_inverse=True)
     requests, at = [], 0
     for row, own in zip(rows, keys[1:], strict=True):
@@ -332,10 +371,19 @@ def _merged(frame: pd.DataFrame) -> pd.DataFrame:
         "hot_routes": _packed([x for p in sorted(routes) for x in _numbers(routes[p])]),
         "hot": None if one.home < 0 else int(one.hot),
         "requests": requests,
+        "kept": [],
     }
     return pd.DataFrame([made])
 
 
+def _kept(frame: pd.DataFrame) -> pd.DataFrame:
+    names = ["batch", "n_texts", "spread", "uses", "place", "n", "ids", "tokens"]
+    kept = [{k: getattr(r, k) for k in names} | {"parts": r.words} for r in frame.itertuples(index=False)]
+    made = dict.fromkeys(_names(_PART.partition(", requests")[0]), None)
+    made |= {"part": frame["part"].iloc[0], "requests": [], "kept": kept}
+    return pd.DataFrame([made])
+
+
 @dataclass
 class Totals:
     """Customers and tables of every restaurant, by level: all tokens, parents, endings."""
@@ -654,7 +702,8 @@ def _books(guests: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
 def _bucketed(df: DataFrame, label: str, count: int, key: str) -> DataFrame:
     """``df`` stored in buckets, so that a join by ``key`` leaves it where it is."""
     spark, name = df.sparkSession, f"{label.replace('-', '_')}_{uuid.uuid4().hex}"
-    df.write.bucketBy(count, key).option("path", shared_dir(spark, label)).saveAsTable(name)
+    rows = df.write.bucketBy(count, key).option("compression", "zstd")
+    rows.option("path", shared_dir(spark, label)).saveAsTable(name)
     found = spark.table(name)
     spark.sql(f"DROP TABLE {name}")  # the files stay
     return found
@@ -847,7 +896,7 @@ class Answers:
 
 
 def _answered(frames, model: Model, numbers: list[int]):
-    """Answers of a task's parts; sums beyond ``HELD_BYTES`` and one batch are not held."""
+    """Answers of a task's parts that have the places; sums beyond ``HELD_BYTES`` and one batch are not held."""
     answers = Answers()
     for frame in frames:
         for row in frame.itertuples(index=False):
@@ -857,8 +906,8 @@ def _answered(frames, model: Model, numbers: list[int]):
     yield answers.taken()
 
 
-def _answer(row, model: Model, numbers: list[int], answers: Answers):
-    """Log probabilities of everything a part is asked for, summed by text; a step for each batch."""
+def _of_part(row, model: Model, numbers: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of a part's pairs, how often each word occurs, and the pairs' mean probabilities."""
     mean = 0.0
     for i, number in enumerate(numbers):
         inbox = [m for m in row.inbox if m["sweep"] == i]
@@ -866,30 +915,55 @@ def _answer(row, model: Model, numbers: list[int], answers: Answers):
         mean = mean + seats.of_pairs(model, model.totals[number]) / len(numbers)
         word, counts = seats.word, seats.counts
         del seats, inbox
-    known = (counts > 0)[word]
-    base = np.log10((counts + 1) / (model.tokens + model.known_words + 1))[word]
+    return word, counts, mean
+
+
+def _base(counts: np.ndarray, model: Model) -> np.ndarray:
+    return np.log10((counts + 1) / (model.tokens + model.known_words + 1))
+
+
+def _answer(row, model: Model, numbers: list[int], answers: Answers):
+    """Log probabilities of everything a part is asked for, summed by text; a step for each batch."""
+    word, counts, mean = _of_part(row, model, numbers)
+    known, base = (counts > 0)[word], _base(counts, model)[word]
     for request in row.requests:
         pair = np.repeat(_numbers(request["pairs"]), _numbers(request["uses"]))
         answers.add(request, known[pair], base[pair], mean[pair])
         yield
 
 
-def _texts(frame: pd.DataFrame) -> pd.DataFrame:
+def _answers(row, model: Model, numbers: list[int]) -> pd.DataFrame:
+    """For each batch, how often the words it asks a part for occur, and the pairs' log probabilities."""
+    word, counts, mean = _of_part(row, model, numbers)
+    steps, rows = np.rint(-np.log10(mean) * LOG_STEPS).astype(np.int64), []
+    for request in row.requests:
+        pairs = _numbers(request["pairs"])
+        words = word[pairs]
+        batch, often = request["batch"], counts[words[_cuts(words)]]
+        rows.append((_home(batch), batch, row.part, _packed(often), _packed(steps[pairs])))
+    return pd.DataFrame(rows, columns=_names(_ANSWER))
+
+
+def _texts(row, model: Model) -> pd.DataFrame:
     """Sum the parts' answers for the texts of one batch."""
-    named = frame[frame["tokens"].map(len) > 0].iloc[0]
-    tokens = np.frombuffer(named["tokens"], "<i8")
-    ids = np.frombuffer(named["ids"][: 8 * len(tokens)], "<i8")
-    nulls = np.frombuffer(named["ids"][8 * len(tokens) :], "u1").astype(bool)
-    frame = frame.sort_values("base")  # one order of addition
-    total = {
-        k: np.sum([np.frombuffer(v, t) for v in frame[k]], axis=0)
-        for k, t in (("known", "<i4"), ("base", "<f8"), ("score", "<f8"))
-    }
+    sent = {m["source"]: m for m in row.sent if m["batch"] == row.batch}
+    sent = [sent[p] for p in _numbers(row.parts).tolist()]  # in the order of the batch's places
+    counts = np.concatenate([_numbers(m["counts"]) for m in sent])
+    chances = np.concatenate([_numbers(m["chances"]) for m in sent]) / -LOG_STEPS
+    spread, uses = _numbers(row.spread), _numbers(row.uses)
+    place, n = np.frombuffer(row.place, "<u2"), _numbers(row.n)
+    total = {}
+    for name, values in (("known", counts > 0), ("base", _base(counts, model)), ("score", chances)):
+        of_pairs = values if name == "score" else np.repeat(values, spread)
+        total[name] = np.bincount(place, n * np.repeat(of_pairs, uses), row.n_texts)
+    tokens = np.frombuffer(row.tokens, "<i8")
+    ids = np.frombuffer(row.ids[: 8 * len(tokens)], "<i8")
+    nulls = np.frombuffer(row.ids[8 * len(tokens) :], "u1").astype(bool)
     return pd.DataFrame(
         {
             "doc_id": pd.array(ids, dtype="Int64").copy() if not nulls.any() else _nullable(ids, nulls),
             "n_tokens": tokens,
-            "n_known": total["known"],
+            "n_known": total["known"].astype(np.int64),
             "base_score": total["base"],
             "score": total["score"],
         }
@@ -902,6 +976,11 @@ def _nullable(ids: np.ndarray, nulls: np.ndarray):
 
 def prepared(df: DataFrame, held_out, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row for each part of the vocabulary: counts of training texts, places of all texts."""
+    return _parts(df, held_out, text, doc_id, False)[0]
+
+
+def _parts(df: DataFrame, held_out, text: str, doc_id: str, apart: bool) -> tuple[DataFrame, DataFrame, int]:
+    """Rows for the parts and, ``apart``, for the places that batches keep; the number of buckets of both."""
     value = clean_text(f"`{text}`")
     rows = df.select(
         F.col(f"`{doc_id}`").cast("long").alias("doc_id"),
@@ -913,14 +992,16 @@ def prepared(df: DataFrame, held_out, text: str = "text", doc_id: str = "doc_id"
     hot = _hot_words(rows, size, count)
     # A hot word's own part has to know of its slices.
     told = [
-        (h % count, None, -1, -1, -1, -1, 0, h.to_bytes(8, "little"), *[b""] * 4, _packed(route), b"", b"")
+        (h % count, None, -1, -1, -1, -1, h.to_bytes(8, "little"), *[b""] * 5, _packed(route), b"", b"")
         for h, route in hot.items()
     ]
-    asked = rows.mapInArrow(_requests(count, hot), _REQUEST)
+    asked = rows.mapInArrow(_requests(count, hot, apart), _REQUEST)
     asked = asked.unionByName(df.sparkSession.createDataFrame(told, _REQUEST)) if told else asked
     total = count + sum(n for _, n in hot.values())
     merged = asked.repartition(total, "part").groupBy("part").applyInPandas(_merged, _PART)
-    return _bucketed(merged, "lm-parts", total, "part")
+    stored = _bucketed(merged, "lm-parts", total, "part")
+    kept = stored.where("part < 0").select("part", F.inline("kept"))
+    return stored.where("part >= 0").drop("kept"), kept, total
 
 
 def held_out_rows(doc_id: str = "doc_id", folds: int = 7, fold: int = 2):
@@ -939,19 +1020,27 @@ def score(
 
     ``perplexity`` is that of the text's tokens under the model.
     """
-    parts = prepared(df, held_out_rows(doc_id), text, doc_id)
+    parts, kept, count = _parts(df, held_out_rows(doc_id), text, doc_id, True)
     model = fit(parts, sweeps, burn_in + 1)
     shared = model.shared()
     numbers = list(range(burn_in + 1, sweeps + 1))
 
     def answering(frames):
-        return _answered(frames, shared.value, numbers)
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                yield _answers(row, shared.value, numbers)
+
+    def adding(frames):
+        for frame in frames:
+            for row in frame.itertuples(index=False):
+                yield _texts(row, shared.value)
 
     asked = parts.where(F.size("requests") > 0).drop("hot").join(model.held.hint("shuffle_hash"), "part", "left")
     told = _with_letters(asked, *[model.stored[i] for i in numbers])
-    partial = told.mapInPandas(answering, _PARTIAL)
-    texts = partial.groupBy("batch").applyInPandas(
-        _texts, "doc_id long, n_tokens long, n_known long, base_score double, score double"
+    sent = told.mapInPandas(answering, _ANSWER).repartition(count, "part").groupBy("part")
+    sent = sent.agg(F.collect_list(F.struct("batch", "source", "counts", "chances")).alias("sent"))
+    texts = kept.join(sent.hint("shuffle_hash"), "part").mapInPandas(
+        adding, "doc_id long, n_tokens long, n_known long, base_score double, score double"
     )
     return texts.select(
         "doc_id",

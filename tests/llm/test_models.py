@@ -283,3 +283,29 @@ def test_answers_are_passed_on_within_a_part(spark, small_batches, monkeypatch):
     monkeypatch.setattr(lm, "HELD_BYTES", 1)
     dealt, most = sums(lm._answered([rows], model, [1]))
     assert most == 1 and all(np.allclose(dealt[b], whole[b]) for b in whole)
+
+
+def test_answers_grow_with_pairs_and_not_with_parts(spark, small_batches, monkeypatch):
+    """Batches add up their pairs' probabilities as parts that have the places do."""
+    docs = spark.createDataFrame(lm_rows(), "doc_id long, text string").repartition(3, "doc_id")
+    sizes = []
+    for part_bytes in (24_000, 1500):
+        monkeypatch.setattr(lm, "PART_BYTES", part_bytes)
+        parts, kept, _ = lm._parts(docs, lm.held_out_rows(), "text", "doc_id", True)
+        model = lm.fit(parts, 1)
+        rows = lm._with_letters(parts.drop("hot").join(model.held, "part", "left"), model.stored[1]).toPandas()
+        sent = [lm._answers(r, model, [1]) for r in rows.itertuples(index=False) if len(r.requests)]
+        pairs = sum(len(lm._numbers(r["uses"])) for r in kept.collect())
+        found = pd.concat(sent)
+        assert sum(len(lm._numbers(x)) for x in found["chances"]) == pairs
+        sizes.append((len(rows), pairs))
+    assert sizes[1][0] > 4 * sizes[0][0] and sizes[1][1] == sizes[0][1]
+    inline = lm.prepared(docs, lm.held_out_rows())
+    assert inline.where("size(requests) > 0").count() == sizes[1][0]
+    rows = lm._with_letters(inline.drop("hot").join(model.held, "part", "left"), model.stored[1]).toPandas()
+    wanted = []
+    for frame in lm._answered([rows], model, [1]):
+        for r in frame.itertuples(index=False):
+            wanted += zip(np.frombuffer(r.tokens, "<i8"), np.frombuffer(r.score, "<f8"), np.frombuffer(r.base, "<f8"))
+    got = lm.score(docs, sweeps=1, burn_in=0).select("n_tokens", "score", "base_score").collect()
+    assert np.allclose(sorted(wanted), sorted(tuple(r) for r in got), rtol=0, atol=1e-6)
