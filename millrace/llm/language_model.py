@@ -193,14 +193,17 @@ class _Batch:
         order = np.lexsort((hashes, lot))
         rank = np.empty(len(order), dtype=np.int64)
         rank[order] = np.arange(len(order))
-        before = np.concatenate([[0], line[:-1]])
+        by_name = np.argsort(names, kind="stable")  # pairs of a word come in the order of a part's
+        named_rank = np.empty(len(by_name), dtype=np.int64)
+        named_rank[by_name] = np.arange(len(by_name))
+        before = named_rank[np.concatenate([[0], line[:-1]])]
         place = np.repeat(np.arange(len(texts), dtype=np.int32), [len(c) for _, _, c in texts])
         pair, place, n = _counted(rank[line] * len(order) + before, place, len(texts))
         del line, before
         starts = _cuts(pair)
         uses = np.diff(np.append(starts, len(pair)))
         train = np.add.reduceat(np.where(place < n_train, n, 0), starts)
-        word, guest = pair[starts] // len(order), names[pair[starts] % len(order)]
+        word, guest = pair[starts] // len(order), names[by_name][pair[starts] % len(order)]
         ids = np.array([0 if i is None else i for _, i, _ in texts], "<i8")
         nulls = np.array([i is None for _, i, _ in texts], "u1")
         named = (ids.tobytes() + nulls.tobytes(), np.array([len(c) for _, _, c in texts], "<i8").tobytes())
@@ -353,7 +356,7 @@ def _merged(frame: pd.DataFrame) -> pd.DataFrame:
     requests, at = [], 0
     for row, own in zip(rows, keys[1:], strict=True):
         kept = {k: getattr(row, k) for k in ("batch", "n_texts", "uses", "place", "n", "ids", "tokens")}
-        requests.append({"pairs": _packed(which[at : at + len(own)]), **kept})
+        requests.append({"pairs": _packed(np.diff(which[at : at + len(own)], prepend=0)), **kept})
         at += len(own)
     places = [int(np.searchsorted(words, np.frombuffer(r.words, "<u8"))[0]) for r in owned]
     routes = {p: r.n for p, r in zip(places, owned, strict=True)}
@@ -927,7 +930,7 @@ def _answer(row, model: Model, numbers: list[int], answers: Answers):
     word, counts, mean = _of_part(row, model, numbers)
     known, base = (counts > 0)[word], _base(counts, model)[word]
     for request in row.requests:
-        pair = np.repeat(_numbers(request["pairs"]), _numbers(request["uses"]))
+        pair = np.repeat(np.cumsum(_numbers(request["pairs"])), _numbers(request["uses"]))
         answers.add(request, known[pair], base[pair], mean[pair])
         yield
 
@@ -937,7 +940,7 @@ def _answers(row, model: Model, numbers: list[int]) -> pd.DataFrame:
     word, counts, mean = _of_part(row, model, numbers)
     steps, rows = np.rint(-np.log10(mean) * LOG_STEPS).astype(np.int64), []
     for request in row.requests:
-        pairs = _numbers(request["pairs"])
+        pairs = np.cumsum(_numbers(request["pairs"]))
         words = word[pairs]
         batch, often = request["batch"], counts[words[_cuts(words)]]
         rows.append((_home(batch), batch, row.part, _packed(often), _packed(steps[pairs])))
