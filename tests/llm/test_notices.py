@@ -1,5 +1,8 @@
 """Licence notices over several lines, and the words a paragraph must have."""
 
+import itertools
+import re
+
 from millrace.llm import licenses
 from test_native import FILLER, licence_rows
 
@@ -62,3 +65,28 @@ def test_notices_behind_long_lines_and_over_many_lines(spark):
     assert found == wanted | dict.fromkeys(shapes, ["MIT"])
     confirmed = {r["doc_id"]: [f for f in r["findings"] if f["confirmed"]] for r in got}
     assert all(len(confirmed[i]) == 1 for i in (600, 602, 603, 604))
+
+
+def test_all_paragraphs_are_learned_from(spark, monkeypatch):
+    """Also those of more documents than ``SAMPLE``, and the words behind the first 400 of a line."""
+    seen = {}
+    gate = licenses.gate
+    monkeypatch.setattr(licenses, "gate", lambda counts, most, known: seen.update(counts, most=most) or gate(counts, most, known))
+    rows = [(i, f"{FILLER} {i}\nanother line {i} of it") for i in range(300)]
+    rows += [(i, " ".join([f"word{i}"] * 500) + " sublicense apache") for i in range(300, 310)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = licenses.fit(docs, sample_size=20)
+    assert seen["apache"] == 10 and seen["most"] == licenses.RARE * 610
+    # Templates weigh as much beside 310 documents as beside 20.
+    text = "Released under the MIT License."
+    found = licenses.classified(docs.limit(1).selectExpr("doc_id", f"'{text}' AS text"), model)
+    assert [r["family"] for r in found.where("NOT wrapped").collect()] == ["MIT"]
+
+
+def test_words_sharing_beginnings_are_found_alone():
+    words = ["apache", "mit", "mpl", "license", "licensed", "licenses", "2.0", "2.1", "cc-by", "cc"]
+    every = re.compile(rf"(?<!\w){licenses._trie(words)}(?!\w)")
+    parts = ["apache", "mit", "mp", "mpl", "licens", "license", "licensed", "2.0", "2x0", "cc-by", "cc", "c"]
+    for text in (f"{a}{sign}{b}" for a, b in itertools.permutations(parts, 2) for sign in (" ", "-", "")):
+        plain = re.search(rf"(?<!\w)(?:{'|'.join(map(re.escape, words))})(?!\w)", text)
+        assert bool(every.search(text)) == bool(plain)
